@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["relational", "text"]
+_MODULES = ["relational", "text", "sampling", "evaluation", "bayes"]
 
 
 def all_queries() -> dict:

@@ -20,3 +20,13 @@ def register_views(spark: SparkSession, sf_dir: str, names: list[str] | None = N
     """Register tables as temp views for SQL text."""
     for name in names or TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows when a scan yields fewer tasks than there are cores.
+
+    Gzip files and single-row-group files are read by one task; work that costs much more
+    than the scan should not stay there. Wide inputs pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
