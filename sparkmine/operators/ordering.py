@@ -99,3 +99,19 @@ def seeded_key(key: str | Column, seed: int) -> Column:
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Seeded shuffle: order by a hash of the row key, stable under re-partitioning."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+
+
+def with_previous(df: DataFrame, order_by: Sequence[str], columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """Add the previous row's ``columns`` in the total order ``order_by`` (NULL on the first).
+
+    Only the last row of every slice moves between slices.
+    """
+    keys = list(order_by)
+    sliced = durable(df.repartitionByRange(*keys).withColumn(_PART, F.spark_partition_id()))
+    values = F.struct(*[F.col(c) for c in columns])
+    last = sliced.groupBy(_PART).agg(F.max_by(values, F.struct(*keys)).alias("__last"))
+    # One row per slice.
+    carried = last.select(F.col(_PART), F.lag("__last").over(Window.orderBy(_PART)).alias("__carried"))
+    before = F.lag(values).over(Window.partitionBy(_PART).orderBy(*keys))
+    joined = sliced.withColumn("__before", before).join(F.broadcast(carried), _PART)
+    return joined.select(*df.columns, *[F.coalesce(f"__before.{c}", f"__carried.{c}").alias(f"{prefix}{c}") for c in columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["relational", "text", "sampling", "evaluation", "bayes"]
+_MODULES = ["relational", "text", "sampling", "evaluation", "bayes", "regression", "timeseries"]
 
 
 def all_queries() -> dict:
