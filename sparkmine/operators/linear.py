@@ -34,8 +34,9 @@ def ols_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
 def elastic_net_path(df: DataFrame, x: str, y: str, reg_params: Sequence[float], elastic_net: float, by: Sequence[str] = ()) -> DataFrame:
     """One-feature elastic net for many penalties in one pass, in closed form.
 
-    The penalty applies to the standardised slope with sample deviations, as MLlib
-    scales it, so the rows equal ``LinearRegression(regParam, elasticNetParam)``.
+    The penalty applies to the slope between standardised columns (population
+    deviations), so the rows equal ``LinearRegression(regParam, elasticNetParam)`` with
+    its normal-equation solver.
     """
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     moments = pairs.groupBy(*by).agg(
@@ -43,12 +44,11 @@ def elastic_net_path(df: DataFrame, x: str, y: str, reg_params: Sequence[float],
         F.var_pop(y).alias("vy"), F.covar_pop(x, y).alias("cxy"),
     )
     params = moments.withColumn("reg_param", F.explode(F.array(*[F.lit(float(r)) for r in reg_params])))
-    unbiased = F.col("n") / (F.col("n") - 1)
-    sx, sy = F.sqrt(F.col("vx") * unbiased), F.sqrt(F.col("vy") * unbiased)
+    sx, sy = F.sqrt("vx"), F.sqrt("vy")
     pull = F.try_divide(F.col("cxy"), sx * sy)
     strength = F.try_divide(F.col("reg_param"), sy)
     shrunk = F.signum(pull) * F.greatest(F.abs(pull) - strength * elastic_net, F.lit(0.0))
-    beta = F.try_divide(shrunk, F.col("vx") / (sx * sx) + strength * (1 - elastic_net))
+    beta = shrunk / (1 + strength * (1 - elastic_net))
     slope = F.coalesce(beta * F.try_divide(sy, sx), F.lit(0.0))
     fitted = params.withColumn("slope", slope)
     mse = F.col("vy") - 2 * F.col("slope") * F.col("cxy") + F.pow("slope", F.lit(2)) * F.col("vx")
@@ -87,10 +87,10 @@ def _matrix(packed: np.ndarray, size: int) -> np.ndarray:
     return full + np.tril(full, -1).T
 
 
-def _solve(n: float, mean: np.ndarray, cov: np.ndarray, reg_param: float, elastic_net: float) -> tuple[np.ndarray, float]:
+def _solve(mean: np.ndarray, cov: np.ndarray, reg_param: float, elastic_net: float) -> tuple[np.ndarray, float]:
     """Coefficients and intercept of the penalised fit from one group's moments."""
     p = len(mean) - 1
-    deviation = np.sqrt(np.diag(cov) * n / max(n - 1.0, 1.0))
+    deviation = np.sqrt(np.diag(cov))
     used = [i for i in range(p) if deviation[i] > 0]
     beta = np.zeros(p)
     if used and deviation[p] > 0:
@@ -129,7 +129,7 @@ def linear_fits(moments: DataFrame, n_features: int, specs: Sequence[tuple[float
             for record in batch.to_dict("records"):
                 mean, cov = np.asarray(record["mean"]), _matrix(np.asarray(record["cov"]), n_features + 1)
                 for reg_param, elastic_net in specs:
-                    beta, intercept = _solve(record["n"], mean, cov, reg_param, elastic_net)
+                    beta, intercept = _solve(mean, cov, reg_param, elastic_net)
                     mse = _errors(mean, cov, beta, intercept)
                     r2 = 1 - mse / cov[-1, -1] if cov[-1, -1] > 0 else None
                     rows.append([*[record[c] for c in by], reg_param, elastic_net, beta.tolist(), intercept, mse, r2, record["n"]])
@@ -162,9 +162,9 @@ def cross_validated_fits(
         for reg_param, elastic_net in specs:
             errors = []
             for i, (_, mean, cov) in enumerate(parts):
-                train = merge(parts[:i] + parts[i + 1 :])
+                _, *train = merge(parts[:i] + parts[i + 1 :])
                 errors.append(math.sqrt(_errors(mean, cov, *_solve(*train, reg_param, elastic_net))))
-            beta, intercept = _solve(*merge(parts), reg_param, elastic_net)
+            beta, intercept = _solve(*merge(parts)[1:], reg_param, elastic_net)
             rows.append((reg_param, elastic_net, float(np.mean(errors)), beta.tolist(), intercept))
         return pd.DataFrame(rows, columns=["reg_param", "elastic_net", "avg_rmse", "coefficients", "intercept"])
 
@@ -173,6 +173,21 @@ def cross_validated_fits(
     return moments.groupBy().applyInPandas(validate, schema)
 
 
+def _omnibus(skew: Column, kurtosis: Column, n: Column) -> Column:
+    """D'Agostino's K-squared: squared normal scores of the skewness and the kurtosis."""
+    one, half = F.lit(1.0), F.lit(0.5)
+    y = skew * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+    beta2 = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
+    w2 = F.sqrt(2 * (beta2 - 1)) - 1
+    z_skew = F.asinh(y / F.sqrt(2 / (w2 - 1))) / F.sqrt(half * F.log(w2))
+    mean, var = 3 * (n - 1) / (n + 1), 24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
+    x = (kurtosis - mean) / F.sqrt(var)
+    tilt = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / tilt * (2 / tilt + F.sqrt(one + 4 / (tilt * tilt)))
+    z_kurtosis = (1 - 2 / (9 * a) - F.cbrt((1 - 2 / a) / (1 + x * F.sqrt(2 / (a - 4))))) / F.sqrt(2 / (9 * a))
+    return z_skew * z_skew + z_kurtosis * z_kurtosis
+
+
 def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> DataFrame:
     """One-row least-squares report that needs no distribution tables: coefficients,
     standard errors, t and F values, fit criteria and residual diagnostics."""
@@ -209,7 +224,9 @@ def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> D
         r2.alias("r2"), (1 - (1 - r2) * (n - 1) / (n - 2)).alias("adj_r2"), (r2 / (1 - r2) * (n - 2)).alias("f_statistic"),
         log_likelihood.alias("log_likelihood"), (4 - 2 * log_likelihood).alias("aic"),
         (2 * F.log(n) - 2 * log_likelihood).alias("bic"), "durbin_watson", skew.alias("skew"), kurtosis.alias("kurtosis"),
-        jb.alias("jarque_bera"), F.exp(-jb / 2).alias("prob_jb"), condition.alias("condition_number"),
+        jb.alias("jarque_bera"), F.exp(-jb / 2).alias("prob_jb"),
+        _omnibus(skew, kurtosis, n).alias("omnibus"), F.exp(-_omnibus(skew, kurtosis, n) / 2).alias("prob_omnibus"),
+        condition.alias("condition_number"),
     )
 
 

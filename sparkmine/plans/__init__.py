@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["relational", "text", "sampling", "evaluation", "bayes", "regression", "timeseries"]
+_MODULES = ["relational", "text", "sampling", "evaluation", "bayes", "regression", "timeseries", "learning"]
 
 
 def all_queries() -> dict:

@@ -38,14 +38,13 @@ REG_PARAMS = [0.0, 0.3, 10.0, 20.0, 50.0, 100.0]
 
 
 @query(f"""
-    WITH m AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, var_samp(l_quantity) AS vx,
-                      var_samp(l_extendedprice) AS vy, var_pop(l_quantity) AS px, var_pop(l_extendedprice) AS py,
-                      covar_pop(l_quantity, l_extendedprice) AS c FROM lineitem),
+    WITH m AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, var_pop(l_quantity) AS vx,
+                      var_pop(l_extendedprice) AS vy, covar_pop(l_quantity, l_extendedprice) AS c FROM lineitem),
     s AS (SELECT *, unnest({REG_PARAMS})::DOUBLE AS reg_param FROM m),
     b AS (SELECT *, sign(c) * greatest(abs(c) / sqrt(vx * vy) - reg_param / sqrt(vy) * 0.8::DOUBLE, 0)
-                    / (px / vx + reg_param / sqrt(vy) * 0.2::DOUBLE) * sqrt(vy / vx) AS slope FROM s)
+                    / (1 + reg_param / sqrt(vy) * 0.2::DOUBLE) * sqrt(vy / vx) AS slope FROM s)
     SELECT reg_param, round(slope, 5) AS slope, round(my - slope * mx, 4) AS intercept,
-           round(1 - (py - 2 * slope * c + slope * slope * px) / py, 8) AS r2 FROM b""")
+           round(1 - (vy - 2 * slope * c + slope * slope * vx) / vy, 8) AS r2 FROM b""")
 def elastic_net_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feature, many penalties, one pass."""
     fits = L.elastic_net_path(_lines(spark, sf_dir), "X", "Y", REG_PARAMS, 0.8)
