@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.joins import BROADCAST_BYTES, join_lookup
+from sparkmine.operators.joins import BROADCAST_BYTES, Lookup, join_lookup, measured_bytes, stored_lookup
 from sparkmine.session import durable
 
 GLOBAL = "*"
@@ -22,11 +22,12 @@ GLOBAL = "*"
 class BayesModel:
     """``classes``: (keys..., class, n_docs, n_terms, log_prior, unseen);
     ``terms``: (keys..., term, weights) with weights a map from class to the gain of the
-    term over an unseen one."""
+    term over an unseen one; ``class_maps``: per model, class -> (log_prior, unseen)."""
 
     keys: tuple[str, ...]
     classes: DataFrame
-    terms: DataFrame
+    terms: Lookup
+    class_maps: Lookup
     labels: list[str]
 
 
@@ -63,44 +64,48 @@ def fit(counts: DataFrame, docs: DataFrame, smoothing: float, keys: Sequence[str
     if smoothing <= 0:
         raise ValueError("smoothing must be positive")
     keys = list(keys)
-    counts = durable(counts)
-    # Rows per (keys, class): bounded by models times classes.
-    vocabulary = counts.groupBy(*keys, "term").agg(F.lit(1).alias("one")).groupBy(*keys).agg(F.count("one").alias("n_vocabulary"))
-    totals = counts.groupBy(*keys, "class").agg(F.sum("n").alias("n_terms"))
-    per_class = docs.join(totals, [*keys, "class"], "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
+    entry = F.struct(F.col("class"), F.col("n"))
+    gain = F.transform_values("counts", lambda _, n: F.log(n + F.lit(smoothing)) - F.log(F.lit(smoothing)))
+    # One row per model and term; a map holds at most one entry per class.
+    terms = durable(
+        counts.groupBy(*keys, "term").agg(F.map_from_entries(F.collect_list(entry)).alias("counts")).withColumn("weights", gain)
+    )
+    totals = terms.select(*keys, F.explode("counts").alias("class", "n")).groupBy(*keys, "class").agg(F.sum("n").alias("n_terms"))
+    vocabulary = terms.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_vocabulary"))
     all_docs = docs.groupBy(*keys).agg(F.sum("n_docs").alias("n_all"), F.count(F.lit(1)).alias("n_classes"))
+    per_class = docs.join(totals, [*keys, "class"], "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
     if keys:
         per_class = per_class.join(all_docs, keys).join(vocabulary, keys, "left")
     else:
-        head, size = all_docs.agg(F.max(F.struct("n_all", "n_classes"))).scalar(), vocabulary.agg(F.max("n_vocabulary")).scalar()
+        head, size = all_docs.select(F.struct("n_all", "n_classes")).scalar(), vocabulary.scalar()
         per_class = per_class.withColumns({"n_all": head["n_all"], "n_classes": head["n_classes"], "n_vocabulary": size})
     extra = F.lit(smoothing if smooth_prior else 0.0)
     prior = F.log((F.col("n_docs") + extra) / (F.col("n_all") + extra * F.col("n_classes")))
     mass = F.col("n_terms") + F.lit(smoothing) * F.coalesce("n_vocabulary", F.lit(0))
     unseen = F.when(mass > 0, F.log(F.lit(smoothing)) - F.log(mass)).otherwise(F.lit(0.0))
+    # Rows per model and class.
     classes = durable(per_class.select(*keys, "class", "n_docs", "n_terms", prior.alias("log_prior"), unseen.alias("unseen")))
-
-    gain = F.log(F.col("n") + F.lit(smoothing)) - F.log(F.lit(smoothing))
-    weights = F.map_from_entries(F.collect_list(F.struct(F.col("class"), gain.alias("gain"))))
-    terms = counts.groupBy(*keys, "term").agg(weights.alias("weights"))
+    per_model = F.map_from_entries(F.collect_list(F.struct(F.col("class"), F.struct("log_prior", "unseen"))))
+    class_maps = stored_lookup(classes.groupBy(*keys).agg(per_model.alias("__classes")))
     labels = sorted(r["class"] for r in classes.select("class").distinct().collect())  # class names, as a label encoder holds
-    return BayesModel(tuple(keys), classes, terms, labels)
+    weights = terms.select(*keys, "term", "weights")
+    return BayesModel(tuple(keys), classes, Lookup(weights, measured_bytes(weights)), class_maps, labels)
 
 
 def likelihoods(model: BayesModel) -> DataFrame:
     """``(keys..., class, term, log_prob)`` for every class and vocabulary term."""
     keys = list(model.keys)
-    per_model = _class_map(model)
-    joined = join_lookup(model.terms, per_model, keys) if keys else model.terms.withColumn("__classes", per_model.scalar())
+    joined = _with_classes(model.terms.rows, model)
     rows = joined.select(*keys, "term", "weights", F.explode(F.map_entries("__classes")).alias("__c"))
     log_prob = F.col("__c.value.unseen") + F.coalesce(F.try_element_at("weights", F.col("__c.key")), F.lit(0.0))
     return rows.select(*keys, F.col("__c.key").alias("class"), "term", log_prob.alias("log_prob"))
 
 
-def _class_map(model: BayesModel) -> DataFrame:
-    """One row per model: class -> (log_prior, unseen)."""
-    entry = F.struct(F.col("class"), F.struct("log_prior", "unseen"))
-    return model.classes.groupBy(*model.keys).agg(F.map_from_entries(F.collect_list(entry)).alias("__classes"))
+def _with_classes(df: DataFrame, model: BayesModel, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Add the class map of each row's model."""
+    if model.keys:
+        return join_lookup(df, model.class_maps, model.keys, broadcast_bytes=broadcast_bytes)
+    return df.withColumn("__classes", model.class_maps.rows.scalar())
 
 
 def score(docs: DataFrame, doc_terms: DataFrame, model: BayesModel, doc: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -120,16 +125,12 @@ def score(docs: DataFrame, doc_terms: DataFrame, model: BayesModel, doc: str = "
         F.array(*[F.struct(F.lit(c), F.coalesce(F.col(f"__gain_{i}"), F.lit(0.0))) for i, c in enumerate(model.labels)])
     )
     matched = docs.join(summed, doc, "left").withColumns({"__n": F.coalesce("__n", F.lit(0)), "__gains": gain_map})
-    per_model = _class_map(model)
-    if keys:
-        matched = join_lookup(matched, per_model, keys, broadcast_bytes=broadcast_bytes)
-    else:
-        matched = matched.withColumn("__classes", per_model.scalar())
 
     def posterior(label: Column, c: Column) -> Column:
         return c["log_prior"] + F.col("__n") * c["unseen"] + F.try_element_at("__gains", label)
 
-    return matched.select(*docs.columns, F.transform_values("__classes", posterior).alias("scores"))
+    scored = _with_classes(matched, model, broadcast_bytes)
+    return scored.select(*docs.columns, F.transform_values("__classes", posterior).alias("scores"))
 
 
 def predict(docs: DataFrame, doc_terms: DataFrame, model: BayesModel, doc: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +23,31 @@ def measured_bytes(df: DataFrame) -> int:
     return size or 0
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A stored lookup table and its measured size, reusable by many joins."""
+
+    rows: DataFrame
+    size: int
+
+
+def stored_lookup(df: DataFrame) -> Lookup:
+    rows = durable(df)
+    return Lookup(rows, measured_bytes(rows))
+
+
 def join_lookup(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", broadcast_bytes: int = BROADCAST_BYTES
+    facts: DataFrame, lookup: DataFrame | Lookup, on: Sequence[str], how: str = "inner", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join facts to a lookup that was aggregated from data.
 
     The lookup is stored once and measured; it is broadcast only below
     ``broadcast_bytes``, otherwise the hot fact keys are salted and both sides shuffled.
     """
-    stored = durable(lookup)
-    if measured_bytes(stored) <= broadcast_bytes:
-        return facts.join(F.broadcast(stored), list(on), how)
-    return salted_join(facts, stored, on, how)
+    table = lookup if isinstance(lookup, Lookup) else stored_lookup(lookup)
+    if table.size <= broadcast_bytes:
+        return facts.join(F.broadcast(table.rows), list(on), how)
+    return salted_join(facts, table.rows, on, how)
 
 
 def salted_join(

@@ -202,7 +202,7 @@ def grid_report(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
     larger = model.getEvaluator().isLargerBetter()
     best = (max if larger else min)(model.avgMetrics)
     rows = [
-        ({f"{p.parent.split('_')[0]}.{p.name}": str(v) for p, v in params.items()}, float(metric), metric == best)
+        ({f"{p.parent.split('_')[0]}.{p.name}": str(v) for p, v in params.items()}, float(metric), bool(metric == best))
         for params, metric in zip(grid, model.avgMetrics)
     ]
     return spark.createDataFrame(rows, "params map<string,string>, avg_metric double, best boolean")

@@ -154,6 +154,23 @@ def _cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.predict(folds.withColumnRenamed("lang", "class"), bags, model)
 
 
+@query(f"""WITH p AS (SELECT e.entity, d.lang AS y, e.predicted AS z, {SQL_SPLIT.replace("doc_id", "d.doc_id")} AS split
+               FROM ({SQL_ENTITY}) e JOIN documents d ON d.doc_id = e.doc_id),
+    c AS (SELECT entity, split, y AS class FROM p UNION SELECT entity, split, z FROM p),
+    m AS (SELECT c.entity, c.split, c.class, count(*) FILTER (y = c.class AND z = c.class) AS tp, count(*) FILTER (z = c.class) AS predicted,
+                 count(*) FILTER (y = c.class) AS support FROM c JOIN p ON p.entity = c.entity AND p.split = c.split GROUP BY ALL)
+    SELECT entity, split, class, round(coalesce(tp / nullif(predicted, 0)::DOUBLE, 0), 9) AS "precision",
+           round(coalesce(tp / nullif(support, 0)::DOUBLE, 0), 9) AS recall,
+           round(coalesce(2 * tp / nullif(predicted + support, 0)::DOUBLE, 0), 9) AS f1, support FROM m""")
+def nb_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification report of every entity's model on its train and test documents."""
+    documents = labelled_documents(spark, sf_dir)
+    predicted = entity_predictions(documents.select("doc_id", "entity", "text"), entity_model(spark, sf_dir))
+    compared = predicted.join(documents.select("doc_id", "class", "split"), "doc_id")
+    report = M.class_report(compared, "class", "predicted", by=["entity", "split"])
+    return report.select("entity", "split", "class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
 SQL_CV = f"""
     fold_of AS (SELECT doc_id, lang AS class, fold FROM {sql_stratified_folds(FOLDS)}),
     bag AS (SELECT t.doc_id, f.class, f.fold, term, count(*) AS tf FROM {SQL_TOKENS} t JOIN fold_of f ON f.doc_id = t.doc_id GROUP BY ALL),
