@@ -25,20 +25,17 @@ WEB_TEXT_PATTERNS = [
 WORD_RULE = r"[\p{L}\p{N}_]{2,}"
 
 
-def _non_empty(parts: Column) -> Column:
-    return F.filter(parts, lambda t: t != "")
-
-
 def tokens(text: str | Column) -> Column:
-    """Lower-case tokens between separators, as an array."""
+    """Lower-case tokens between separators, as an array; an empty first or last piece
+    stands for a leading or trailing separator and is dropped where rows are formed."""
     column = F.col(text) if isinstance(text, str) else text
-    return _non_empty(F.split(F.lower(column), TOKEN_SEPARATORS))
+    return F.split(F.lower(column), TOKEN_SEPARATORS)
 
 
 def words(text: str | Column) -> Column:
-    """Words between white space, as an array."""
+    """Words between white space, as an array (with the empty end pieces of :func:`tokens`)."""
     column = F.col(text) if isinstance(text, str) else text
-    return _non_empty(F.split(column, WORD_SPACES))
+    return F.split(column, WORD_SPACES)
 
 
 def rule_words(text: str | Column) -> Column:
@@ -47,8 +44,12 @@ def rule_words(text: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(column), F.lit(f"({WORD_RULE})"), 1)
 
 
+def non_empty(parts: Column) -> Column:
+    return F.array_remove(parts, "")
+
+
 def word_count(text: str | Column) -> Column:
-    return F.size(words(text)).cast("bigint")
+    return F.size(non_empty(words(text))).cast("bigint")
 
 
 def decoded_entities(text: Column) -> Column:

@@ -33,7 +33,7 @@ class BayesModel:
 
 def term_counts(doc_terms: DataFrame, keys: Sequence[str] = (), min_df: int = 1) -> DataFrame:
     """``(keys..., class, term, n)`` from rows ``(doc, keys..., class, term, tf)``."""
-    counts = doc_terms.groupBy(*keys, "class", "term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    counts = doc_terms.where("term IS NOT NULL").groupBy(*keys, "class", "term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     if min_df <= 1:
         return counts.drop("df")
     kept = counts.groupBy(*keys, "term").agg(F.sum("df").alias("__df"), F.collect_list(F.struct("class", "n")).alias("__by_class"))
@@ -108,37 +108,34 @@ def _with_classes(df: DataFrame, model: BayesModel, broadcast_bytes: int = BROAD
     return df.withColumn("__classes", model.class_maps.rows.scalar())
 
 
-def score(docs: DataFrame, doc_terms: DataFrame, model: BayesModel, doc: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Add ``scores`` (class -> log posterior, unnormalised) to ``docs``.
+def score(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``(doc..., scores)``: class -> log posterior (unnormalised) of every document.
 
-    ``docs`` and ``doc_terms`` carry the model keys. Terms outside a model's vocabulary
-    are ignored; a text without known terms is scored by the priors.
+    ``doc_terms`` are outer bags ``(doc..., term, tf)``, with the model keys among ``doc``.
+    Terms outside a model's vocabulary are ignored; a text without known terms is scored
+    by the priors. A document's rows lie in one task, so only one row of partial sums per
+    document is shuffled.
     """
-    keys = list(model.keys)
-    known = join_lookup(doc_terms.select(doc, *keys, "term", "tf"), model.terms, [*keys, "term"], broadcast_bytes=broadcast_bytes)
-    gains = [
-        F.sum(F.col("tf") * F.coalesce(F.try_element_at("weights", F.lit(c)), F.lit(0.0))).alias(f"__gain_{i}")
-        for i, c in enumerate(model.labels)
-    ]
-    summed = known.groupBy(doc).agg(F.sum("tf").alias("__n"), *gains)
+    known = join_lookup(doc_terms, model.terms, [*model.keys, "term"], "left", broadcast_bytes)
+    gains = [F.sum(F.col("tf") * F.try_element_at("weights", F.lit(c))).alias(f"__gain_{i}") for i, c in enumerate(model.labels)]
+    summed = known.groupBy(*doc).agg(F.sum(F.when(F.col("weights").isNotNull(), F.col("tf")).otherwise(0)).alias("__n"), *gains)
     gain_map = F.map_from_entries(
         F.array(*[F.struct(F.lit(c), F.coalesce(F.col(f"__gain_{i}"), F.lit(0.0))) for i, c in enumerate(model.labels)])
     )
-    matched = docs.join(summed, doc, "left").withColumns({"__n": F.coalesce("__n", F.lit(0)), "__gains": gain_map})
 
     def posterior(label: Column, c: Column) -> Column:
         return c["log_prior"] + F.col("__n") * c["unseen"] + F.try_element_at("__gains", label)
 
-    scored = _with_classes(matched, model, broadcast_bytes)
-    return scored.select(*docs.columns, F.transform_values("__classes", posterior).alias("scores"))
+    scored = _with_classes(summed.select(*doc, "__n", gain_map.alias("__gains")), model, broadcast_bytes)
+    return scored.select(*doc, F.transform_values("__classes", posterior).alias("scores"))
 
 
-def predict(docs: DataFrame, doc_terms: DataFrame, model: BayesModel, doc: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Add ``predicted`` (largest score, first label on ties) and its ``score``."""
-    scored = score(docs, doc_terms, model, doc, broadcast_bytes)
+def predict(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``(doc..., predicted, score)``: the class with the largest score, first label on ties."""
+    scored = score(doc_terms, model, doc, broadcast_bytes)
     ranked = F.transform(F.map_entries("scores"), lambda e: F.struct((-e["value"]).alias("cost"), e["key"].alias("label")))
     best = F.array_min(ranked)
-    return scored.select(*docs.columns, best["label"].alias("predicted"), (-best["cost"]).alias("score"))
+    return scored.select(*doc, best["label"].alias("predicted"), (-best["cost"]).alias("score"))
 
 
 def entity_models(doc_terms: DataFrame, docs: DataFrame, entity: str, smoothing: float, min_rows: int = 2) -> BayesModel:

@@ -27,7 +27,18 @@ def with_row_index(df: DataFrame, order_by: Sequence[str | Column], within: Sequ
     A group that holds most of the rows is still spread over many slices: a slice is
     numbered alone, then shifted by what the group has in earlier slices.
     """
-    return with_running_sums(df, order_by, {name: F.lit(1).cast("bigint")}, within, inclusive=False)
+    if within:
+        return with_running_sums(df, order_by, {name: F.lit(1).cast("bigint")}, within, inclusive=False)
+    order = [_column(c) for c in order_by]
+    # Sorted slices number themselves: the id holds the slice above bit 33, the place below.
+    sliced = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sliced.groupBy(part.alias("__shift_part")).agg(F.max(place).alias("__last"))
+    earlier = Window.orderBy("__shift_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice: safe to broadcast.
+    shifts = sizes.select("__shift_part", F.coalesce(F.sum(F.col("__last") + 1).over(earlier), F.lit(0)).alias("__shift"))
+    shifted = sliced.join(F.broadcast(shifts), part == F.col("__shift_part"))
+    return shifted.select(*[F.col(f"`{c}`") for c in df.columns], (place + F.col("__shift")).alias(name))
 
 
 def with_running_sums(
@@ -77,11 +88,39 @@ def top_k(df: DataFrame, k: int, *order_by: Column) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
+def keys_at(df: DataFrame, order_by: Sequence[str | Column], positions: Column) -> DataFrame:
+    """``(position, key)``: the order keys, as a struct, found at some positions.
+
+    Only the keys are sorted. Wide rows are then compared with these few borders where
+    they are, instead of being moved.
+    """
+    keys = df.select(*[_column(c).alias(f"k{i}") for i, c in enumerate(order_by)])
+    indexed = with_row_index(keys, keys.columns, name="position")
+    return indexed.where(F.array_contains(positions, F.col("position"))).select("position", F.struct(*keys.columns).alias("key"))
+
+
+def order_key(order_by: Sequence[str | Column]) -> Column:
+    """The struct that :func:`keys_at` borders compare with."""
+    return F.struct(*[_column(c).alias(f"k{i}") for i, c in enumerate(order_by)])
+
+
+def row_count(df: DataFrame) -> Column:
+    """Number of rows as a scalar subquery."""
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def series_slice(df: DataFrame, order_by: Sequence[str | Column], start: int, end: int = -1) -> DataFrame:
-    """Rows at positions ``[start, end)`` of the ordered table; ``end=-1`` means to the end."""
-    indexed = with_row_index(df, order_by, name="position")
-    kept = indexed.where(F.col("position") >= max(start, 0))
-    return kept if end == -1 else kept.where(F.col("position") < end)
+    """Rows at positions ``[start, end)`` of the ordered table with their ``position``;
+    ``end=-1`` means to the end."""
+    start = max(start, 0)
+    wanted = F.array(F.lit(start).cast("bigint"), F.lit(end).cast("bigint"))
+    borders = durable(keys_at(df, order_by, wanted))
+    first = borders.where(F.col("position") == start).select("key").scalar()
+    kept = df.where(order_key(order_by) >= first)
+    if end >= 0:
+        last = borders.where(F.col("position") == end).select("key").scalar()
+        kept = kept.where(F.coalesce(order_key(order_by) < last, F.lit(True)))
+    return with_row_index(kept, order_by, name="position").withColumn("position", F.col("position") + start)
 
 
 def seeded_key(key: str | Column, seed: int) -> Column:

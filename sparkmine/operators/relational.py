@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.operators.joins import join_lookup, stored_lookup
 from sparkmine.operators.ordering import with_row_index, with_running_sums
 
 # Fixed value: "Name (1999)" with optional trailing blanks.
@@ -143,37 +144,56 @@ def correlations(df: DataFrame, features: Sequence[str], label: str) -> DataFram
     return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
+def _joined(pieces: Column, sep: str) -> Column:
+    """Pieces (structs ``at``, ``piece``) in order, joined to one text."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(pieces)), lambda p: p["piece"]), sep)
+
+
 def ordered_concat(df: DataFrame, key: str, order_by: Sequence[str], text: str, sep: str = "\n", part_rows: int = 1000) -> DataFrame:
     """Texts of a key joined in order, as rows ``(key, part, n, text)``.
 
-    A part holds ``part_rows`` pieces, so a key of any size stays distributed; joining
-    its parts in order gives the whole text. Keys up to ``part_rows`` have only part 0.
+    A part holds ``part_rows`` pieces; joining its parts in order gives a key's whole text.
+    Only keys with more pieces are cut, by their position in the key; all others are
+    collected directly, and the texts move once.
     """
-    placed = with_row_index(df.select(key, *order_by, text), order_by, within=[key], name="__at")
-    pieces = F.array_sort(F.collect_list(F.struct(F.col("__at").alias("at"), F.coalesce(text, F.lit("")).alias("piece"))))
-    return (
-        placed.withColumn("part", F.floor(F.col("__at") / part_rows).cast("int"))
-        .groupBy(key, "part")
-        .agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(pieces, lambda p: p["piece"]), sep).alias(text))
-    )
+    rows = df.select(key, *order_by, F.coalesce(text, F.lit("")).alias(text))
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part_rows)
+    large = stored_lookup(sizes.select(key, F.lit(True).alias("__large")))
+
+    def collected(part: DataFrame, order: Column) -> DataFrame:
+        piece = F.struct(order.alias("at"), F.col(text).alias("piece"))
+        return part.groupBy(key, "part").agg(F.count(F.lit(1)).alias("n"), _joined(piece, sep).alias(text))
+
+    if not large.size:
+        return collected(rows.withColumn("part", F.lit(0)), F.struct(*order_by))
+    marked = join_lookup(rows, large, [key], "left")
+    small = marked.where("__large IS NULL").drop("__large").withColumn("part", F.lit(0))
+    placed = with_row_index(marked.where("__large").drop("__large"), order_by, within=[key], name="__at")
+    cut = placed.withColumn("part", F.floor(F.col("__at") / part_rows).cast("int"))
+    return collected(small, F.struct(*order_by)).unionByName(collected(cut, F.col("__at")))
 
 
 def sorted_label_concat(counted: DataFrame, key: str, label: str, n: str, sep: str = " ", part_rows: int = 1000) -> DataFrame:
     """Repeated labels of a key in label order, as rows ``(key, part, labels)``.
 
-    Input is one row per (key, label) with its count, so nothing larger than one part of
-    ``part_rows`` labels is ever held for a key.
+    Input is one row per (key, label) with its count. A key with more than ``part_rows``
+    labels is cut into parts by running counts; a part is never larger than that.
     """
-    ranged = with_running_sums(counted.select(key, label, n), [label], {"__end": F.col(n)}, within=[key])
-    first = F.col("__end") - F.col(n)
-    spans = ranged.select(
-        key, label, first.alias("__first"), "__end",
-        F.explode(F.sequence(F.floor(first / part_rows), F.floor((F.col("__end") - 1) / part_rows))).alias("part"),
-    )
-    upper = F.least(F.col("__end"), (F.col("part") + 1) * part_rows)
-    copies = upper - F.greatest(F.col("__first"), F.col("part") * part_rows)
-    repeated = F.array_join(F.array_repeat(F.col(label), copies.cast("int")), sep)
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(label).alias("at"), repeated.alias("piece"))))
-    return spans.groupBy(key, F.col("part").cast("int").alias("part")).agg(
-        F.array_join(F.transform(pieces, lambda p: p["piece"]), sep).alias("labels")
-    )
+    rows = counted.select(key, label, F.col(n).alias("__n"))
+    sizes = rows.groupBy(key).agg(F.sum("__n").alias("__all")).where(F.col("__all") > part_rows)
+    large = stored_lookup(sizes.select(key, F.lit(True).alias("__large")))
+
+    def collected(part: DataFrame, copies: Column) -> DataFrame:
+        repeated = F.array_join(F.array_repeat(F.col(label), copies.cast("int")), sep)
+        return part.groupBy(key, "part").agg(_joined(F.struct(F.col(label).alias("at"), repeated.alias("piece")), sep).alias("labels"))
+
+    if not large.size:
+        return collected(rows.withColumn("part", F.lit(0)), F.col("__n"))
+    marked = join_lookup(rows, large, [key], "left")
+    small = marked.where("__large IS NULL").drop("__large").withColumn("part", F.lit(0))
+    ranked = with_running_sums(marked.where("__large").drop("__large"), [label], {"__end": F.col("__n")}, within=[key])
+    first = F.col("__end") - F.col("__n")
+    covered = F.sequence(F.floor(first / part_rows), F.floor((F.col("__end") - 1) / part_rows))
+    spans = ranked.select(key, label, first.alias("__first"), "__end", F.explode(covered).cast("int").alias("part"))
+    copies = F.least(F.col("__end"), (F.col("part") + 1) * part_rows) - F.greatest(F.col("__first"), F.col("part") * part_rows)
+    return collected(small, F.col("__n")).unionByName(collected(spans, copies))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.operators.joins import join_lookup
-from sparkmine.operators.ordering import seeded_key, with_row_index
+from sparkmine.operators.ordering import keys_at, order_key, row_count, seeded_key, with_row_index
+from sparkmine.session import durable
 
 
 def hash_split(df: DataFrame, key: str, weights: dict[str, float], seed: int, name: str = "split") -> DataFrame:
@@ -32,9 +33,9 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 def fixed_split(df: DataFrame, order_by: Sequence[str | Column], fraction: float, name: str = "split") -> DataFrame:
     """First ``floor(fraction * n)`` rows in order are train, the rest test."""
-    indexed = with_row_index(df, order_by, name="__row")
-    border = F.floor(df.agg(F.count(F.lit(1))).scalar() * F.lit(fraction))
-    return indexed.withColumn(name, F.when(F.col("__row") < border, "train").otherwise("test")).drop("__row")
+    border = F.floor(row_count(df) * F.lit(fraction))
+    first_test = durable(keys_at(df, order_by, F.array(border))).select("key").scalar()
+    return df.withColumn(name, F.when(order_key(order_by) >= first_test, "test").otherwise("train"))
 
 
 def shuffled_split(df: DataFrame, key: str, fraction: float, seed: int, name: str = "split") -> DataFrame:
@@ -42,39 +43,54 @@ def shuffled_split(df: DataFrame, key: str, fraction: float, seed: int, name: st
     return fixed_split(df, [seeded_key(key, seed), F.col(key)], fraction, name)
 
 
-def kfold(df: DataFrame, order_by: Sequence[str | Column], k: int, name: str = "fold") -> DataFrame:
-    """Contiguous folds; the first ``n mod k`` folds hold one row more."""
-    size = df.agg(F.count(F.lit(1))).scalar()
-    small, extra = F.floor(size / k), F.pmod(size, F.lit(k))
-    row = F.col("__row")
-    big_rows = extra * (small + 1)
-    fold = F.when(row < big_rows, F.floor(row / (small + 1))).otherwise(F.floor(F.try_divide(row - extra, small)))
-    return with_row_index(df, order_by, name="__row").withColumn(name, fold.cast("int")).drop("__row")
+def _last_border(borders: Column, key: Column) -> Column:
+    """The fold of the last border at or before a key."""
+    return F.element_at(F.filter(borders, lambda b: b["key"] <= key), -1)["fold"]
 
 
-def stratified_kfold(df: DataFrame, order_by: Sequence[str], label: str, k: int, name: str = "fold") -> DataFrame:
-    """Contiguous folds inside every class, with class shares equal to within one row.
+def kfold(df: DataFrame, order_by: Sequence[str | Column], k: int, name: str = "fold") -> DataFrame:
+    """Contiguous folds; the first ``n mod k`` folds hold one row more."""
+    n = row_count(df)
+    small, extra = F.floor(n / k), F.pmod(n, F.lit(k))
+    start = [f * small + F.least(F.lit(f).cast("bigint"), extra) for f in range(k)]
+    found = keys_at(df, order_by, F.array(*start))
+    # Empty folds (fewer rows than folds) share a start; the lowest fold owns it.
+    fold = F.array_position(F.array(*start), F.col("position")) - 1
+    borders = durable(found.select("key", fold.cast("int").alias("fold")))  # at most k rows
+    listed = borders.agg(F.array_sort(F.collect_list(F.struct("key", "fold")))).scalar()
+    # Borders rise with their folds, so the largest fold begun at or before the row's key owns it.
+    begun = [F.when(order_key(order_by) >= F.get("__borders", F.lit(i))["key"], F.get("__borders", F.lit(i))["fold"]) for i in range(k)]
+    fold = F.greatest(*begun) if k > 1 else F.lit(0)
+    return df.withColumn("__borders", listed).select(*df.columns, fold.cast("int").alias(name))
+
+
+def stratified_kfold(df: DataFrame, key: str, label: str, k: int, name: str = "fold") -> DataFrame:
+    """Contiguous folds in ``key`` order inside every class, with class shares equal to
+    within one row.
 
     Classes are lined up by first appearance; a fold takes from a class as many rows as it
-    would by dealing that line out one row at a time.
+    would by dealing that line out one row at a time. Only keys and labels are sorted: a
+    class's folds are key ranges, so wide rows find their fold from k borders.
     """
-    placed = with_row_index(df, order_by, name="__row")
-    ranked = with_row_index(placed, ["__row"], within=[label], name="__rank")
-    classes = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    ranked = with_row_index(df.select(label, key), [key], within=[label], name="__rank")
+    classes = durable(ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__first")))
     # One row per class; the running start of a class in the line needs their order.
     line = Window.orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.withColumn("__start", F.coalesce(F.sum("__n").over(line), F.lit(0)))
 
-    def dealt(up_to: Column) -> Column:
-        """Rows of the class among the first ``up_to + 1`` residues modulo k."""
-        whole = F.floor(F.col("__n") / k) * (up_to + 1)
+    def dealt(fold: Column) -> Column:
+        """Rows that the class gives to folds before ``fold``."""
         left, begin = F.pmod("__n", F.lit(k)), F.pmod("__start", F.lit(k))
-        return whole + F.size(F.filter(F.sequence(F.lit(0), up_to), lambda i: F.pmod(i - begin, F.lit(k)) < left))
-
-    borders = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), dealt)
-    table = classes.select(label, borders.alias("__borders"))
-    fold = F.size(F.filter("__borders", lambda b: b <= F.col("__rank")))
-    return join_lookup(ranked, table, [label]).select(*df.columns, fold.cast("int").alias(name))
+        more = F.size(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (i < fold) & (F.pmod(i - begin, F.lit(k)) < left)))
+        return F.floor(F.col("__n") / k) * fold + more
+
+    folds = F.sequence(F.lit(0), F.lit(k - 1))
+    starts = classes.select(label, F.explode(F.transform(folds, lambda f: F.struct(dealt(f).alias("__rank"), f.alias("fold")))).alias("s"))
+    # An empty fold starts where the next one does; the latest fold owns the rows.
+    starts = starts.groupBy(label, F.col("s.__rank").alias("__rank")).agg(F.max("s.fold").alias("fold"))
+    borders = join_lookup(ranked, starts, [label, "__rank"])
+    per_class = borders.groupBy(label).agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), "fold"))).alias("__borders"))
+    return join_lookup(df, per_class, [label]).select(*df.columns, _last_border(F.col("__borders"), F.col(key)).alias(name))
 
 
 def shuffle_positions(df: DataFrame, key: str, seed: int, name: str = "position") -> DataFrame:

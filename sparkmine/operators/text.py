@@ -12,8 +12,8 @@ from sparkmine.operators.ordering import top_k, with_row_index
 
 
 def exploded(df: DataFrame, items: Column, name: str, keep: Sequence[str] | None = None) -> DataFrame:
-    """One row per array element, next to the source columns in ``keep`` (all by default)."""
-    return df.select(*(df.columns if keep is None else keep), F.explode(items).alias(name))
+    """One row per non-empty array element, next to the columns in ``keep`` (all by default)."""
+    return df.select(*(df.columns if keep is None else keep), F.explode(items).alias(name)).where(F.col(name) != "")
 
 
 def word_counts(df: DataFrame, items: Column, name: str = "word") -> DataFrame:
@@ -29,9 +29,26 @@ def rarest(counts: DataFrame, k: int, name: str = "word") -> DataFrame:
     return top_k(counts, k, F.asc("n"), F.asc(name))
 
 
-def doc_terms(df: DataFrame, doc: Sequence[str], items: Column) -> DataFrame:
-    """``(doc..., term, tf)``: bag of words in long form."""
-    return exploded(df, items, "term", keep=doc).groupBy(*doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = False) -> DataFrame:
+    """``(doc..., term, tf)``: bag of words of every row, in long form.
+
+    A text is one row, so its equal words are counted inside the row (runs of the sorted
+    array) and nothing is shuffled. ``outer`` keeps texts without words, with a NULL term.
+    """
+    ordered = df.select(*doc, F.array_sort(items).alias("__words"))
+    words, size = F.col("__words"), F.size("__words")
+    starts = F.filter(F.sequence(F.lit(0), size), lambda i: (i < size) & ((i == 0) | (F.get(words, i) != F.get(words, i - 1))))
+    runs = ordered.select(*doc, "__words", starts.alias("__starts"))
+    begin = F.col("__starts")
+    bag = F.transform(
+        begin,
+        lambda p, j: F.struct(
+            F.get(F.col("__words"), p).alias("term"), (F.coalesce(F.get(begin, j + 1), F.size("__words")) - p).cast("bigint").alias("tf")
+        ),
+    )
+    unfold = F.inline_outer if outer else F.inline
+    rows = runs.select(*doc, unfold(bag))
+    return rows.where("term IS NULL OR term <> ''") if outer else rows.where("term <> ''")
 
 
 def vocabulary(terms: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:

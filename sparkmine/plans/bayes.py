@@ -13,7 +13,6 @@ from sparkmine.operators.text import doc_terms
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_seeded_key, sql_stratified_folds
 from sparkmine.plans.text import SQL_TOKENS
-from sparkmine.session import durable
 from sparkmine.sources.tables import spread, table
 
 QUERIES: dict = {}
@@ -31,16 +30,15 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bag_of_words(documents: DataFrame, columns: list[str], rule: bool = False) -> DataFrame:
+    """Outer bags of words; recomputed where needed, since they outweigh the texts."""
     items = X.rule_words("text") if rule else X.tokens("text")
-    return doc_terms(spread(documents), columns, items)
+    return doc_terms(spread(documents), columns, items, outer=True)
 
 
-def _split_model(spark: SparkSession, sf_dir: str, smoothing: float, min_df: int) -> tuple[DataFrame, DataFrame, B.BayesModel]:
-    documents = labelled_documents(spark, sf_dir)
-    bags = durable(bag_of_words(documents, ["doc_id", "class", "split"]))
-    train = bags.where("split = 'train'")
-    model = B.fit(B.term_counts(train, min_df=min_df), B.class_counts(documents.where("split = 'train'")), smoothing)
-    return documents, bags, model
+def _split_model(spark: SparkSession, sf_dir: str, smoothing: float, min_df: int) -> B.BayesModel:
+    train = labelled_documents(spark, sf_dir).where("split = 'train'")
+    counts = B.term_counts(bag_of_words(train, ["class"]), min_df=min_df)
+    return B.fit(counts, B.class_counts(train), smoothing)
 
 
 SQL_SPLIT = f"""CASE WHEN {sql_seeded_key("doc_id", SPLIT_SEED)} < cast(floor(0.8::DOUBLE * 2147483647) AS BIGINT)
@@ -66,7 +64,7 @@ SQL_SCORES = """
 
 @query(f"WITH {SQL_MODEL} SELECT class, n_docs, round(log_prior, 9) AS log_prior FROM cls")
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, model = _split_model(spark, sf_dir, 0.2, 2)
+    model = _split_model(spark, sf_dir, 0.2, 2)
     return model.classes.select("class", "n_docs", F.round("log_prior", 9).alias("log_prior"))
 
 
@@ -74,13 +72,14 @@ def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT c.class, v.term, round(ln((coalesce(x.n, 0) + 0.2) / (t.n + 0.2 * (SELECT count(*) FROM vocab))::DOUBLE), 7) AS log_prob
     FROM cls c CROSS JOIN vocab v JOIN tot t ON t.class = c.class LEFT JOIN cnt x ON x.class = c.class AND x.term = v.term""")
 def nb_likelihoods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, model = _split_model(spark, sf_dir, 0.2, 2)
+    model = _split_model(spark, sf_dir, 0.2, 2)
     return B.likelihoods(model).withColumn("log_prob", F.round("log_prob", 7))
 
 
 def predicted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, bags, model = _split_model(spark, sf_dir, 0.2, 2)
-    return B.predict(documents.select("doc_id", "class", "split"), bags, model)
+    columns = ["doc_id", "class", "split"]
+    bags = bag_of_words(labelled_documents(spark, sf_dir), columns)
+    return B.predict(bags, _split_model(spark, sf_dir, 0.2, 2), columns)
 
 
 @query(f"WITH {SQL_MODEL}, {SQL_SCORES} SELECT doc_id, split, predicted, round(score, 4) AS score FROM best WHERE place = 1")
@@ -100,15 +99,14 @@ def nb_train_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_model(spark: SparkSession, sf_dir: str) -> B.BayesModel:
     train = labelled_documents(spark, sf_dir).where("split = 'train'")
-    bags = bag_of_words(train, ["doc_id", "class", "entity"], rule=True)
+    bags = bag_of_words(train, ["class", "entity"], rule=True)
     return B.entity_models(bags, train, "entity", smoothing=1.0)
 
 
-def entity_predictions(requests: DataFrame, model: B.BayesModel) -> DataFrame:
-    """Classify ``(doc_id, entity, text)`` rows, each with its entity's model or the global one."""
-    resolved = B.resolve_entity(requests, model, "entity")
-    bags = bag_of_words(resolved, ["doc_id", "entity"], rule=True)
-    return B.predict(resolved.select("doc_id", "entity"), bags, model)
+def entity_predictions(requests: DataFrame, model: B.BayesModel, columns: tuple[str, ...] = ("doc_id", "entity")) -> DataFrame:
+    """Classify texts with an ``entity``, each with its entity's model or the global one."""
+    bags = bag_of_words(B.resolve_entity(requests, model, "entity"), list(columns), rule=True)
+    return B.predict(bags, model, columns)
 
 
 SQL_RULE_WORDS = r"""(SELECT doc_id, lang, source, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents)"""
@@ -142,33 +140,14 @@ def nb_entity_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-fold predictions of all documents; folds are left out by subtraction."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    folds = durable(S.stratified_kfold(documents.select("doc_id", "lang"), ["doc_id"], "lang", FOLDS))
-    labelled = documents.join(folds.withColumnRenamed("lang", "class"), "doc_id").drop("lang")
-    bags = durable(bag_of_words(labelled, ["doc_id", "class", "fold"]))
-    own_terms = bags.groupBy("fold", "class", "term").agg(F.sum("tf").alias("n"))
-    own_docs = folds.groupBy("fold", F.col("lang").alias("class")).agg(F.count(F.lit(1)).alias("n_docs"))
+    named = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("class"), "text")
+    documents = S.stratified_kfold(named, "doc_id", "class", FOLDS)
+    bags = bag_of_words(documents, ["doc_id", "class", "fold"])
+    own_terms = bags.where("term IS NOT NULL").groupBy("fold", "class", "term").agg(F.sum("tf").alias("n"))
+    own_docs = documents.groupBy("fold", "class").agg(F.count(F.lit(1)).alias("n_docs"))
     terms = B.left_out(own_terms, FOLDS, ["class", "term"], "n")
     docs = B.left_out(own_docs, FOLDS, ["class"], "n_docs")
-    model = B.fit(terms, docs, 0.2, ["fold"])
-    return B.predict(folds.withColumnRenamed("lang", "class"), bags, model)
-
-
-@query(f"""WITH p AS (SELECT e.entity, d.lang AS y, e.predicted AS z, {SQL_SPLIT.replace("doc_id", "d.doc_id")} AS split
-               FROM ({SQL_ENTITY}) e JOIN documents d ON d.doc_id = e.doc_id),
-    c AS (SELECT entity, split, y AS class FROM p UNION SELECT entity, split, z FROM p),
-    m AS (SELECT c.entity, c.split, c.class, count(*) FILTER (y = c.class AND z = c.class) AS tp, count(*) FILTER (z = c.class) AS predicted,
-                 count(*) FILTER (y = c.class) AS support FROM c JOIN p ON p.entity = c.entity AND p.split = c.split GROUP BY ALL)
-    SELECT entity, split, class, round(coalesce(tp / nullif(predicted, 0)::DOUBLE, 0), 9) AS "precision",
-           round(coalesce(tp / nullif(support, 0)::DOUBLE, 0), 9) AS recall,
-           round(coalesce(2 * tp / nullif(predicted + support, 0)::DOUBLE, 0), 9) AS f1, support FROM m""")
-def nb_entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classification report of every entity's model on its train and test documents."""
-    documents = labelled_documents(spark, sf_dir)
-    predicted = entity_predictions(documents.select("doc_id", "entity", "text"), entity_model(spark, sf_dir))
-    compared = predicted.join(documents.select("doc_id", "class", "split"), "doc_id")
-    report = M.class_report(compared, "class", "predicted", by=["entity", "split"])
-    return report.select("entity", "split", "class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+    return B.predict(bags, B.fit(terms, docs, 0.2, ["fold"]), ["doc_id", "fold", "class"])
 
 
 SQL_CV = f"""

@@ -75,7 +75,7 @@ def kfold_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, lang, fold FROM {sql_stratified_folds(10)}")
 def stratified_kfold_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return S.stratified_kfold(documents, ["doc_id"], "lang", 10)
+    return S.stratified_kfold(documents, "doc_id", "lang", 10)
 
 
 @query("""

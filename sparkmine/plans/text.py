@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkmine.functions import text as X
 from sparkmine.operators import text as T
 from sparkmine.plans.registry import registrar
-from sparkmine.sources.tables import table
+from sparkmine.sources.tables import spread, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -39,8 +39,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Texts spread over all cores, with the columns a report keeps."""
+    return spread(_documents(spark, sf_dir).select(*columns, "text"))
+
+
 def page_counts(pages: DataFrame) -> DataFrame:
-    return T.word_counts(pages, X.words(X.cleaned_web_text("html")))
+    return T.word_counts(spread(pages.select("html")), X.words(X.cleaned_web_text("html")))
 
 
 @query(SQL_PAGE_COUNTS)
@@ -56,22 +61,22 @@ def page_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT word, count(*) AS n FROM {SQL_WORDS} GROUP BY word ORDER BY n DESC, word LIMIT 10")
 def word_count_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.most_common(T.word_counts(_documents(spark, sf_dir), X.words("text")), 10)
+    return T.most_common(T.word_counts(_texts(spark, sf_dir), X.words("text")), 10)
 
 
 @query(f"SELECT word, count(*) AS n FROM {SQL_WORDS} GROUP BY word ORDER BY n, word LIMIT 20")
 def word_count_rarest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.rarest(T.word_counts(_documents(spark, sf_dir), X.words("text")), 20)
+    return T.rarest(T.word_counts(_texts(spark, sf_dir), X.words("text")), 20)
 
 
 @query(f"SELECT term, count(*) AS n FROM {SQL_TOKENS} GROUP BY term")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.word_counts(_documents(spark, sf_dir), X.tokens("text"), "term")
+    return T.word_counts(_texts(spark, sf_dir), X.tokens("text"), "term")
 
 
 @query(f"SELECT doc_id, term, count(*) AS tf FROM {SQL_TOKENS} GROUP BY doc_id, term")
 def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.doc_terms(_documents(spark, sf_dir), ["doc_id"], X.tokens("text"))
+    return T.doc_terms(_texts(spark, sf_dir, "doc_id"), ["doc_id"], X.tokens("text"))
 
 
 @query(f"""
@@ -79,7 +84,7 @@ def doc_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT term, count(*) AS n, count(DISTINCT doc_id) AS df FROM {SQL_TOKENS} GROUP BY term) WHERE df >= 2""")
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of at least two documents, ranked by count."""
-    return T.vocabulary(T.doc_terms(_documents(spark, sf_dir), ["doc_id"], X.tokens("text")), min_df=2)
+    return T.vocabulary(T.doc_terms(_texts(spark, sf_dir, "doc_id"), ["doc_id"], X.tokens("text")), min_df=2)
 
 
 @query("""
@@ -107,7 +112,7 @@ def entity_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM documents GROUP BY 1, 2""")
 def entity_word_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per entity and class: a row map followed by a grouped sum."""
-    counted = _documents(spark, sf_dir).withColumn("word_count", X.word_count("text"))
+    counted = _texts(spark, sf_dir, "source", "lang").withColumn("word_count", X.word_count("text"))
     return counted.groupBy(F.col("source").alias("entity"), F.col("lang").alias("sentiment")).agg(
         F.sum("word_count").alias("word_sum")
     )
@@ -116,7 +121,7 @@ def entity_word_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT word FROM {SQL_WORDS}")
 def flat_map_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of every text, one row each."""
-    return T.exploded(_documents(spark, sf_dir), X.words("text"), "word", keep=[])
+    return T.exploded(_texts(spark, sf_dir), X.words("text"), "word", keep=[])
 
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents WHERE source = 'src3'")
@@ -128,5 +133,7 @@ def entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, lang, source, word, count(*) AS n FROM {SQL_WORDS} GROUP BY ALL")
 def flat_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words next to the columns of their source row, counted per row."""
-    rows = T.exploded(_documents(spark, sf_dir), X.words("text"), "word", keep=["doc_id", "lang", "source"])
-    return rows.groupBy("doc_id", "lang", "source", "word").agg(F.count(F.lit(1)).alias("n"))
+    texts = _texts(spark, sf_dir, "doc_id", "lang", "source")
+    return T.doc_terms(texts, ["doc_id", "lang", "source"], X.words("text")).select(
+        "doc_id", "lang", "source", F.col("term").alias("word"), F.col("tf").alias("n")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmine.operators.text import most_common
+from sparkmine.operators.text import most_common, word_counts
 
 
 def read_files(spark: SparkSession, path: str, like: DataFrame, glob: str = "*.parquet", files_per_batch: int = 1) -> DataFrame:
@@ -21,7 +21,7 @@ def count_words(texts: DataFrame, items: Column, output: str, checkpoint: str) -
     State grows with the vocabulary only. Every batch writes just the words it changed,
     under its own batch number, so a repeated batch overwrites itself.
     """
-    counts = texts.select(F.explode(items).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = word_counts(texts, items)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
