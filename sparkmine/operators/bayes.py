@@ -1,12 +1,13 @@
-"""Multinomial naive Bayes as grouped counts and joins.
+"""Multinomial naive Bayes as grouped sums and one lookup join.
 
 One job fits any number of models: ``keys`` name the columns that identify a model
-(an entity, a left-out fold), and nothing loops over them on the driver.
+(an entity, a left-out fold), and nothing loops over them on the driver. Per-class
+numbers are arrays in the order of ``labels``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,121 +21,206 @@ GLOBAL = "*"
 
 @dataclass(frozen=True)
 class BayesModel:
-    """``classes``: (keys..., class, n_docs, n_terms, log_prior, unseen);
-    ``terms``: (keys..., term, weights) with weights a map from class to the gain of the
-    term over an unseen one; ``class_maps``: per model, class -> (log_prior, unseen)."""
+    """``models``: one row per model, (keys..., n_docs, n_terms, log_prior, unseen), NULL prior
+    for a class the model lacks. ``terms``: the term lookup, joined on ``term_keys``;
+    ``gain(i)`` is what a joined term adds to class i over an unseen term, ``known`` tells
+    whether the model's vocabulary has the term."""
 
     keys: tuple[str, ...]
-    classes: DataFrame
-    terms: Lookup
-    class_maps: Lookup
     labels: list[str]
-
-
-def term_counts(doc_terms: DataFrame, keys: Sequence[str] = (), min_df: int = 1) -> DataFrame:
-    """``(keys..., class, term, n)`` from rows ``(doc, keys..., class, term, tf)``."""
-    counts = doc_terms.where("term IS NOT NULL").groupBy(*keys, "class", "term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
-    if min_df <= 1:
-        return counts.drop("df")
-    kept = counts.groupBy(*keys, "term").agg(F.sum("df").alias("__df"), F.collect_list(F.struct("class", "n")).alias("__by_class"))
-    return kept.where(F.col("__df") >= min_df).select(*keys, "term", F.inline("__by_class"))
+    models: Lookup
+    terms: Lookup
+    term_keys: tuple[str, ...]
+    gain: Callable[[int], Column]
+    known: Column
 
 
 def class_counts(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys..., class, n_docs)``."""
     return docs.groupBy(*keys, "class").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def left_out(counts: DataFrame, folds: int, by: Sequence[str], value: str, fold: str = "fold") -> DataFrame:
-    """Counts of all folds but one, for every fold: totals minus the fold's own counts.
+def class_labels(per_class: DataFrame) -> list[str]:
+    """Sorted class names; as few as a label encoder holds."""
+    return sorted(r["class"] for r in per_class.select("class").distinct().collect())
+
+
+def _per_class(labels: Sequence[str], value: str) -> Column:
+    """Array of a value's sums by class."""
+    return F.array(*[F.coalesce(F.sum(F.when(F.col("class") == c, F.col(value))), F.lit(0)) for c in labels])
+
+
+def _added(array: str, size: int) -> Column:
+    """Element-wise sum of arrays over a group."""
+    return F.array(*[F.sum(F.get(array, F.lit(i))) for i in range(size)])
 
-    Grows with the model, not with the training rows.
-    """
-    own = [F.coalesce(F.sum(F.when(F.col(fold) == f, F.col(value))), F.lit(0)) for f in range(folds)]
-    totals = counts.groupBy(*by).agg(F.sum(value).alias("__all"), F.array(*own).alias("__own"))
-    split = totals.select(*by, "__all", F.posexplode("__own").alias(fold, "__n"))
-    return split.select(fold, *by, (F.col("__all") - F.col("__n")).alias(value)).where(F.col(value) > 0)
 
+def term_counts(doc_terms: DataFrame, labels: Sequence[str], keys: Sequence[str] = (), min_df: int = 1) -> DataFrame:
+    """``(keys..., term, n)`` with the term's count per class, from bags ``(keys..., class, term, tf)``."""
+    counts = doc_terms.where("term IS NOT NULL").groupBy(*keys, "term").agg(
+        F.count(F.lit(1)).alias("__df"), _per_class(labels, "tf").alias("n")
+    )
+    return counts.where(F.col("__df") >= min_df).drop("__df")
+
+
+def _model_rows(sizes: DataFrame, smoothing: float, smooth_prior: bool, labels: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Priors and unseen-term costs from ``(keys..., n_docs, n_terms, n_vocabulary)``."""
+    extra = smoothing if smooth_prior else 0.0
+    docs = [F.get("n_docs", F.lit(i)) for i in range(len(labels))]
+    all_docs, present = F.lit(0.0), F.lit(0.0)
+    for d in docs:
+        all_docs, present = all_docs + d, present + F.when(d > 0, 1.0).otherwise(0.0)
+    prior = [F.when(d > 0, F.log((d + extra) / (all_docs + extra * present))) for d in docs]
+    mass = [F.get("n_terms", F.lit(i)) + F.lit(smoothing) * F.col("n_vocabulary") for i in range(len(labels))]
+    unseen = [F.when(m > 0, F.log(F.lit(smoothing)) - F.log(m)).otherwise(F.lit(0.0)) for m in mass]
+    return sizes.select(*keys, "n_docs", "n_terms", F.array(*prior).alias("log_prior"), F.array(*unseen).alias("unseen"))
 
-def fit(counts: DataFrame, docs: DataFrame, smoothing: float, keys: Sequence[str] = (), smooth_prior: bool = False) -> BayesModel:
+
+def _checked(smoothing: float) -> float:
+    if smoothing <= 0:
+        raise ValueError("smoothing must be positive: an unseen term would cost minus infinity")
+    return smoothing
+
+
+def fit(
+    counts: DataFrame, per_class: DataFrame, labels: Sequence[str], smoothing: float, keys: Sequence[str] = (), smooth_prior: bool = False
+) -> BayesModel:
     """Model tables from :func:`term_counts` and :func:`class_counts`.
 
     ``smooth_prior`` also smooths the class priors (as MLlib does); otherwise they are the
-    plain class shares. Zero smoothing is refused: an unseen term would cost minus infinity.
+    plain class shares.
     """
-    if smoothing <= 0:
-        raise ValueError("smoothing must be positive")
-    keys = list(keys)
-    entry = F.struct(F.col("class"), F.col("n"))
-    gain = F.transform_values("counts", lambda _, n: F.log(n + F.lit(smoothing)) - F.log(F.lit(smoothing)))
-    # One row per model and term; a map holds at most one entry per class.
-    terms = durable(
-        counts.groupBy(*keys, "term").agg(F.map_from_entries(F.collect_list(entry)).alias("counts")).withColumn("weights", gain)
-    )
-    totals = terms.select(*keys, F.explode("counts").alias("class", "n")).groupBy(*keys, "class").agg(F.sum("n").alias("n_terms"))
-    vocabulary = terms.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_vocabulary"))
-    all_docs = docs.groupBy(*keys).agg(F.sum("n_docs").alias("n_all"), F.count(F.lit(1)).alias("n_classes"))
-    per_class = docs.join(totals, [*keys, "class"], "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
+    keys, labels, smoothing = list(keys), list(labels), _checked(smoothing)
+    weights = [F.log(F.get("n", F.lit(i)) + F.lit(smoothing)) - F.log(F.lit(smoothing)) for i in range(len(labels))]
+    terms = durable(counts.withColumn("weights", F.array(*weights)))
+    totals = terms.groupBy(*keys).agg(_added("n", len(labels)).alias("n_terms"), F.count(F.lit(1)).alias("n_vocabulary"))
+    docs = per_class.groupBy(*keys).agg(_per_class(labels, "n_docs").alias("n_docs"))
     if keys:
-        per_class = per_class.join(all_docs, keys).join(vocabulary, keys, "left")
+        sizes = docs.join(totals, keys, "left")
+        none = F.array(*[F.lit(0).cast("bigint") for _ in labels])
+        sizes = sizes.withColumns({"n_terms": F.coalesce("n_terms", none), "n_vocabulary": F.coalesce("n_vocabulary", F.lit(0))})
     else:
-        head, size = all_docs.select(F.struct("n_all", "n_classes")).scalar(), vocabulary.scalar()
-        per_class = per_class.withColumns({"n_all": head["n_all"], "n_classes": head["n_classes"], "n_vocabulary": size})
-    extra = F.lit(smoothing if smooth_prior else 0.0)
-    prior = F.log((F.col("n_docs") + extra) / (F.col("n_all") + extra * F.col("n_classes")))
-    mass = F.col("n_terms") + F.lit(smoothing) * F.coalesce("n_vocabulary", F.lit(0))
-    unseen = F.when(mass > 0, F.log(F.lit(smoothing)) - F.log(mass)).otherwise(F.lit(0.0))
-    # Rows per model and class.
-    classes = durable(per_class.select(*keys, "class", "n_docs", "n_terms", prior.alias("log_prior"), unseen.alias("unseen")))
-    per_model = F.map_from_entries(F.collect_list(F.struct(F.col("class"), F.struct("log_prior", "unseen"))))
-    class_maps = stored_lookup(classes.groupBy(*keys).agg(per_model.alias("__classes")))
-    labels = sorted(r["class"] for r in classes.select("class").distinct().collect())  # class names, as a label encoder holds
-    weights = terms.select(*keys, "term", "weights")
-    return BayesModel(tuple(keys), classes, Lookup(weights, measured_bytes(weights)), class_maps, labels)
+        both = totals.select(F.struct("n_terms", "n_vocabulary")).scalar()
+        sizes = docs.withColumns({"n_terms": both["n_terms"], "n_vocabulary": both["n_vocabulary"]})
+    models = stored_lookup(_model_rows(sizes, smoothing, smooth_prior, labels, keys))
+    lookup = terms.select(*keys, "term", "weights")
+    return BayesModel(
+        tuple(keys), labels, models, Lookup(lookup, measured_bytes(lookup)), (*keys, "term"),
+        lambda i: F.get("weights", F.lit(i)), F.col("weights").isNotNull(),
+    )
 
 
-def likelihoods(model: BayesModel) -> DataFrame:
-    """``(keys..., class, term, log_prob)`` for every class and vocabulary term."""
-    keys = list(model.keys)
-    joined = _with_classes(model.terms.rows, model)
-    rows = joined.select(*keys, "term", "weights", F.explode(F.map_entries("__classes")).alias("__c"))
-    log_prob = F.col("__c.value.unseen") + F.coalesce(F.try_element_at("weights", F.col("__c.key")), F.lit(0.0))
-    return rows.select(*keys, F.col("__c.key").alias("class"), "term", log_prob.alias("log_prob"))
+def fit_left_out(doc_terms: DataFrame, docs: DataFrame, folds: int, smoothing: float, fold: str = "fold") -> BayesModel:
+    """One model per left-out fold from a single pass: totals minus the fold's own counts.
+
+    A term's row holds its count per class and, sparsely, per (fold, class), so the lookup
+    has as many rows as the vocabulary, whatever the number of folds.
+    """
+    smoothing = _checked(smoothing)
+    own_docs = durable(class_counts(docs, [fold]))
+    labels = class_labels(own_docs)
+    size, codes = len(labels), range(folds * len(labels))
+    place = F.col(fold) * size + F.array_position(F.array(*[F.lit(c) for c in labels]), F.col("class")).cast("int") - 1
+    own = F.array(*[F.coalesce(F.sum(F.when(F.col("__place") == j, F.col("tf"))), F.lit(0)) for j in codes])
+    dense = doc_terms.where("term IS NOT NULL").withColumn("__place", place).groupBy("term").agg(own.alias("__own"))
+    filled = F.filter(F.transform("__own", lambda n, j: F.struct(j.alias("place"), n.alias("n"))), lambda e: e["n"] > 0)
+    total = F.array(*[sum((F.get("__own", F.lit(f * size + i)) for f in range(1, folds)), F.get("__own", F.lit(i))) for i in range(size)])
+    terms = durable(dense.select("term", total.alias("n"), F.map_from_entries(filled).alias("own")))
+
+    # Tables of folds x classes from here on.
+    sums = terms.select(F.explode("own").alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n"))
+    sole = F.floor(F.array_min(F.map_keys("own")) / size)
+    only_here = terms.where(sole == F.floor(F.array_max(F.map_keys("own")) / size)).groupBy(sole.cast("int").alias(fold)).count()
+    all_terms = terms.agg(F.struct(_added("n", size).alias("n"), F.count(F.lit(1)).alias("v"))).scalar()
+    all_docs = own_docs.agg(_per_class(labels, "n_docs")).scalar()
+    per_fold = own_docs.groupBy(fold).agg(_per_class(labels, "n_docs").alias("__docs"))
+    fold_terms = sums.groupBy(F.floor(F.col("place") / size).cast("int").alias(fold)).agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.pmod("place", F.lit(size)) == i, F.col("n"))), F.lit(0)) for i in range(size)]).alias("__terms")
+    )
+    joined = per_fold.join(fold_terms, fold, "left").join(only_here, fold, "left").withColumns({"__at": all_terms, "__ad": all_docs})
+
+    def rest(whole: Column, part: str) -> Column:
+        return F.array(*[F.get(whole, F.lit(i)) - F.coalesce(F.get(part, F.lit(i)), F.lit(0)) for i in range(size)])
+
+    sizes = joined.select(
+        fold, rest(F.col("__ad"), "__docs").alias("n_docs"), rest(F.col("__at.n"), "__terms").alias("n_terms"),
+        (F.col("__at.v") - F.coalesce("count", F.lit(0))).alias("n_vocabulary"),
+    )
+    models = stored_lookup(_model_rows(sizes, smoothing, False, labels, [fold]))
+
+    def remaining(i: int) -> Column:
+        return F.get("n", F.lit(i)) - F.coalesce(F.try_element_at("own", F.col(fold) * size + i), F.lit(0))
+
+    def gain(i: int) -> Column:
+        return F.log(remaining(i) + F.lit(smoothing)) - F.log(F.lit(smoothing))
 
+    known = sum((remaining(i) for i in range(1, size)), remaining(0)) > 0
+    return BayesModel((fold,), labels, models, Lookup(terms, measured_bytes(terms)), ("term",), gain, known)
 
-def _with_classes(df: DataFrame, model: BayesModel, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Add the class map of each row's model."""
+
+def _with_model(df: DataFrame, model: BayesModel, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Add each row's ``__prior`` and ``__unseen`` arrays."""
+    rows = model.models.rows.select(*model.keys, F.col("log_prior").alias("__prior"), F.col("unseen").alias("__unseen"))
     if model.keys:
-        return join_lookup(df, model.class_maps, model.keys, broadcast_bytes=broadcast_bytes)
-    return df.withColumn("__classes", model.class_maps.rows.scalar())
+        return join_lookup(df, Lookup(rows, model.models.size), model.keys, broadcast_bytes=broadcast_bytes)
+    only = rows.select(F.struct("__prior", "__unseen")).scalar()
+    return df.withColumns({"__prior": only["__prior"], "__unseen": only["__unseen"]})
+
+
+def class_table(model: BayesModel) -> DataFrame:
+    """``(keys..., class, n_docs, n_terms, log_prior)`` of the classes each model knows."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(c).alias("class"), *[F.get(col, F.lit(i)).alias(col) for col in ("n_docs", "n_terms", "log_prior")])
+            for i, c in enumerate(model.labels)
+        ]
+    )
+    return model.models.rows.select(*model.keys, F.inline(rows)).where("log_prior IS NOT NULL")
+
+
+def likelihoods(model: BayesModel) -> DataFrame:
+    """``(keys..., class, term, log_prob)`` for every class and vocabulary term."""
+    joined = _with_model(model.terms.rows, model)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("class"),
+                F.when(F.get("__prior", F.lit(i)).isNotNull(), F.get("__unseen", F.lit(i)) + model.gain(i)).alias("log_prob"),
+            )
+            for i, c in enumerate(model.labels)
+        ]
+    )
+    return joined.select(*model.keys, "term", F.inline(rows)).where("log_prob IS NOT NULL")
 
 
 def score(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``(doc..., scores)``: class -> log posterior (unnormalised) of every document.
+    """``(doc..., scores)``: log posteriors (unnormalised) in label order, NULL for a class
+    the model lacks.
 
     ``doc_terms`` are outer bags ``(doc..., term, tf)``, with the model keys among ``doc``.
     Terms outside a model's vocabulary are ignored; a text without known terms is scored
     by the priors. A document's rows lie in one task, so only one row of partial sums per
     document is shuffled.
     """
-    known = join_lookup(doc_terms, model.terms, [*model.keys, "term"], "left", broadcast_bytes)
-    gains = [F.sum(F.col("tf") * F.try_element_at("weights", F.lit(c))).alias(f"__gain_{i}") for i, c in enumerate(model.labels)]
-    summed = known.groupBy(*doc).agg(F.sum(F.when(F.col("weights").isNotNull(), F.col("tf")).otherwise(0)).alias("__n"), *gains)
-    gain_map = F.map_from_entries(
-        F.array(*[F.struct(F.lit(c), F.coalesce(F.col(f"__gain_{i}"), F.lit(0.0))) for i, c in enumerate(model.labels)])
+    joined = join_lookup(doc_terms, model.terms, model.term_keys, "left", broadcast_bytes)
+    size = range(len(model.labels))
+    known = F.coalesce(model.known, F.lit(False))
+    summed = joined.groupBy(*doc).agg(
+        F.sum(F.when(known, F.col("tf")).otherwise(0)).alias("__n"),
+        *[F.coalesce(F.sum(F.when(known, F.col("tf") * model.gain(i))), F.lit(0.0)).alias(f"__gain_{i}") for i in size],
     )
-
-    def posterior(label: Column, c: Column) -> Column:
-        return c["log_prior"] + F.col("__n") * c["unseen"] + F.try_element_at("__gains", label)
-
-    scored = _with_classes(summed.select(*doc, "__n", gain_map.alias("__gains")), model, broadcast_bytes)
-    return scored.select(*doc, F.transform_values("__classes", posterior).alias("scores"))
+    scores = [F.get("__prior", F.lit(i)) + F.col("__n") * F.get("__unseen", F.lit(i)) + F.col(f"__gain_{i}") for i in size]
+    return _with_model(summed, model, broadcast_bytes).select(*doc, F.array(*scores).alias("scores"))
 
 
 def predict(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc..., predicted, score)``: the class with the largest score, first label on ties."""
     scored = score(doc_terms, model, doc, broadcast_bytes)
-    ranked = F.transform(F.map_entries("scores"), lambda e: F.struct((-e["value"]).alias("cost"), e["key"].alias("label")))
-    best = F.array_min(ranked)
+    options = [
+        F.when(F.get("scores", F.lit(i)).isNotNull(), F.struct((-F.get("scores", F.lit(i))).alias("cost"), F.lit(c).alias("label")))
+        for i, c in enumerate(model.labels)
+    ]
+    best = F.array_min(F.array(*options))
     return scored.select(*doc, best["label"].alias("predicted"), (-best["cost"]).alias("score"))
 
 
@@ -143,19 +229,20 @@ def entity_models(doc_terms: DataFrame, docs: DataFrame, entity: str, smoothing:
     model, whose counts are the sums of the entities' counts."""
     lower = F.lower(F.col(entity))
     per_class = durable(class_counts(docs.withColumn(entity, lower), [entity]))
-    per_term = durable(term_counts(doc_terms.withColumn(entity, lower), [entity]))
+    labels = class_labels(per_class)
+    per_term = durable(term_counts(doc_terms.withColumn(entity, lower), labels, [entity]))
     eligible = per_class.groupBy(entity).agg(F.sum("n_docs").alias("__n")).where(F.col("__n") >= min_rows).select(entity)
     key = F.lit(GLOBAL).alias(entity)
     all_docs = per_class.groupBy("class").agg(F.sum("n_docs").alias("n_docs")).select(key, "class", "n_docs")
-    all_terms = per_term.groupBy("class", "term").agg(F.sum("n").alias("n")).select(key, "class", "term", "n")
+    all_terms = per_term.groupBy("term").agg(_added("n", len(labels)).alias("n")).select(key, "term", "n")
     own_docs = per_class.join(eligible, entity).select(entity, "class", "n_docs")
-    own_terms = join_lookup(per_term, eligible, [entity]).select(entity, "class", "term", "n")
-    return fit(own_terms.unionByName(all_terms), own_docs.unionByName(all_docs), smoothing, [entity])
+    own_terms = join_lookup(per_term, eligible, [entity]).select(entity, "term", "n")
+    return fit(own_terms.unionByName(all_terms), own_docs.unionByName(all_docs), labels, smoothing, [entity])
 
 
 def resolve_entity(df: DataFrame, model: BayesModel, entity: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace the entity by the key of its model, or by the global key if it has none."""
-    known = model.classes.select(F.col(entity).alias("__key")).distinct().withColumn("__found", F.lit(True))
+    known = model.models.rows.select(F.col(entity).alias("__key"), F.lit(True).alias("__found"))
     keyed = df.withColumn("__key", F.lower(F.col(entity)))
-    matched = join_lookup(keyed, known, ["__key"], "left", broadcast_bytes)
+    matched = join_lookup(keyed, Lookup(known, model.models.size), ["__key"], "left", broadcast_bytes)
     return matched.withColumn(entity, F.when(F.col("__found"), F.col("__key")).otherwise(F.lit(GLOBAL))).drop("__key", "__found")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.session import durable
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_SHARE = 1 / 256
 SALTS = 64
 

@@ -35,7 +35,7 @@ def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = Fa
     A text is one row, so its equal words are counted inside the row (runs of the sorted
     array) and nothing is shuffled. ``outer`` keeps texts without words, with a NULL term.
     """
-    ordered = df.select(*doc, F.array_sort(items).alias("__words"))
+    ordered = df.select(*doc, F.sort_array(items).alias("__words"))
     words, size = F.col("__words"), F.size("__words")
     starts = F.filter(F.sequence(F.lit(0), size), lambda i: (i < size) & ((i == 0) | (F.get(words, i) != F.get(words, i - 1))))
     runs = ordered.select(*doc, "__words", starts.alias("__starts"))

@@ -13,6 +13,7 @@ from sparkmine.operators.text import doc_terms
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_seeded_key, sql_stratified_folds
 from sparkmine.plans.text import SQL_TOKENS
+from sparkmine.session import durable
 from sparkmine.sources.tables import spread, table
 
 QUERIES: dict = {}
@@ -37,8 +38,9 @@ def bag_of_words(documents: DataFrame, columns: list[str], rule: bool = False) -
 
 def _split_model(spark: SparkSession, sf_dir: str, smoothing: float, min_df: int) -> B.BayesModel:
     train = labelled_documents(spark, sf_dir).where("split = 'train'")
-    counts = B.term_counts(bag_of_words(train, ["class"]), min_df=min_df)
-    return B.fit(counts, B.class_counts(train), smoothing)
+    per_class = durable(B.class_counts(train))
+    labels = B.class_labels(per_class)
+    return B.fit(B.term_counts(bag_of_words(train, ["class"]), labels, min_df=min_df), per_class, labels, smoothing)
 
 
 SQL_SPLIT = f"""CASE WHEN {sql_seeded_key("doc_id", SPLIT_SEED)} < cast(floor(0.8::DOUBLE * 2147483647) AS BIGINT)
@@ -65,7 +67,7 @@ SQL_SCORES = """
 @query(f"WITH {SQL_MODEL} SELECT class, n_docs, round(log_prior, 9) AS log_prior FROM cls")
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _split_model(spark, sf_dir, 0.2, 2)
-    return model.classes.select("class", "n_docs", F.round("log_prior", 9).alias("log_prior"))
+    return B.class_table(model).select("class", "n_docs", F.round("log_prior", 9).alias("log_prior"))
 
 
 @query(f"""WITH {SQL_MODEL}
@@ -143,11 +145,8 @@ def _cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("class"), "text")
     documents = S.stratified_kfold(named, "doc_id", "class", FOLDS)
     bags = bag_of_words(documents, ["doc_id", "class", "fold"])
-    own_terms = bags.where("term IS NOT NULL").groupBy("fold", "class", "term").agg(F.sum("tf").alias("n"))
-    own_docs = documents.groupBy("fold", "class").agg(F.count(F.lit(1)).alias("n_docs"))
-    terms = B.left_out(own_terms, FOLDS, ["class", "term"], "n")
-    docs = B.left_out(own_docs, FOLDS, ["class"], "n_docs")
-    return B.predict(bags, B.fit(terms, docs, 0.2, ["fold"]), ["doc_id", "fold", "class"])
+    model = B.fit_left_out(bags, documents, FOLDS, 0.2)
+    return B.predict(bags, model, ["doc_id", "fold", "class"])
 
 
 SQL_CV = f"""

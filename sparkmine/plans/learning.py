@@ -104,7 +104,7 @@ VOCABULARY = 1000
 def _token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("author"), "text")
     rows = spread(documents).select("doc_id", "author", X.tokens("text").alias("tokens"))
-    return durable(S.hash_split(rows, "doc_id", {"train": 0.8, "test": 0.2}, seed=7))
+    return S.hash_split(rows, "doc_id", {"train": 0.8, "test": 0.2}, seed=7)
 
 
 def _vectorizer(rows: DataFrame, size: int):
@@ -219,9 +219,10 @@ def periodic_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def onehot_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line price from one-hot flags and squared measures: metrics on both parts."""
-    lines = table(spark, sf_dir, "lineitem").na.drop()
+    columns = ["l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice"]
+    lines = spread(table(spark, sf_dir, "lineitem").select(columns).na.drop())
     lines = lines.withColumns(L.squared_columns(["l_quantity", "l_discount"])).drop("l_tax")
-    split = durable(S.hash_split(lines, "l_orderkey", {"train": 0.8, "test": 0.2}, seed=42))
+    split = S.hash_split(lines, "l_orderkey", {"train": 0.8, "test": 0.2}, seed=42)
     flags = ["l_returnflag", "l_linestatus"]
     numbers = ["l_quantity", "l_discount", "l_linenumber", "l_quantity_sq", "l_discount_sq"]
     estimator = LinearRegression(maxIter=100, regParam=0.3, elasticNetParam=0.5)
