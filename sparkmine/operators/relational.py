@@ -132,15 +132,13 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, weight: Column |
 
 def correlations(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Pearson correlation of every feature with the label in one pass; NULL if constant."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.when((F.stddev_pop(f) > 0) & (F.stddev_pop(label) > 0), F.corr(f, label)).alias("corr"),
-            )
-            for f in features
-        ]
-    )
+
+    def corr(feature: str) -> Column:
+        x = F.when(F.col(label).isNotNull(), F.col(feature).cast("double"))
+        y = F.when(F.col(feature).isNotNull(), F.col(label).cast("double"))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), corr(f).alias("corr")) for f in features])
     return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
@@ -194,6 +192,6 @@ def sorted_label_concat(counted: DataFrame, key: str, label: str, n: str, sep: s
     ranked = with_running_sums(marked.where("__large").drop("__large"), [label], {"__end": F.col("__n")}, within=[key])
     first = F.col("__end") - F.col("__n")
     covered = F.sequence(F.floor(first / part_rows), F.floor((F.col("__end") - 1) / part_rows))
-    spans = ranked.select(key, label, first.alias("__first"), "__end", F.explode(covered).cast("int").alias("part"))
+    spans = ranked.select(key, label, first.alias("__first"), "__end", F.explode(covered.cast("array<int>")).alias("part"))
     copies = F.least(F.col("__end"), (F.col("part") + 1) * part_rows) - F.greatest(F.col("__first"), F.col("part") * part_rows)
     return collected(small, F.col("__n")).unionByName(collected(spans, copies))

@@ -48,7 +48,9 @@ def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = Fa
     )
     unfold = F.inline_outer if outer else F.inline
     rows = runs.select(*doc, unfold(bag))
-    return rows.where("term IS NULL OR term <> ''") if outer else rows.where("term <> ''")
+    if outer:  # an empty piece may be a text's only row
+        return rows.withColumn("term", F.nullif("term", F.lit("")))
+    return rows.where("term <> ''")
 
 
 def vocabulary(terms: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:
