@@ -120,14 +120,18 @@ def _errors(mean: np.ndarray, cov: np.ndarray, beta: np.ndarray, intercept: floa
     return float(cov[p, p] - 2 * beta @ cov[:p, p] + beta @ cov[:p, :p] @ beta + bias * bias)
 
 
-def linear_fits(moments: DataFrame, n_features: int, specs: Sequence[tuple[float, float]], by: Sequence[str] = ()) -> DataFrame:
-    """Fit every ``(reg_param, elastic_net)`` of ``specs`` to every row of :func:`comoments`."""
+def linear_fits(
+    moments: DataFrame, n_features: int, specs: Sequence[tuple[float, float]], by: Sequence[str] = (), use: int | None = None
+) -> DataFrame:
+    """Fit every ``(reg_param, elastic_net)`` of ``specs`` to every row of :func:`comoments`,
+    with all features or the first ``use`` of them."""
+    chosen = [*range(n_features if use is None else use), n_features]
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for record in batch.to_dict("records"):
-                mean, cov = np.asarray(record["mean"]), _matrix(np.asarray(record["cov"]), n_features + 1)
+                mean, cov = np.asarray(record["mean"])[chosen], _matrix(np.asarray(record["cov"]), n_features + 1)[np.ix_(chosen, chosen)]
                 for reg_param, elastic_net in specs:
                     beta, intercept = _solve(mean, cov, reg_param, elastic_net)
                     mse = _errors(mean, cov, beta, intercept)
@@ -298,10 +302,10 @@ def extreme_lines(grid: DataFrame, x: str, coefficients: DataFrame) -> DataFrame
 
 def evaluation_grid(df: DataFrame, x: str, points: int = 100, margin: float = 0.05) -> DataFrame:
     """``points`` values of ``x`` from 5 % below its minimum to 5 % above its maximum."""
-    limits = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    pad = (limits["hi"] - limits["lo"]) * margin
-    step = (limits["hi"] - limits["lo"] + 2 * pad) / (points - 1)
-    return df.sparkSession.range(points).select(F.col("id"), (limits["lo"] - pad + step * F.col("id")).alias(x))
+    limits = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi")).withColumn("__pad", (F.col("__hi") - F.col("__lo")) * margin)
+    numbered = limits.withColumn("id", F.explode(F.sequence(F.lit(0), F.lit(points - 1)).cast("array<bigint>")))
+    step = (F.col("__hi") - F.col("__lo") + 2 * F.col("__pad")) / (points - 1)
+    return numbered.select("id", (F.col("__lo") - F.col("__pad") + step * F.col("id")).alias(x))
 
 
 def score_linear(df: DataFrame, features: Sequence[Column], coefficients: Sequence[float], intercept: float) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.operators.joins import join_lookup, stored_lookup
 from sparkmine.operators.ordering import with_row_index, with_running_sums
+from sparkmine.session import durable
 
 # Fixed value: "Name (1999)" with optional trailing blanks.
 TITLE_PATTERN = r"^(.*?)\s*\((\d{4})\)\s*$"
@@ -105,17 +106,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, weight: Column |
     """
     source = df.select(*[F.col(c).cast("double").alias(c) for c in columns], (F.lit(1) if weight is None else weight).alias("__w"))
     present = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
-    limits = source.agg(F.struct(*present).alias("limits"))
-    range_of = limits.scalar()
+    limits = durable(source.agg(F.struct(*present).alias("limits")))  # one row
 
     def bucket(c: str) -> Column:
-        start, width = _edges(range_of[c]["lo"], range_of[c]["hi"], bins)
+        start, width = _edges(F.col(f"__limits.{c}.lo"), F.col(f"__limits.{c}.hi"), bins)
         return F.least(F.floor((F.col(c) - start) / width), F.lit(bins - 1)).cast("int")
 
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), bucket(c).alias("bin")) for c in columns])
-    filled = (
-        source.select(F.inline(pairs), "__w").where(F.col("bin").isNotNull()).groupBy("name", "bin").agg(F.sum("__w").alias("n"))
-    )
+    placed = source.withColumn("__limits", limits.scalar()).select(F.inline(pairs), "__w")
+    filled = placed.where(F.col("bin").isNotNull()).groupBy("name", "bin").agg(F.sum("__w").alias("n"))
 
     def frame(c: str) -> Column:
         start, width = _edges(F.col(f"limits.{c}.lo"), F.col(f"limits.{c}.hi"), bins)

@@ -123,16 +123,17 @@ def seasonal_decompose(series: DataFrame, period: int, t: str = "t", y: str = "y
 
 def amplitude_spectrum(series: DataFrame, bins: int, t: str = "t", y: str = "y") -> DataFrame:
     """``(k, amplitude)`` of frequency bins 1..bins: all bins in one aggregate."""
-    size = series.agg(F.count(y)).scalar()
-    angle = F.lit(2 * math.pi) * F.col(t) / size
+    stored = durable(series.select(t, y))
+    size = stored.agg(F.count(y)).scalar()
+    turned = stored.withColumn("__angle", F.lit(2 * math.pi) * F.col(t) / size)
     parts = [
         F.struct(
             F.lit(k).alias("k"),
-            F.sum(F.col(y) * F.cos(angle * k)).alias("re"),
-            F.sum(F.col(y) * F.sin(angle * k)).alias("im"),
+            F.sum(F.col(y) * F.cos(F.col("__angle") * k)).alias("re"),
+            F.sum(F.col(y) * F.sin(F.col("__angle") * k)).alias("im"),
             F.count(y).alias("n"),
         )
         for k in range(1, bins + 1)
     ]
-    summed = series.agg(F.array(*parts).alias("bins")).select(F.inline("bins"))
+    summed = turned.agg(F.array(*parts).alias("bins")).select(F.inline("bins"))
     return summed.select("k", (F.lit(2.0) / F.col("n") * F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))).alias("amplitude"))

@@ -9,6 +9,7 @@ from sparkmine.operators import linear as L
 from sparkmine.operators import montecarlo as MC
 from sparkmine.operators import sampling as S
 from sparkmine.plans.registry import registrar
+from sparkmine.session import durable
 from sparkmine.sources.tables import table
 
 QUERIES: dict = {}
@@ -111,8 +112,9 @@ def prediction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """100 grid points around the data's range and the fitted line on them."""
     lines = _lines(spark, sf_dir)
     line = lines.agg(F.struct(F.regr_slope("Y", "X").alias("b"), F.regr_intercept("Y", "X").alias("a"))).scalar()
-    grid = L.evaluation_grid(lines, "X")
-    return grid.select("id", F.round("X", 9).alias("X"), F.round(line["a"] + line["b"] * F.col("X"), 5).alias("prediction"))
+    grid = L.evaluation_grid(lines, "X").withColumn("line", line)
+    prediction = F.col("line.a") + F.col("line.b") * F.col("X")
+    return grid.select("id", F.round("X", 9).alias("X"), F.round(prediction, 5).alias("prediction"))
 
 
 @query("""
@@ -134,11 +136,12 @@ def poly2_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def poly_order_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """r2 and mse of penalised orders 2 and 3 per dataset (ship mode group), one row each."""
+    """r2 and mse of penalised orders 2 and 3 per dataset (return flag), one row each."""
     lines = _lines(spark, sf_dir).withColumns(L.power_columns("X", 3))
     by = ["l_returnflag"]
-    second = L.linear_fits(L.comoments(lines, ["X", "X2"], "Y", by), 2, [(10.0, 0.8)], by).withColumn("degree", F.lit(2))
-    third = L.linear_fits(L.comoments(lines, ["X", "X2", "X3"], "Y", by), 3, [(0.3, 0.8)], by).withColumn("degree", F.lit(3))
+    moments = durable(L.comoments(lines, ["X", "X2", "X3"], "Y", by))  # one row per dataset
+    second = L.linear_fits(moments, 3, [(10.0, 0.8)], by, use=2).withColumn("degree", F.lit(2))
+    third = L.linear_fits(moments, 3, [(0.3, 0.8)], by).withColumn("degree", F.lit(3))
     return second.unionByName(third).groupBy(*by).pivot("degree", [2, 3]).agg(F.first("r2").alias("r2"), F.first("mse").alias("mse"))
 
 
