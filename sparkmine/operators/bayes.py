@@ -56,7 +56,11 @@ def _added(array: str, size: int) -> Column:
 
 
 def term_counts(doc_terms: DataFrame, labels: Sequence[str], keys: Sequence[str] = (), min_df: int = 1) -> DataFrame:
-    """``(keys..., term, n)`` with the term's count per class, from bags ``(keys..., class, term, tf)``."""
+    """``(keys..., term, n)`` with the term's count per class, from bags ``(keys..., class, term, tf)``.
+
+    ``min_df`` counts rows of a term, so it needs one row per text and term; otherwise
+    rows may also be single words.
+    """
     counts = doc_terms.where("term IS NOT NULL").groupBy(*keys, "term").agg(
         F.count(F.lit(1)).alias("__df"), _per_class(labels, "tf").alias("n")
     )
@@ -197,7 +201,8 @@ def score(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast
     """``(doc..., scores)``: log posteriors (unnormalised) in label order, NULL for a class
     the model lacks.
 
-    ``doc_terms`` are outer bags ``(doc..., term, tf)``, with the model keys among ``doc``.
+    ``doc_terms`` are outer bags or word rows ``(doc..., term, tf)``, with the model keys
+    among ``doc``.
     Terms outside a model's vocabulary are ignored; a text without known terms is scored
     by the priors. A document's rows lie in one task, so only one row of partial sums per
     document is shuffled.

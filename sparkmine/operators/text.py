@@ -53,6 +53,13 @@ def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = Fa
     return rows.where("term <> ''")
 
 
+def word_rows(df: DataFrame, doc: Sequence[str], items: Column) -> DataFrame:
+    """``(doc..., term, tf)`` with one row per word (tf = 1), in the form of an outer bag:
+    cheaper than counting inside the row where sums follow anyway."""
+    rows = df.select(*doc, F.explode_outer(items).alias("term"))
+    return rows.select(*doc, F.nullif("term", F.lit("")).alias("term"), F.lit(1).cast("bigint").alias("tf"))
+
+
 def vocabulary(terms: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:
     """``(term, n, df, term_id)`` ranked by count, then term: one order on any partitioning.
 

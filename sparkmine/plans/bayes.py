@@ -9,7 +9,7 @@ from sparkmine.functions import text as X
 from sparkmine.operators import bayes as B
 from sparkmine.operators import metrics as M
 from sparkmine.operators import sampling as S
-from sparkmine.operators.text import doc_terms
+from sparkmine.operators.text import doc_terms, word_rows
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_seeded_key, sql_stratified_folds
 from sparkmine.plans.text import SQL_TOKENS
@@ -30,17 +30,17 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.hash_split(named, "doc_id", {"train": 0.8, "test": 0.2}, SPLIT_SEED)
 
 
-def bag_of_words(documents: DataFrame, columns: list[str], rule: bool = False) -> DataFrame:
-    """Outer bags of words; recomputed where needed, since they outweigh the texts."""
+def bag_of_words(documents: DataFrame, columns: list[str], rule: bool = False, counted: bool = False) -> DataFrame:
+    """Words of the texts; recomputed where needed, since they outweigh the texts."""
     items = X.rule_words("text") if rule else X.tokens("text")
-    return doc_terms(spread(documents), columns, items, outer=True)
+    return doc_terms(spread(documents), columns, items, outer=True) if counted else word_rows(spread(documents), columns, items)
 
 
 def _split_model(spark: SparkSession, sf_dir: str, smoothing: float, min_df: int) -> B.BayesModel:
     train = labelled_documents(spark, sf_dir).where("split = 'train'")
     per_class = durable(B.class_counts(train))
     labels = B.class_labels(per_class)
-    return B.fit(B.term_counts(bag_of_words(train, ["class"]), labels, min_df=min_df), per_class, labels, smoothing)
+    return B.fit(B.term_counts(bag_of_words(train, ["class"], counted=min_df > 1), labels, min_df=min_df), per_class, labels, smoothing)
 
 
 SQL_SPLIT = f"""CASE WHEN {sql_seeded_key("doc_id", SPLIT_SEED)} < cast(floor(0.8::DOUBLE * 2147483647) AS BIGINT)

@@ -15,13 +15,14 @@ def read_files(spark: SparkSession, path: str, like: DataFrame, glob: str = "*.p
     return reader.parquet(path)
 
 
-def count_words(texts: DataFrame, items: Column, output: str, checkpoint: str) -> StreamingQuery:
+def count_words(texts: DataFrame, items: Column, output: str, checkpoint: str, tasks: int | None = None) -> StreamingQuery:
     """Count words of a text stream until its present input is used up.
 
     State grows with the vocabulary only. Every batch writes just the words it changed,
-    under its own batch number, so a repeated batch overwrites itself.
+    under its own batch number, so a repeated batch overwrites itself. ``tasks``
+    redistributes batches of few files.
     """
-    counts = word_counts(texts, items)
+    counts = word_counts(texts.repartition(tasks) if tasks else texts, items)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
