@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.joins import BROADCAST_BYTES, Lookup, join_lookup, measured_bytes, stored_lookup
+from sparkmine.operators.joins import BROADCAST_BYTES, Lookup, join_lookup, measured_lookup, stored_lookup
 from sparkmine.session import durable
 
 GLOBAL = "*"
@@ -96,7 +96,8 @@ def fit(
     """
     keys, labels, smoothing = list(keys), list(labels), _checked(smoothing)
     weights = [F.log(F.get("n", F.lit(i)) + F.lit(smoothing)) - F.log(F.lit(smoothing)) for i in range(len(labels))]
-    terms = durable(counts.withColumn("weights", F.array(*weights)))
+    seen = sum((F.get("n", F.lit(i)) for i in range(1, len(labels))), F.get("n", F.lit(0)))
+    terms = durable(counts.withColumns({"weights": F.array(*weights), "seen": seen}))
     totals = terms.groupBy(*keys).agg(_added("n", len(labels)).alias("n_terms"), F.count(F.lit(1)).alias("n_vocabulary"))
     docs = per_class.groupBy(*keys).agg(_per_class(labels, "n_docs").alias("n_docs"))
     if keys:
@@ -107,9 +108,9 @@ def fit(
         both = totals.select(F.struct("n_terms", "n_vocabulary")).scalar()
         sizes = docs.withColumns({"n_terms": both["n_terms"], "n_vocabulary": both["n_vocabulary"]})
     models = stored_lookup(_model_rows(sizes, smoothing, smooth_prior, labels, keys))
-    lookup = terms.select(*keys, "term", "weights")
+    lookup = measured_lookup(terms.select(*keys, "term", "weights", "seen"), weight="seen")
     return BayesModel(
-        tuple(keys), labels, models, Lookup(lookup, measured_bytes(lookup)), (*keys, "term"),
+        tuple(keys), labels, models, lookup, (*keys, "term"),
         lambda i: F.get("weights", F.lit(i)), F.col("weights").isNotNull(),
     )
 
@@ -130,6 +131,7 @@ def fit_left_out(doc_terms: DataFrame, docs: DataFrame, folds: int, smoothing: f
     filled = F.filter(F.transform("__own", lambda n, j: F.struct(j.alias("place"), n.alias("n"))), lambda e: e["n"] > 0)
     total = F.array(*[sum((F.get("__own", F.lit(f * size + i)) for f in range(1, folds)), F.get("__own", F.lit(i))) for i in range(size)])
     terms = durable(dense.select("term", total.alias("n"), F.map_from_entries(filled).alias("own")))
+    seen = sum((F.get("n", F.lit(i)) for i in range(1, size)), F.get("n", F.lit(0)))
 
     # Tables of folds x classes from here on.
     sums = terms.select(F.explode("own").alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n"))
@@ -159,7 +161,7 @@ def fit_left_out(doc_terms: DataFrame, docs: DataFrame, folds: int, smoothing: f
         return F.log(remaining(i) + F.lit(smoothing)) - F.log(F.lit(smoothing))
 
     known = sum((remaining(i) for i in range(1, size)), remaining(0)) > 0
-    return BayesModel((fold,), labels, models, Lookup(terms, measured_bytes(terms)), ("term",), gain, known)
+    return BayesModel((fold,), labels, models, measured_lookup(terms.withColumn("seen", seen), weight="seen"), ("term",), gain, known)
 
 
 def _with_model(df: DataFrame, model: BayesModel, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -17,23 +17,29 @@ HOT_SHARE = 1 / 256
 SALTS = 64
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Text size of all rows, measured by one aggregate."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"]
-    return size or 0
-
-
 @dataclass(frozen=True)
 class Lookup:
-    """A stored lookup table and its measured size, reusable by many joins."""
+    """A stored lookup table with its measured size, reusable by many joins.
+
+    ``weight`` may name a column that tells how often a key is expected in the facts. It
+    only guides how a large lookup is split and never appears in a join's result.
+    """
 
     rows: DataFrame
     size: int
+    widest: int = 0
+    weight: str | None = None
+
+
+def measured_lookup(rows: DataFrame, weight: str | None = None) -> Lookup:
+    """Measure stored rows as text, by one aggregate."""
+    text = F.octet_length(F.to_json(F.struct("*")))
+    found = rows.agg(F.sum(text).alias("size"), F.max(text).alias("widest")).first()
+    return Lookup(rows, found["size"] or 0, found["widest"] or 0, weight)
 
 
-def stored_lookup(df: DataFrame) -> Lookup:
-    rows = durable(df)
-    return Lookup(rows, measured_bytes(rows))
+def stored_lookup(df: DataFrame, weight: str | None = None) -> Lookup:
+    return measured_lookup(durable(df), weight)
 
 
 def join_lookup(
@@ -41,13 +47,35 @@ def join_lookup(
 ) -> DataFrame:
     """Join facts to a lookup that was aggregated from data.
 
-    The lookup is stored once and measured; it is broadcast only below
-    ``broadcast_bytes``, otherwise the hot fact keys are salted and both sides shuffled.
+    The lookup is stored once and measured, and broadcast only below ``broadcast_bytes``.
+    Beyond that its heaviest keys are broadcast and the rest shuffled, if it has weights;
+    otherwise all facts are shuffled with the hot keys salted.
     """
     table = lookup if isinstance(lookup, Lookup) else stored_lookup(lookup)
+    rows = table.rows.drop(table.weight) if table.weight else table.rows
     if table.size <= broadcast_bytes:
-        return facts.join(F.broadcast(table.rows), list(on), how)
-    return salted_join(facts, table.rows, on, how)
+        return facts.join(F.broadcast(rows), list(on), how)
+    if table.weight:
+        return _split_join(facts, table, list(on), how, broadcast_bytes)
+    return salted_join(facts, rows, on, how)
+
+
+def _split_join(facts: DataFrame, table: Lookup, on: list[str], how: str, broadcast_bytes: int) -> DataFrame:
+    """Broadcast as many of the heaviest keys as surely fit, shuffle only the other facts."""
+    step = F.floor(F.log2(F.greatest(F.col(table.weight), F.lit(1))) * 4).cast("int")
+    sizes = {r["step"]: r["n"] for r in table.rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 256 steps
+    room, cut = broadcast_bytes // max(table.widest, 1), None
+    for level in sorted(sizes, reverse=True):
+        if sizes[level] > room:
+            break
+        room, cut = room - sizes[level], level
+    if cut is None:
+        return salted_join(facts, table.rows.drop(table.weight), on, how)
+    heavy = F.broadcast(table.rows.where(step >= cut).drop(table.weight))
+    light = table.rows.where(step < cut).drop(table.weight)
+    matched = facts.join(heavy, on, "inner")
+    rest = salted_join(facts.join(F.broadcast(heavy.select(*on)), on, "left_anti"), light, on, how)
+    return matched.unionByName(rest.select(matched.columns))
 
 
 def salted_join(

@@ -41,7 +41,7 @@ def test_demo_parameters(demo):
     assert prior["Ala"] == pytest.approx(0.571225, abs=1e-6) and prior["Ola"] == pytest.approx(0.428775, abs=1e-6)
 
 
-@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 500, 0])
 def test_demo_posterior(spark, demo, limit):
     request = spark.createDataFrame([(0, "aaa ccc ccc ddd")], "id int, text string")
     model = fitted(demo, 0.01, smooth_prior=True)
@@ -97,18 +97,19 @@ def brute_force(train, text, smoothing):
     return min(best)[1], -min(best)[0]
 
 
-def test_left_out_models_equal_refits(spark):
+@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 400, 0])
+def test_left_out_models_equal_refits(spark, limit):
     rows = [(i, c, t + (" only%d" % i if i % 4 == 0 else ""), i % 3) for i, (c, t) in enumerate(DEMO * 3)]
     df = spark.createDataFrame(rows, "id int, class string, text string, fold int").repartition(5)
     columns = ["id", "fold", "class"]
     model = B.fit_left_out(bags(df, columns), df, 3, 0.2)
-    found = {r["id"]: (r["predicted"], r["score"]) for r in B.predict(bags(df, columns), model, columns).collect()}
+    found = {r["id"]: (r["predicted"], r["score"]) for r in B.predict(bags(df, columns), model, columns, limit).collect()}
     for i, _, text, fold in rows:
         predicted, score = brute_force([(c, t) for _, c, t, f in rows if f != fold], text, 0.2)
         assert found[i] == (predicted, pytest.approx(score))
 
 
-@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 500, 0])
 def test_entities_fall_back_to_the_global_model(spark, limit):
     rows = [(f"E{i % 2}", c, t) for i, (c, t) in enumerate(DEMO)] + [("Solo", "Ala", "aaa")]
     df = spark.createDataFrame(rows, "entity string, class string, text string")

@@ -84,6 +84,19 @@ def test_lookup_above_the_limit_is_not_broadcast(spark):
     assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("limit", [40, 300, 900])
+def test_weighted_lookup_is_split_without_loss(spark, how, limit):
+    facts = spark.createDataFrame(hot_rows() + [(-1, None, 0), (-2, "unmatched", 0)], "id long, g string, v int")
+    lookup = facts.where("g IS NOT NULL AND g <> 'unmatched'").groupBy("g").agg(F.sum("v").alias("s"), F.count("v").alias("w"))
+    weighted = J.stored_lookup(lookup, weight="w")
+    assert weighted.size > limit
+    plain = facts.join(lookup.drop("w"), ["g"], how)
+    split = J.join_lookup(facts, weighted, ["g"], how, broadcast_bytes=limit)
+    assert sorted(split.columns) == sorted(plain.columns)
+    assert sorted(map(str, split.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
 def test_salted_join_rejects_other_types(spark):
     with pytest.raises(ValueError):
         J.salted_join(spark.range(1), spark.range(1), ["id"], "full")
