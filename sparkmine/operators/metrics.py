@@ -122,12 +122,9 @@ def threshold_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score, as the threshold ``score >= t``: tp, fp, what the score itself
     adds (d_tp, d_fp), and the totals of positives and negatives."""
     y = F.col(label).cast("bigint")
-    grouped = durable(
-        df.groupBy(F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("d_tp"), F.sum(1 - y).alias("d_fp"))
-    )
-    totals = grouped.agg(F.struct(F.sum("d_tp").alias("p"), F.sum("d_fp").alias("n"))).scalar()
-    running = with_running_sums(grouped, [F.desc("threshold")], {"tp": F.col("d_tp"), "fp": F.col("d_fp")})
-    return running.withColumns({"positives": totals["p"], "negatives": totals["n"]})
+    grouped = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("d_tp"), F.sum(1 - y).alias("d_fp"))
+    sums = {"tp": F.col("d_tp"), "fp": F.col("d_fp")}
+    return with_running_sums(grouped, [F.desc("threshold")], sums, totals=["positives", "negatives"])
 
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:

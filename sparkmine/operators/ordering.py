@@ -47,9 +47,16 @@ def with_running_sums(
     sums: dict[str, Column],
     within: Sequence[str] = (),
     inclusive: bool = True,
+    totals: Sequence[str] = (),
 ) -> DataFrame:
     """Add one running sum per entry of ``sums`` in ``order_by`` order (``inclusive``
-    counts the row itself). ``order_by`` must be unique inside a ``within`` group."""
+    counts the row itself). ``order_by`` must be unique inside a ``within`` group.
+
+    ``totals`` names columns for the sums over the group (one per entry of ``sums``); they
+    need a single slice table, so they are only given without ``within``.
+    """
+    if totals and within:
+        raise ValueError("totals are only given over the whole table")
     order = [_column(c) for c in order_by]
     groups = list(within)
     addends = {f"__add_{i}": F.coalesce(expr, F.lit(0)) for i, expr in enumerate(sums.values())}
@@ -61,13 +68,16 @@ def with_running_sums(
 
     # A group crosses a slice border at most (slices - 1) times in total, so the shifts
     # kept below have fewer rows than there are shuffle slices: safe to broadcast.
-    totals = sliced.groupBy(*groups, _PART).agg(*[F.sum(a).alias(a) for a in addends])
+    per_slice = sliced.groupBy(*groups, _PART).agg(*[F.sum(a).alias(a) for a in addends])
     earlier = Window.partitionBy(*groups).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(
+    shifts = per_slice.select(
         *[F.col(g).alias(f"__group_{i}") for i, g in enumerate(groups)],
         F.col(_PART).alias("__shift_part"),
         *[F.sum(a).over(earlier).alias(f"__shift{a}") for a in addends],
-    ).where(" OR ".join(f"`__shift{a}` IS NOT NULL" for a in addends))
+        *[F.sum(a).over(Window.partitionBy()).alias(out) for a, out in zip(addends, totals)],
+    )
+    if not totals:
+        shifts = shifts.where(" OR ".join(f"`__shift{a}` IS NOT NULL" for a in addends))
 
     local = Window.partitionBy(*groups, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = sliced.withColumns({f"__run{a}": F.sum(a).over(local) for a in addends})
@@ -80,7 +90,8 @@ def with_running_sums(
         value = F.col(f"__run{a}") + F.coalesce(F.col(f"__shift{a}"), F.lit(0))
         return value if inclusive else value - F.col(a)
 
-    return shifted.select(*[F.col(f"`{c}`") for c in df.columns], *[total(a).alias(out) for a, out in zip(addends, sums)])
+    running = [total(a).alias(out) for a, out in zip(addends, sums)]
+    return shifted.select(*[F.col(f"`{c}`") for c in df.columns], *running, *totals)
 
 
 def top_k(df: DataFrame, k: int, *order_by: Column) -> DataFrame:
