@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +78,21 @@ def iter_batches(df: DataFrame, batch_size: int) -> Iterator[list[Row]]:
         yield batch
 
 
+def map_batches(
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str, batch_size: int | None = None
+) -> DataFrame:
+    """Apply a pandas function to batches of rows on the executors, for work that column
+    expressions cannot express. Batches never cross partitions."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            size = batch_size or max(len(batch), 1)
+            for start in range(0, len(batch), size):
+                yield fn(batch.iloc[start : start + size])
+
+    return df.mapInPandas(run, schema)
+
+
 def column_values(df: DataFrame, column: str) -> Iterator:
     """One column's values streamed to the caller."""
     return (row[0] for row in iter_rows(df.select(column)))

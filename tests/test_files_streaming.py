@@ -64,6 +64,11 @@ def test_local_rows_and_iteration(spark):
     assert files.from_rows(spark, [(1.0, 2.0)], schemas.XY).first()["Y"] == 2.0
 
 
+def test_batches_are_mapped_on_executors(spark):
+    sizes = files.map_batches(spark.range(0, 25, 1, 2), lambda pdf: pdf.agg({"id": ["count"]}).rename(columns={"id": "n"}), "n long", 10)
+    assert sum(r["n"] for r in sizes.collect()) == 25 and all(r["n"] <= 10 for r in sizes.collect())
+
+
 def test_pages_and_views(spark, tmp_path):
     write(tmp_path / "a.html", "<p>one\ntwo</p>")
     page = files.read_pages(spark, str(tmp_path / "*.html")).first()

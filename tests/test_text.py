@@ -28,6 +28,14 @@ def test_tokens_split_on_spaces_punctuation_and_typographic_marks(spark):
         assert r["w"] == [t for t in re.split(separators, TEXTS[r["id"]].lower(), flags=re.ASCII) if t] or r["id"] == 4
 
 
+def test_tokens_equal_library_tokenizer(spark):
+    from pyspark.ml.feature import RegexTokenizer
+
+    library = RegexTokenizer(inputCol="text", outputCol="w", pattern=X.TOKEN_SEPARATORS)
+    rows = library.transform(table(spark)).select("w", X.non_empty(X.tokens("text")).alias("ours")).collect()
+    assert all(r["w"] == r["ours"] for r in rows)
+
+
 def test_words_equal_whitespace_split(spark):
     rows = table(spark).select("id", X.non_empty(X.words("text")).alias("w"), X.word_count("text").alias("n")).collect()
     for r in rows:
