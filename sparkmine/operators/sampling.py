@@ -70,7 +70,8 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int, name: str = "f
 
     Classes are lined up by first appearance; a fold takes from a class as many rows as it
     would by dealing that line out one row at a time. Only keys and labels are sorted: a
-    class's folds are key ranges, so wide rows find their fold from k borders.
+    class's folds are key ranges, so wide rows find their fold from k borders. Rows
+    without a label get no fold.
     """
     ranked = with_row_index(df.select(label, key), [key], within=[label], name="__rank")
     classes = durable(ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__first")))
@@ -90,7 +91,7 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int, name: str = "f
     starts = starts.groupBy(label, F.col("s.__rank").alias("__rank")).agg(F.max("s.fold").alias("fold"))
     borders = join_lookup(ranked, starts, [label, "__rank"])
     per_class = borders.groupBy(label).agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), "fold"))).alias("__borders"))
-    return join_lookup(df, per_class, [label]).select(*df.columns, _last_border(F.col("__borders"), F.col(key)).alias(name))
+    return join_lookup(df, per_class, [label], "left").select(*df.columns, _last_border(F.col("__borders"), F.col(key)).alias(name))
 
 
 def shuffle_positions(df: DataFrame, key: str, seed: int, name: str = "position") -> DataFrame:

@@ -33,6 +33,12 @@ def test_stratified_folds(spark, labels, k):
     assert found == expected_strata(list(labels), k)
 
 
+def test_rows_without_label_are_kept_without_fold(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "id long, c string")
+    found = {r["id"]: r["fold"] for r in S.stratified_kfold(df, "id", "c", 2).collect()}
+    assert found == {1: 0, 2: None, 3: 1, 4: None}
+
+
 def test_fixed_split_takes_the_first_rows(spark):
     split = S.fixed_split(rows_of(spark, 33), ["k"], 0.7).orderBy("k").collect()
     assert [r["split"] for r in split] == ["train"] * 23 + ["test"] * 10
