@@ -8,6 +8,7 @@ from sparkmine.functions import text as X
 from sparkmine.operators import bayes as B
 from sparkmine.operators.text import doc_terms
 
+# The seven demo rows; the tests below hold their published probabilities.
 DEMO = [
     ("Ala", "aaa aaa bbb ccc"), ("Ala", "aaa bbb ddd"), ("Ala", "aaa bbb"), ("Ala", "aaa bbb bbb"),
     ("Ola", "aaa ccc ddd"), ("Ola", "bbb ccc ddd"), ("Ola", "ccc ddd eee"),

@@ -17,7 +17,7 @@ def write(path, text):
 
 
 def test_csv_inference_and_explicit_schema(spark, tmp_path):
-    path = write(tmp_path / "u.csv", "userId,foreName,surName,email\n1,Victor,Skinner,v@x.com\n2,Boris,Howard,b@x.com\n")
+    path = write(tmp_path / "u.csv", "userId,foreName,surName,email\n1,Ada,North,a@x.com\n2,Ben,Ostrow,b@x.com\n")
     inferred, declared = files.read_csv(spark, path), files.read_csv(spark, path, schemas.USERS)
     assert inferred.schema == declared.schema and declared.collect() == inferred.collect()
     assert all(f.nullable for f in declared.schema)
@@ -56,7 +56,7 @@ def test_csv_and_parquet_sinks_overwrite(spark, tmp_path):
 
 
 def test_local_rows_and_iteration(spark):
-    names = ["Victor Skinner", "Boris Howard", "Richard Avery", "Simon Metcalfe", "Robert Black"]
+    names = ["Ada North", "Ben Ostrow", "Cleo Park", "Dan Quill", "Eve Rowan"]
     df = files.from_strings(spark, names)
     assert df.columns == ["value"] and [r["value"] for r in files.iter_rows(df)] == names
     assert [len(b) for b in files.iter_batches(df, 2)] == [2, 2, 1]
