@@ -214,7 +214,8 @@ def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> D
     s2 = sse / (n - 2)
     se_slope = F.sqrt(s2 / (n * F.col("vx")))
     se_intercept = F.sqrt(s2 * (1 / n + F.col("mx") * F.col("mx") / (n * F.col("vx"))))
-    r2 = 1 - F.col("m2") / F.col("vy")
+    # Explained share from the slope itself: 1 - m2 / vy would cancel when it is tiny.
+    r2 = F.col("slope") * F.col("slope") * F.col("vx") / F.col("vy")
     log_likelihood = -n / 2 * (F.log(2 * F.lit(math.pi) * F.col("m2")) + 1)
     skew, kurtosis = F.col("m3") / F.pow("m2", F.lit(1.5)), F.col("m4") / F.pow("m2", F.lit(2))
     jb = n / 6 * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4)
@@ -225,7 +226,7 @@ def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> D
     return one.select(
         "n", "slope", "intercept", se_slope.alias("se_slope"), se_intercept.alias("se_intercept"),
         (F.col("slope") / se_slope).alias("t_slope"), (F.col("intercept") / se_intercept).alias("t_intercept"),
-        r2.alias("r2"), (1 - (1 - r2) * (n - 1) / (n - 2)).alias("adj_r2"), (r2 / (1 - r2) * (n - 2)).alias("f_statistic"),
+        r2.alias("r2"), (1 - (1 - r2) * (n - 1) / (n - 2)).alias("adj_r2"), F.pow(F.col("slope") / se_slope, F.lit(2)).alias("f_statistic"),
         log_likelihood.alias("log_likelihood"), (4 - 2 * log_likelihood).alias("aic"),
         (2 * F.log(n) - 2 * log_likelihood).alias("bic"), "durbin_watson", skew.alias("skew"), kurtosis.alias("kurtosis"),
         jb.alias("jarque_bera"), F.exp(-jb / 2).alias("prob_jb"),
