@@ -7,8 +7,9 @@ are put into size bands; in a band the threshold bounds the symmetric difference
 candidate pair is verified on the exact shingle sets (64-bit hashes).
 
 Scale: one row per piece is shuffled once, about 0.3 rows per word. Copies with equal sets are one node. Each piece
-group is read as a sorted stream, never collected: members are paired with the group's first node; only pairs that
-these links leave in different components are then tried as well, so no pair above the threshold is lost.
+group is read as a sorted stream, never collected: members are paired with the group's first node. Members that these
+links leave in different components meet again by their rarest shingles (see ``_open_pairs``), so no pair above the
+threshold is lost, and a group of many copies that are not similar enough does not make all its pairs.
 
 Edge cases: NULL or blank text has an empty set, which is linked with nothing. Fewer words than a shingle form one
 shingle. Rows without ``doc_id`` are returned with a NULL component and take part in no link. Rows that repeat a
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.llm.shared import attach, components
@@ -162,14 +163,11 @@ def _pair_stream(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, lead, node)], ["key", "a", "b"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose sets reach the threshold."""
+def _candidate_sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """``(node, items)``: the shingle hashes of every node of the pairs."""
     nodes = durable(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    count = nodes.count()
-    if count == 0:
-        return pairs.limit(0)
-    # Only a filter: beyond the bound every set is sent to the join, which then drops it.
-    wanted = np.sort(nodes.toPandas()["node"].to_numpy()) if count <= WANTED_NODES else None
+    # Only a filter: beyond the bound the sets of all nodes are sent to the join, which drops them.
+    wanted = np.sort(nodes.toPandas()["node"].to_numpy(dtype=np.int64)) if nodes.count() <= WANTED_NODES else None
 
     def run(batches):
         seen: set[int] = set()
@@ -191,29 +189,54 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(kept)))], ["node", "items"])
 
     sets = docs.select("doc_id", "text").mapInArrow(run, "node bigint, items array<bigint>").dropDuplicates(["node"])
-    left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("of_a")), sets.select(F.col("node").alias("b"), F.col("items").alias("of_b"))
+    return durable(sets.join(nodes, "node", "left_semi"))
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose sets reach the threshold."""
+    sizes = sets.select("node", F.size("items").alias("n"))
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    # The smaller size bounds the intersection: pairs that the sizes rule out do not meet their sets.
+    near = sized.where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
     both = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - both
-    # The smaller size bounds the intersection: no set is compared that the sizes already rule out.
-    near = F.least(F.size("of_a"), F.size("of_b")) * rule.den >= F.greatest(F.size("of_a"), F.size("of_b")) * rule.num
-    return pairs.join(left, "a").join(right, "b").where(near).where(both * rule.den >= union * rule.num).select("a", "b")
+    compared = near.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
+    return compared.where(both * rule.den >= (F.col("n_a") + F.col("n_b") - both) * rule.num).select("a", "b")
+
+
+def _open_pairs(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of members of different components that may reach the threshold.
+
+    Shingles are ranked by how many members hold them, rarest first. Two linked sets differ in at most ``d`` shingles;
+    those before the first one that they share, p in one and q in the other, all differ. So p + q <= d, and one of
+    the two places is in the first half. Edited copies begin with shingles of their own and meet nobody there.
+    """
+    n = F.size("items")
+    most = F.floor((rule.den - rule.num) * F.floor(n * rule.den / rule.num) / rule.den).cast("int")
+    held = sets.join(members, "node").select("node", "root", most.alias("d"), F.explode("items").alias("item"))
+    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rarest = Window.partitionBy("node").orderBy("n", "item")
+    placed = held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1).where("p <= d AND n > 1")
+    placed = durable(placed.select("item", "node", "root", "d", "p"))
+    early, other = placed.where("2 * p <= d"), placed.toDF("item", "other", "other_root", "other_d", "q")
+    met = early.join(other, "item").where("root <> other_root AND p + q <= least(d, other_d)")
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def links(docs: DataFrame, rule: Rule) -> DataFrame:
     """``(node, root)``: the nodes of linked sets with the smallest node of their component."""
     groups = _pieces(docs, rule).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pair_stream, "key bigint, a bigint, b bigint")
     groups = durable(groups)
-    first = durable(_verified(docs, durable(groups.select("a", "b").distinct()), rule))
+    pairs = durable(groups.select("a", "b").distinct())
+    sets = _candidate_sets(docs, pairs, rule)
+    first = durable(_verified(sets, pairs, rule))
     labels = components(first)
 
-    # Members of one piece group that the group's first node did not bring together are tried pair by pair.
+    # Members of one piece group that the group's first node did not bring together.
     members = groups.select("key", F.col("b").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    open_members = durable(members.join(split, "key", "left_semi"))
-    one, two = open_members, open_members.toDF("key", "other", "other_root")
-    rest = one.join(two, "key").where("node < other AND root <> other_root").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    rest = durable(rest.join(groups.select("a", "b").distinct(), ["a", "b"], "left_anti"))
-    more = durable(_verified(docs, rest, rule))
+    open_members = durable(members.join(split, "key", "left_semi").select("node", "root").distinct())
+    rest = durable(_open_pairs(sets, open_members, rule).join(pairs, ["a", "b"], "left_anti"))
+    more = durable(_verified(sets, rest, rule))
     return components(first.union(more)) if more.limit(1).count() else labels
 
 
