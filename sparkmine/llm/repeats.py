@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.llm.shared import attach
@@ -88,8 +88,13 @@ def _range_arrays(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
 
 
 def _ranges(rows: DataFrame) -> DataFrame:
-    """One row per document row; a list has at most one entry per word of its text."""
-    return rows.groupBy("row_key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    """One row per document row, with its ranges of first words joined to maximal ones."""
+    ordered = Window.partitionBy("row_key").orderBy("lo", "hi")
+    end = F.max("hi").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opened = rows.withColumn("opens", F.coalesce(F.col("lo") > end + 1, F.lit(True)).cast("int"))
+    numbered = opened.withColumn("run", F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = numbered.groupBy("row_key", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return whole.groupBy("row_key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
 
 
 def _window_rows(docs: DataFrame, ranges: DataFrame, window: int) -> DataFrame:
@@ -121,6 +126,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # Seeds: anchors of two documents.
     rows = _anchor_rows(keyed, window, gram)
     seeds = rows.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
+    seeds = durable(seeds)  # a stored side lets the adaptive plan split a hot anchor
     shared = durable(_anchor_rows(keyed, window, gram).join(seeds, "anchor"))
     # Extension over the whole reach of an anchor.
     first = shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("low"))
