@@ -8,8 +8,9 @@ candidate pair is verified on the exact shingle sets (64-bit hashes).
 
 Scale: one row per piece is shuffled once, about 0.3 rows per word. Copies with equal sets are one node. Each piece
 group is read as a sorted stream, never collected: members are paired with the group's first node. Members that these
-links leave in different components meet again by their rarest shingles (see ``_open_pairs``), so no pair above the
-threshold is lost, and a group of many copies that are not similar enough does not make all its pairs.
+links leave in different components meet again by their rarest shingles (see ``_rarest_items``), first with the least
+edited member and then with all that are still apart, so no pair above the threshold is lost, and neither a group of
+many near copies nor one of copies that are not similar enough makes all its pairs.
 
 Edge cases: NULL or blank text has an empty set, which is linked with nothing. Fewer words than a shingle form one
 shingle. Rows without ``doc_id`` are returned with a NULL component and take part in no link. Rows that repeat a
@@ -203,23 +204,41 @@ def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     return compared.where(both * rule.den >= (F.col("n_a") + F.col("n_b") - both) * rule.num).select("a", "b")
 
 
-def _open_pairs(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of members of different components that may reach the threshold.
+def _rarest_items(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """``item, node, d, p``: the first shingles of every member, in order of how many members hold them, rarest first.
 
-    Shingles are ranked by how many members hold them, rarest first. Two linked sets differ in at most ``d`` shingles;
-    those before the first one that they share, p in one and q in the other, all differ. So p + q <= d, and one of
-    the two places is in the first half. Edited copies begin with shingles of their own and meet nobody there.
+    Two linked sets differ in at most ``d`` shingles; those before the first one that they share, p in one and q in the
+    other, all differ, so p + q <= d. Edited copies begin with shingles of their own, which nobody shares.
     """
     n = F.size("items")
     most = F.floor((rule.den - rule.num) * F.floor(n * rule.den / rule.num) / rule.den).cast("int")
-    held = sets.join(members, "node").select("node", "root", most.alias("d"), F.explode("items").alias("item"))
+    held = sets.join(members, "node").select("node", most.alias("d"), F.explode("items").alias("item"))
     counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     rarest = Window.partitionBy("node").orderBy("n", "item")
-    placed = held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1).where("p <= d AND n > 1")
-    placed = durable(placed.select("item", "node", "root", "d", "p"))
-    early, other = placed.where("2 * p <= d"), placed.toDF("item", "other", "other_root", "other_d", "q")
-    met = early.join(other, "item").where("root <> other_root AND p + q <= least(d, other_d)")
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return durable(held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1).where("p <= d AND n > 1").select("item", "node", "d", "p"))
+
+
+def _with_roots(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` whose ends are not in one component yet."""
+    of_a, of_b = labels.toDF("a", "root_a"), labels.toDF("b", "root_b")
+    return pairs.join(of_a, "a", "left").join(of_b, "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
+
+
+def _ordered_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).where("a <> b").distinct()
+
+
+def _central_pairs(placed: DataFrame) -> DataFrame:
+    """Every holder of a shingle with the holder that has the fewest shingles before it, the least edited one."""
+    center = placed.groupBy("item").agg(F.min(F.struct("p", "node")).alias("c"))
+    return _ordered_pairs(placed.join(center, "item").where("p + c.p <= d").select("node", F.col("c.node").alias("other")))
+
+
+def _open_pairs(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs that share one of their rarest shingles and may still be linked; one of the two places is in the first half."""
+    rooted = placed.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    early, other = rooted.where("2 * p <= d"), rooted.select("item", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("d").alias("other_d"), F.col("p").alias("q"))
+    return _ordered_pairs(early.join(other, "item").where("root <> other_root AND p + q <= least(d, other_d)"))
 
 
 def links(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -234,10 +253,14 @@ def links(docs: DataFrame, rule: Rule) -> DataFrame:
     # Members of one piece group that the group's first node did not bring together.
     members = groups.select("key", F.col("b").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    open_members = durable(members.join(split, "key", "left_semi").select("node", "root").distinct())
-    rest = durable(_open_pairs(sets, open_members, rule).join(pairs, ["a", "b"], "left_anti"))
+    placed = _rarest_items(sets, members.join(split, "key", "left_semi").select("node").distinct(), rule)
+    # First with the least edited holder of each shingle, then with all that this leaves apart.
+    central = durable(_with_roots(_central_pairs(placed), labels).join(pairs, ["a", "b"], "left_anti"))
+    known = durable(first.union(_verified(sets, central, rule)))
+    labels = components(known)
+    rest = durable(_open_pairs(placed, labels).join(pairs.union(central), ["a", "b"], "left_anti"))
     more = durable(_verified(sets, rest, rule))
-    return components(first.union(more)) if more.limit(1).count() else labels
+    return components(known.union(more)) if more.limit(1).count() else labels
 
 
 def jaccard_components(docs: DataFrame, rule: Rule) -> DataFrame:
