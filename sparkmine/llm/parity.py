@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.llm.shared import attach, components
@@ -205,17 +205,24 @@ def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _rarest_items(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """``item, node, d, p``: the first shingles of every member, in order of how many members hold them, rarest first.
+    """``item, node, n, p``: the first shingles of every member, in order of how many members hold them, rarest first.
 
-    Two linked sets differ in at most ``d`` shingles; those before the first one that they share, p in one and q in the
-    other, all differ, so p + q <= d. Edited copies begin with shingles of their own, which nobody shares.
+    Two linked sets of n and m shingles share at least o (see :func:`_shared`). Those before the first one that they
+    share, p in one and q in the other, are not in the other set, so p <= n - o and q <= m - o. Edited copies begin
+    with shingles of their own, which nobody shares.
     """
-    n = F.size("items")
-    most = F.floor((rule.den - rule.num) * F.floor(n * rule.den / rule.num) / rule.den).cast("int")
-    held = sets.join(members, "node").select("node", most.alias("d"), F.explode("items").alias("item"))
-    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    rarest = Window.partitionBy("node").orderBy("n", "item")
-    return durable(held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1).where("p <= d AND n > 1").select("item", "node", "d", "p"))
+    held = sets.join(members, "node").select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
+    rarest = Window.partitionBy("node").orderBy("holders", "item")
+    placed = held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1)
+    # The other set has at least num / den of this size.
+    least = F.ceil(F.col("n") * rule.num / rule.den)
+    return durable(placed.where((F.col("p") <= F.col("n") - least) & (F.col("holders") > 1)).select("item", "node", "n", "p"))
+
+
+def _shared(n: Column, m: Column, rule: Rule) -> Column:
+    """How many shingles linked sets of these sizes share at least."""
+    return F.ceil((n + m) * rule.num / (rule.num + rule.den))
 
 
 def _with_roots(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,17 +235,25 @@ def _ordered_pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).where("a <> b").distinct()
 
 
-def _central_pairs(placed: DataFrame) -> DataFrame:
+def _early_enough(rule: Rule) -> Column:
+    shared = _shared(F.col("n"), F.col("other_n"), rule)
+    return (F.col("p") <= F.col("n") - shared) & (F.col("q") <= F.col("other_n") - shared)
+
+
+def _central_pairs(placed: DataFrame, rule: Rule) -> DataFrame:
     """Every holder of a shingle with the holder that has the fewest shingles before it, the least edited one."""
-    center = placed.groupBy("item").agg(F.min(F.struct("p", "node")).alias("c"))
-    return _ordered_pairs(placed.join(center, "item").where("p + c.p <= d").select("node", F.col("c.node").alias("other")))
+    center = placed.groupBy("item").agg(F.min(F.struct("p", "node", "n")).alias("c"))
+    center = center.select("item", F.col("c.p").alias("q"), F.col("c.node").alias("other"), F.col("c.n").alias("other_n"))
+    return _ordered_pairs(placed.join(center, "item").where(_early_enough(rule)))
 
 
-def _open_pairs(placed: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs that share one of their rarest shingles and may still be linked; one of the two places is in the first half."""
+def _open_pairs(placed: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs that share one of their rarest shingles and may still be linked; the smaller set holds it early."""
     rooted = placed.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    early, other = rooted.where("2 * p <= d"), rooted.select("item", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("d").alias("other_d"), F.col("p").alias("q"))
-    return _ordered_pairs(early.join(other, "item").where("root <> other_root AND p + q <= least(d, other_d)"))
+    early = rooted.where(F.col("p") <= F.col("n") - _shared(F.col("n"), F.col("n"), rule))
+    names = {"node": "other", "root": "other_root", "n": "other_n", "p": "q"}
+    met = early.join(rooted.withColumnsRenamed(names), "item").where("root <> other_root AND n <= other_n")
+    return _ordered_pairs(met.where(_early_enough(rule)))
 
 
 def links(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -255,10 +270,10 @@ def links(docs: DataFrame, rule: Rule) -> DataFrame:
     split = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     placed = _rarest_items(sets, members.join(split, "key", "left_semi").select("node").distinct(), rule)
     # First with the least edited holder of each shingle, then with all that this leaves apart.
-    central = durable(_with_roots(_central_pairs(placed), labels).join(pairs, ["a", "b"], "left_anti"))
+    central = durable(_with_roots(_central_pairs(placed, rule), labels).join(pairs, ["a", "b"], "left_anti"))
     known = durable(first.union(_verified(sets, central, rule)))
     labels = components(known)
-    rest = durable(_open_pairs(placed, labels).join(pairs.union(central), ["a", "b"], "left_anti"))
+    rest = durable(_open_pairs(placed, labels, rule).join(pairs.union(central), ["a", "b"], "left_anti"))
     more = durable(_verified(sets, rest, rule))
     return components(known.union(more)) if more.limit(1).count() else labels
 
