@@ -185,6 +185,8 @@ def write_arc(pages: DataFrame, folder: str) -> DataFrame:
     def run(batches):
         version, name = 0, ""
         for batch in batches:
+            if not batch.num_rows:
+                continue
             ids, urls, pages = (batch.column(i).to_pylist() for i in range(3))
             out = []
             if not version:
