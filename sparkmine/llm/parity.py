@@ -164,22 +164,28 @@ def _pair_stream(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, lead, node)], ["key", "a", "b"])
 
 
-def _candidate_sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, items)``: the shingle hashes of every node of the pairs."""
-    nodes = durable(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    # Only a filter: beyond the bound the sets of all nodes are sent to the join, which drops them.
-    wanted = np.sort(nodes.toPandas()["node"].to_numpy(dtype=np.int64)) if nodes.count() <= WANTED_NODES else None
+def _candidate_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """``(node, items)``: the shingle hashes of every node of the pairs, read from the node's smallest ``doc_id``.
+
+    Only repeated rows of that ``doc_id`` can give a node twice, which the uses of the sets allow.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    heads = rows.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("head"))
+    nodes = durable(nodes.join(heads, "node"))
+    # Beyond the bound the sets of all nodes are sent to a join instead, which drops the others.
+    small = nodes.count() <= WANTED_NODES
+    wanted = nodes.orderBy("node").toPandas().to_numpy(dtype=np.int64).reshape(-1, 2) if small else None
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            known = batch.column("doc_id").is_valid().to_pylist()
+            known = batch.column("doc_id").to_pylist()
             for at, sets in _sets(rule, batch.column("text")):
                 ids, kept = [], []
                 for i, s in enumerate(sets):
-                    if not len(s) or not known[at + i] or (node := _node(s)) in seen:
+                    if not len(s) or known[at + i] is None or (node := _node(s)) in seen:
                         continue
-                    if wanted is not None and ((p := np.searchsorted(wanted, node)) == len(wanted) or wanted[p] != node):
+                    if wanted is not None and ((p := np.searchsorted(wanted[:, 0], node)) == len(wanted) or tuple(wanted[p]) != (node, known[at + i])):
                         continue
                     if len(seen) < 500_000:
                         seen.add(node)
@@ -189,8 +195,8 @@ def _candidate_sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                     offsets = np.cumsum([0, *map(len, kept)]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(kept)))], ["node", "items"])
 
-    sets = docs.select("doc_id", "text").mapInArrow(run, "node bigint, items array<bigint>").dropDuplicates(["node"])
-    return durable(sets.join(nodes, "node", "left_semi"))
+    sets = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "node bigint, items array<bigint>")
+    return durable(sets if small else sets.dropDuplicates(["node"]).join(nodes, "node", "left_semi"))
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -214,7 +220,7 @@ def _rarest_items(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     held = sets.join(members, "node").select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
     counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
     rarest = Window.partitionBy("node").orderBy("holders", "item")
-    placed = held.join(counts, "item").withColumn("p", F.row_number().over(rarest) - 1)
+    placed = held.join(counts, "item").withColumn("p", F.dense_rank().over(rarest) - 1)
     # The other set has at least num / den of this size.
     least = F.ceil(F.col("n") * rule.num / rule.den)
     return durable(placed.where((F.col("p") <= F.col("n") - least) & (F.col("holders") > 1)).select("item", "node", "n", "p"))
@@ -256,12 +262,12 @@ def _open_pairs(placed: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     return _ordered_pairs(met.where(_early_enough(rule)))
 
 
-def links(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, root)``: the nodes of linked sets with the smallest node of their component."""
+def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+    """``(node, root)``: the nodes of linked sets with the smallest node of their component; ``rows`` as of :func:`shingle_sets`."""
     groups = _pieces(docs, rule).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pair_stream, "key bigint, a bigint, b bigint")
     groups = durable(groups)
     pairs = durable(groups.select("a", "b").distinct())
-    sets = _candidate_sets(docs, pairs, rule)
+    sets = _candidate_sets(docs, rows, pairs, rule)
     first = durable(_verified(sets, pairs, rule))
     labels = components(first)
 
@@ -281,7 +287,7 @@ def links(docs: DataFrame, rule: Rule) -> DataFrame:
 def jaccard_components(docs: DataFrame, rule: Rule) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id`` (smallest linked ``doc_id``)."""
     rows = durable(shingle_sets(docs, rule))
-    joined = links(docs, rule)
+    joined = links(docs, rows, rule)
     nodes = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     nodes = nodes.join(joined, "node", "left").select("node", "low", "high", F.coalesce("root", "node").alias("root"))
     lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
