@@ -12,12 +12,12 @@ from sparkmine.session import durable
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
-    """n, mse, rmse, mae and r2, over the table or per group."""
+    """n, mse, rmse, mae and r2 over the rows that have both label and prediction, for the table or per group."""
     y, error = F.col(label).cast("double"), F.col(label).cast("double") - F.col(prediction)
     mse = F.avg(error * error)
-    spread = F.var_pop(y)
+    spread = F.var_pop(F.when(error.isNotNull(), y))
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(error).alias("n"),
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),

@@ -87,3 +87,9 @@ def test_one_class_only_has_no_auc(spark):
     df = spark.createDataFrame([(0.1, 1), (0.2, 1)], "score double, y int")
     assert M.auc(df, "score", "y").first()["auc"] is None
     assert M.roc_points(df, "score", "y").where(F.col("fpr") > 0).count() == 1
+
+
+def test_regression_metrics_skip_rows_without_prediction(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (3.0, 2.0), (50.0, None), (None, 4.0)], "label double, prediction double")
+    row = M.regression_metrics(df, "label").first()
+    assert (row.n, row.mse, row.mae, row.r2) == (2, 0.5, 0.5, 0.5)
