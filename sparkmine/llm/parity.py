@@ -164,8 +164,33 @@ def _pair_stream(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, lead, node)], ["key", "a", "b"])
 
 
+def bit_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity sketch of a whole set in at least two bits a shingle; the number of 64-bit words is a power of two."""
+    words = 1 << max(0, math.ceil(math.log2(len(shingles) / 32)))
+    sketch, place = np.zeros(words, np.uint64), shingles & np.uint64(64 * words - 1)
+    np.bitwise_xor.at(sketch, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+    return sketch
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays)))
+
+
+def _hamming(x: str, y: str) -> Column:
+    """Distance of two sketches, at most the symmetric difference of the sets; halves of the longer one are folded together."""
+
+    def folded(a: str, b: str) -> Column:
+        half = F.size(b)
+        halves = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(a) > half, halves).otherwise(F.col(a))
+
+    flips = F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(flips, F.lit(0), lambda total, n: total + n)
+
+
 def _candidate_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, items)``: the shingle hashes of every node of the pairs, read from the node's smallest ``doc_id``.
+    """``(node, items, bits)``: shingle hashes and bit sketch of every node of the pairs, read from its smallest ``doc_id``.
 
     Only repeated rows of that ``doc_id`` can give a node twice, which the uses of the sets allow.
     """
@@ -181,7 +206,7 @@ def _candidate_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rule: Ru
         for batch in batches:
             known = batch.column("doc_id").to_pylist()
             for at, sets in _sets(rule, batch.column("text")):
-                ids, kept = [], []
+                ids, kept, bits = [], [], []
                 for i, s in enumerate(sets):
                     if not len(s) or known[at + i] is None or (node := _node(s)) in seen:
                         continue
@@ -191,22 +216,27 @@ def _candidate_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rule: Ru
                         seen.add(node)
                     ids.append(node)
                     kept.append(s.view(np.int64))
+                    bits.append(bit_sketch(s).view(np.int64))
                 if ids:
-                    offsets = np.cumsum([0, *map(len, kept)]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(kept)))], ["node", "items"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(kept), _lists(bits)], ["node", "items", "bits"])
 
-    sets = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "node bigint, items array<bigint>")
+    sets = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "node bigint, items array<bigint>, bits array<bigint>")
     return durable(sets if small else sets.dropDuplicates(["node"]).join(nodes, "node", "left_semi"))
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose sets reach the threshold."""
-    sizes = sets.select("node", F.size("items").alias("n"))
-    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-    # The smaller size bounds the intersection: pairs that the sizes rule out do not meet their sets.
-    near = sized.where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
+    """The pairs ``(a, b)`` of nodes whose sets reach the threshold.
+
+    Sizes and sketches bound the similarity from above: only pairs that they do not rule out meet their sets.
+    """
+    small = sets.select("node", F.size("items").alias("n"), "bits")
+    sized = pairs.join(small.toDF("a", "n_a", "bits_a"), "a").join(small.toDF("b", "n_b", "bits_b"), "b")
+    sized = sized.where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
+    most = F.col("n_a") + F.col("n_b") - 2 * _shared(F.col("n_a"), F.col("n_b"), rule)
+    near = durable(sized.where(_hamming("bits_a", "bits_b") <= most).select("a", "b", "n_a", "n_b"))
+    kept = attach(sets.select("node", "items"), near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "inner")
     both = F.size(F.array_intersect("of_a", "of_b"))
-    compared = near.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
+    compared = near.join(kept.toDF("a", "of_a"), "a").join(kept.toDF("b", "of_b"), "b")
     return compared.where(both * rule.den >= (F.col("n_a") + F.col("n_b") - both) * rule.num).select("a", "b")
 
 
@@ -217,13 +247,15 @@ def _rarest_items(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     share, p in one and q in the other, are not in the other set, so p <= n - o and q <= m - o. Edited copies begin
     with shingles of their own, which nobody shares.
     """
-    held = sets.join(members, "node").select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
-    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
+    held = attach(sets, members, "node", "inner").select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    common = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    # The shingles that nobody shares come first; only the others are placed.
     rarest = Window.partitionBy("node").orderBy("holders", "item")
-    placed = held.join(counts, "item").withColumn("p", F.dense_rank().over(rarest) - 1)
+    every = Window.partitionBy("node")
+    placed = held.join(common, "item").withColumn("p", F.col("n") - F.count(F.lit(1)).over(every) + F.row_number().over(rarest) - 1)
     # The other set has at least num / den of this size.
     least = F.ceil(F.col("n") * rule.num / rule.den)
-    return durable(placed.where((F.col("p") <= F.col("n") - least) & (F.col("holders") > 1)).select("item", "node", "n", "p"))
+    return durable(placed.where(F.col("p") <= F.col("n") - least).select("item", "node", "n", "p"))
 
 
 def _shared(n: Column, m: Column, rule: Rule) -> Column:
