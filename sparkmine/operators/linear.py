@@ -162,6 +162,8 @@ def cross_validated_fits(
     def validate(folds: pd.DataFrame) -> pd.DataFrame:
         folds = folds.sort_values(fold)
         parts = [(r["n"], np.asarray(r["mean"]), _matrix(np.asarray(r["cov"]), n_features + 1)) for r in folds.to_dict("records")]
+        if len(parts) < 2:
+            raise ValueError("cross-validation needs rows in at least two folds")
         rows = []
         for reg_param, elastic_net in specs:
             errors = []

@@ -77,18 +77,22 @@ def row_with_max(df: DataFrame, value: str, *columns: str) -> DataFrame:
     return df.agg(best.alias("best")).select("best.*")
 
 
-def multi_hot(df: DataFrame, array_column: str, values: Sequence[str], prefix: str = "") -> DataFrame:
-    """One boolean column per value, all in a single projection."""
+def multi_hot(df: DataFrame, array_column: str, values: Sequence[str], prefix: str = "", others: str | None = None) -> DataFrame:
+    """One boolean column per value of a list that the caller gives, all in a single projection.
+
+    ``others`` names an array column for the elements outside the list (distinct, sorted), so that no element is lost
+    however many there are.
+    """
     flags = [F.array_contains(array_column, v).alias(f"{prefix}{v}") for v in values]
+    if others is not None:
+        listed = F.array(*map(F.lit, values)).cast(df.schema[array_column].dataType)
+        flags.append(F.array_sort(F.array_except(array_column, listed)).alias(others))
     return df.select(*[c for c in df.columns if c != array_column], *flags)
 
 
-def element_values(df: DataFrame, array_column: str, max_columns: int = 2000) -> list[str]:
-    """Distinct array elements, sorted, as the column list for :func:`multi_hot`."""
-    found = df.select(F.explode(array_column).alias("v")).distinct().limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct values: keep them as exploded rows instead of columns")
-    return sorted(r["v"] for r in found if r["v"] is not None)
+def element_values(df: DataFrame, array_column: str) -> DataFrame:
+    """Distinct array elements, one row ``(v)`` each; NULL elements are left out."""
+    return df.select(F.explode(array_column).alias("v")).where("v IS NOT NULL").distinct()
 
 
 def _edges(low: Column, high: Column, bins: int) -> tuple[Column, Column]:
@@ -146,51 +150,56 @@ def _joined(pieces: Column, sep: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(pieces)), lambda p: p["piece"]), sep)
 
 
+def _one_text(parts: DataFrame, key: str, text: str, sep: str, *sums: str) -> DataFrame:
+    """The parts of a key in order, as one row."""
+    whole = _joined(F.struct(F.col("part").alias("at"), F.col(text).alias("piece")), sep)
+    return parts.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums], whole.alias(text))
+
+
 def ordered_concat(df: DataFrame, key: str, order_by: Sequence[str], text: str, sep: str = "\n", part_rows: int = 1000) -> DataFrame:
-    """Texts of a key joined in order, as rows ``(key, part, n, text)``.
+    """Texts of a key joined in order, as one row ``(key, n, text)``; a NULL text is empty.
 
-    A part holds ``part_rows`` pieces; joining its parts in order gives a key's whole text.
-    Only keys with more pieces are cut, by their position in the key; all others are
-    collected directly, and the texts move once.
+    Keys with more than ``part_rows`` pieces are sorted and joined in two levels: parts of that many pieces in parallel
+    tasks, then the parts in order. ``part_rows`` never shows in the result.
     """
     rows = df.select(key, *order_by, F.coalesce(text, F.lit("")).alias(text))
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part_rows)
     large = stored_lookup(sizes.select(key, F.lit(True).alias("__large")))
 
-    def collected(part: DataFrame, order: Column) -> DataFrame:
+    def collected(part: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
         piece = F.struct(order.alias("at"), F.col(text).alias("piece"))
-        return part.groupBy(key, "part").agg(F.count(F.lit(1)).alias("n"), _joined(piece, sep).alias(text))
+        return part.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), _joined(piece, sep).alias(text))
 
     if not large.size:
-        return collected(rows.withColumn("part", F.lit(0)), F.struct(*order_by))
+        return collected(rows, [key], F.struct(*order_by))
     marked = join_lookup(rows, large, [key], "left")
-    small = marked.where("__large IS NULL").drop("__large").withColumn("part", F.lit(0))
+    small = collected(marked.where("__large IS NULL"), [key], F.struct(*order_by))
     placed = with_row_index(marked.where("__large").drop("__large"), order_by, within=[key], name="__at")
-    cut = placed.withColumn("part", F.floor(F.col("__at") / part_rows).cast("int"))
-    return collected(small, F.struct(*order_by)).unionByName(collected(cut, F.col("__at")))
+    parts = collected(placed.withColumn("part", F.floor(F.col("__at") / part_rows)), [key, "part"], F.col("__at"))
+    return small.unionByName(_one_text(parts, key, text, sep, "n").select(small.columns))
 
 
 def sorted_label_concat(counted: DataFrame, key: str, label: str, n: str, sep: str = " ", part_rows: int = 1000) -> DataFrame:
-    """Repeated labels of a key in label order, as rows ``(key, part, labels)``.
+    """Repeated labels of a key in label order, as one row ``(key, labels)``.
 
-    Input is one row per (key, label) with its count. A key with more than ``part_rows``
-    labels is cut into parts by running counts; a part is never larger than that.
+    Input is one row per (key, label) with its count. A key with more than ``part_rows`` labels is joined in two levels:
+    parts of that many labels, by running counts, then the parts in order.
     """
     rows = counted.select(key, label, F.col(n).alias("__n"))
     sizes = rows.groupBy(key).agg(F.sum("__n").alias("__all")).where(F.col("__all") > part_rows)
     large = stored_lookup(sizes.select(key, F.lit(True).alias("__large")))
 
-    def collected(part: DataFrame, copies: Column) -> DataFrame:
+    def collected(part: DataFrame, by: Sequence[str], copies: Column) -> DataFrame:
         repeated = F.array_join(F.array_repeat(F.col(label), copies.cast("int")), sep)
-        return part.groupBy(key, "part").agg(_joined(F.struct(F.col(label).alias("at"), repeated.alias("piece")), sep).alias("labels"))
+        return part.groupBy(*by).agg(_joined(F.struct(F.col(label).alias("at"), repeated.alias("piece")), sep).alias("labels"))
 
     if not large.size:
-        return collected(rows.withColumn("part", F.lit(0)), F.col("__n"))
+        return collected(rows, [key], F.col("__n"))
     marked = join_lookup(rows, large, [key], "left")
-    small = marked.where("__large IS NULL").drop("__large").withColumn("part", F.lit(0))
+    small = collected(marked.where("__large IS NULL"), [key], F.col("__n"))
     ranked = with_running_sums(marked.where("__large").drop("__large"), [label], {"__end": F.col("__n")}, within=[key])
     first = F.col("__end") - F.col("__n")
     covered = F.sequence(F.floor(first / part_rows), F.floor((F.col("__end") - 1) / part_rows))
-    spans = ranked.select(key, label, first.alias("__first"), "__end", F.explode(covered.cast("array<int>")).alias("part"))
+    spans = ranked.select(key, label, first.alias("__first"), "__end", F.explode(covered).alias("part"))
     copies = F.least(F.col("__end"), (F.col("part") + 1) * part_rows) - F.greatest(F.col("__first"), F.col("part") * part_rows)
-    return collected(small, F.col("__n")).unionByName(collected(spans, copies))
+    return small.unionByName(_one_text(collected(spans, [key, "part"], copies), key, "labels", sep))

@@ -31,16 +31,30 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
     return df.randomSplit(list(weights), seed)
 
 
-def fixed_split(df: DataFrame, order_by: Sequence[str | Column], fraction: float, name: str = "split") -> DataFrame:
-    """First ``floor(fraction * n)`` rows in order are train, the rest test."""
+def _borders(df: DataFrame, order_by: Sequence[str], positions: Sequence[Column]) -> DataFrame:
+    """Stored ``(position, key)`` rows at the positions; a key that also stands before its border is an error.
+
+    Rows with equal order keys would all fall on one side of a border, so that the parts had other sizes than asked for.
+    """
+    if not all(isinstance(c, str) for c in order_by):
+        raise TypeError("order_by takes column names, in ascending order; add a column for any other order")
+    found = durable(keys_at(df, order_by, F.array(*positions, *[p - 1 for p in positions])))  # two rows a border
+    before = found.select((F.col("position") + 1).alias("position"), F.col("key").alias("earlier"))
+    if found.join(before, "position").where(F.array_contains(F.array(*positions), F.col("position")) & F.col("key").eqNullSafe(F.col("earlier"))).limit(1).count():
+        raise ValueError(f"rows with equal {list(order_by)} lie on both sides of a border: add a tie-break column")
+    return found.where(F.array_contains(F.array(*positions), F.col("position")))
+
+
+def fixed_split(df: DataFrame, order_by: Sequence[str], fraction: float, name: str = "split") -> DataFrame:
+    """First ``floor(fraction * n)`` rows in ascending order are train, the rest test. Ties at the border are an error."""
     border = F.floor(row_count(df) * F.lit(fraction))
-    first_test = durable(keys_at(df, order_by, F.array(border))).select("key").scalar()
+    first_test = _borders(df, order_by, [border]).select("key").scalar()
     return df.withColumn(name, F.when(order_key(order_by) >= first_test, "test").otherwise("train"))
 
 
 def shuffled_split(df: DataFrame, key: str, fraction: float, seed: int, name: str = "split") -> DataFrame:
     """Fixed split of the rows in seeded shuffle order."""
-    return fixed_split(df, [seeded_key(key, seed), F.col(key)], fraction, name)
+    return fixed_split(df.withColumn("__seeded", seeded_key(key, seed)), ["__seeded", key], fraction, name).drop("__seeded")
 
 
 def _last_border(borders: Column, key: Column) -> Column:
@@ -48,12 +62,12 @@ def _last_border(borders: Column, key: Column) -> Column:
     return F.element_at(F.filter(borders, lambda b: b["key"] <= key), -1)["fold"]
 
 
-def kfold(df: DataFrame, order_by: Sequence[str | Column], k: int, name: str = "fold") -> DataFrame:
-    """Contiguous folds; the first ``n mod k`` folds hold one row more."""
+def kfold(df: DataFrame, order_by: Sequence[str], k: int, name: str = "fold") -> DataFrame:
+    """Contiguous folds in ascending order; the first ``n mod k`` folds hold one row more. Ties at a border are an error."""
     n = row_count(df)
     small, extra = F.floor(n / k), F.pmod(n, F.lit(k))
     start = [f * small + F.least(F.lit(f).cast("bigint"), extra) for f in range(k)]
-    found = keys_at(df, order_by, F.array(*start))
+    found = _borders(df, order_by, start)
     # Empty folds (fewer rows than folds) share a start; the lowest fold owns it.
     fold = F.array_position(F.array(*start), F.col("position")) - 1
     borders = durable(found.select("key", fold.cast("int").alias("fold")))  # at most k rows

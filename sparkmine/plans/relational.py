@@ -198,14 +198,15 @@ def gap_weighted_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(R.histogram(counted, ["gap"], 50, weight=F.col("count")), "bin_lo", "bin_hi")
 
 
-# The 16 name tokens of the generated items; the query finds them from the data.
+# The 16 name tokens of the generated items; any other token would be found in the array of others.
 _GENRES = "anvil blue bolt cold gear gizmo hot large new old plate red ring rod small widget".split()
 
 
-@query("SELECT p_partkey AS item_id, " + ", ".join(f"list_contains(string_split(p_name, ' '), '{g}') AS \"{g}\"" for g in _GENRES) + " FROM part")
+@query("SELECT p_partkey AS item_id, " + ", ".join(f"list_contains(string_split(p_name, ' '), '{g}') AS \"{g}\"" for g in _GENRES) + """,
+    array_to_string(list_sort(list_distinct(list_filter(string_split(p_name, ' '), lambda g: NOT list_contains(""" + repr(_GENRES) + """, g)))), ' ') AS others FROM part""")
 def genre_multihot(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir).select("item_id", "genres")
-    return R.multi_hot(items, "genres", R.element_values(items, "genres"))
+    return R.multi_hot(items, "genres", _GENRES, others="others").withColumn("others", F.array_join("others", " "))
 
 
 @query("""
@@ -246,10 +247,8 @@ def user_rating_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT c_name AS email, cast(floor(pos / 1000) AS INTEGER) AS part, string_agg(o_orderpriority, ' ' ORDER BY o_orderpriority) AS labels
-    FROM (SELECT c_name, o_orderpriority, row_number() OVER (PARTITION BY c_name ORDER BY o_orderpriority) - 1 AS pos
-          FROM customer JOIN orders ON c_custkey = o_custkey)
-    GROUP BY 1, 2""")
+    SELECT c_name AS email, string_agg(o_orderpriority, ' ' ORDER BY o_orderpriority) AS labels
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name""")
 def user_tags_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tags of a user in one text. Users and tags are joined in SQL after counting."""
     register_views(spark, sf_dir, ["customer", "orders"])
@@ -319,7 +318,7 @@ def epoch_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT conv_id, 0 AS part, count(*) AS n, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+    SELECT conv_id, count(*) AS n, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
 def ordered_conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of a conversation appended in turn order."""
     return R.ordered_concat(table(spark, sf_dir, "conversations"), "conv_id", ["turn"], "text")

@@ -54,12 +54,12 @@ def test_weighted_histogram_sums_weights(spark):
 def test_multi_hot_from_genre_lists(spark):
     lists = [("p", ["red", "round"]), ("q", ["soft"]), ("r", ["red", "soft"]), ("s", ["wet"]), ("t", [])]
     df = spark.createDataFrame(lists, "title string, genres array<string>")
-    values = R.element_values(df, "genres")
+    values = sorted(r["v"] for r in R.element_values(df, "genres").collect())
     assert values == ["red", "round", "soft", "wet"]
     hot = R.multi_hot(df, "genres", values, "is_").orderBy("title").collect()
     assert [tuple(r)[1:] for r in hot] == [tuple(v in g for v in values) for _, g in lists]
-    with pytest.raises(ValueError):
-        R.element_values(df, "genres", max_columns=2)
+    rest = R.multi_hot(df, "genres", ["red", "wet"], others="rest").orderBy("title").collect()
+    assert [r["rest"] for r in rest] == [["round"], ["soft"], ["soft"], [], []]
 
 
 def test_correlation_of_constant_is_null(spark):
@@ -68,22 +68,25 @@ def test_correlation_of_constant_is_null(spark):
     assert found["c"] is None and found["a"] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.5, 6])[0, 1])
 
 
-def test_ordered_concat_cuts_only_large_keys(spark):
+def test_ordered_concat_is_one_row_per_key(spark):
     rows = [("big", i, f"p{i}") for i in range(25)] + [("small", 2, "b"), ("small", 1, "a"), ("null", 1, None)]
     df = spark.createDataFrame(rows, "k string, seq int, text string").repartition(5)
-    found = {(r["k"], r["part"]): (r["n"], r["text"]) for r in R.ordered_concat(df, "k", ["seq"], "text", part_rows=10).collect()}
-    assert found[("small", 0)] == (2, "a\nb") and found[("null", 0)] == (1, "")
-    whole = "\n".join(found[("big", p)][1] for p in range(3))
-    assert whole == "\n".join(f"p{i}" for i in range(25)) and [found[("big", p)][0] for p in range(3)] == [10, 10, 5]
+    for part_rows in (10, 1000):
+        found = {r["k"]: (r["n"], r["text"]) for r in R.ordered_concat(df, "k", ["seq"], "text", part_rows=part_rows).collect()}
+        assert found == {"big": (25, "\n".join(f"p{i}" for i in range(25))), "small": (2, "a\nb"), "null": (1, "")}
 
 
-def test_sorted_labels_are_whole_in_parts(spark):
+def test_ordered_concat_of_one_hot_key(spark):
+    df = spark.range(100_000).select(F.lit("k").alias("k"), F.col("id").alias("seq"), F.col("id").cast("string").alias("text")).repartition(7)
+    rows = R.ordered_concat(df, "k", ["seq"], "text").collect()
+    assert [tuple(r) for r in rows] == [("k", 100_000, "\n".join(map(str, range(100_000))))]
+
+
+def test_sorted_labels_are_whole(spark):
     counted = spark.createDataFrame([("u", "b", 7), ("u", "a", 12), ("u", "c", 3), ("v", "a", 2)], "k string, tag string, n long")
-    rows = R.sorted_label_concat(counted, "k", "tag", "n", part_rows=5).orderBy("k", "part").collect()
-    whole = " ".join(r["labels"] for r in rows if r["k"] == "u").split()
-    assert whole == ["a"] * 12 + ["b"] * 7 + ["c"] * 3
-    assert all(len(r["labels"].split()) <= 5 for r in rows)
-    assert [r["labels"] for r in rows if r["k"] == "v"] == ["a a"]
+    for part_rows in (5, 1000):
+        rows = {r["k"]: r["labels"] for r in R.sorted_label_concat(counted, "k", "tag", "n", part_rows=part_rows).collect()}
+        assert rows == {"u": " ".join(["a"] * 12 + ["b"] * 7 + ["c"] * 3), "v": "a a"}
 
 
 def test_max_row_and_distinct(spark):

@@ -69,3 +69,16 @@ def test_random_split_and_sample(spark):
     train, test = S.random_split(df, [0.8, 0.2], seed=42)
     assert train.count() + test.count() == 1000 and train.intersect(test).count() == 0
     assert 200 < S.sample(df, 0.3, 42).count() < 400
+
+
+def test_order_of_splits_is_by_name_and_without_ties(spark):
+    tied = spark.createDataFrame([(1,), (1,), (1,), (2,)], "k int")
+    with pytest.raises(ValueError):
+        S.fixed_split(tied, ["k"], 0.5)
+    with pytest.raises(ValueError):
+        S.kfold(tied, ["k"], 2)
+    assert sorted(r["split"] for r in S.fixed_split(tied, ["k"], 0.75).collect()) == ["test"] + ["train"] * 3
+    with pytest.raises(TypeError):
+        S.fixed_split(tied, [F.desc("k")], 0.5)
+    with pytest.raises(TypeError):
+        S.kfold(tied, [F.col("k")], 2)
