@@ -2,9 +2,10 @@
 
 A document's set of word shingles is folded into a bit sketch: every shingle flips one bit. A flip can cancel
 another one, so the Hamming distance of two sketches never exceeds the symmetric difference of the sets. Documents
-are put into size bands; in a band the threshold bounds the symmetric difference by ``d``, the sketch has more than
-``d`` pieces, and so two linked documents agree in at least one whole piece (pigeonhole). Pieces are joined, and every
-candidate pair is verified on the exact shingle sets (64-bit hashes).
+are put into size bands; in a band the threshold bounds the symmetric difference by ``d``, the sketch has at least ``d + r``
+pieces, and so two linked documents agree in at least ``r`` whole pieces (pigeonhole; ``r`` is 1 for the smallest sets and
+up to ``AGREED``). Pieces are joined, documents that meet others in fewer pieces have no partner, and every candidate pair is
+verified on the exact shingle sets (64-bit hashes).
 
 Scale: one row per piece is shuffled once, about 0.3 rows per word. Copies with equal sets are one node. Each piece
 group is read as a sorted stream, never collected: members are paired with the group's first node. Members that these
@@ -35,6 +36,7 @@ from sparkmine.session import durable
 
 WANTED_NODES = 4_000_000  # 32 MB of node ids at most are sent to the tasks
 BAND = 1.3
+AGREED = 6  # pieces in which linked sets agree at least, where a band allows so many differences that they cost little
 
 
 @dataclass(frozen=True)
@@ -51,15 +53,30 @@ class Rule:
         while low <= largest:
             up = max(low + 1, math.ceil(low * BAND))
             d = (self.den - self.num) * ((up - 1) * self.den // self.num) // self.den
-            out.append((low, d + 1 + self._spare(low, d), d))
+            out.append((low, d + self.agreed(d) + self._spare(low, d), d))
             low = up
         return out
 
     @staticmethod
-    def _spare(low: int, d: int) -> int:
-        """Pieces beyond ``d + 1``, so that the pieces without any shingle rarely use up the pigeonhole."""
+    def agreed(d: int) -> int:
+        """In how many pieces linked sets of a band with at most ``d`` differences agree at least."""
+        return min(AGREED, 1 + d // 8)
+
+    def partners_from(self, n: Column) -> Column:
+        """In how many pieces a set of ``n`` shingles meets others at least if it is linked with any."""
+        need, bands = F.lit(1), self.bands(100 * AGREED * self.den // max(1, self.den - self.num))
+        for r in range(2, AGREED + 1):
+            low = next((low for low, _, d in bands if self.agreed(d) >= r), None)
+            if low is not None:  # larger sets join no band below this one
+                need = F.when(n * self.num > self.den * (low - 1), F.lit(r)).otherwise(need)
+        return need
+
+    @classmethod
+    def _spare(cls, low: int, d: int) -> int:
+        """Further pieces, so that the pieces without any shingle rarely use up the pigeonhole."""
+        least = d + cls.agreed(d)
         for spare in range(d // 2 + 1):
-            empty = (d + 1 + spare) * math.exp(-low / (d + 1 + spare))
+            empty = (least + spare) * math.exp(-low / (least + spare))
             if d == 0 or spare >= empty + 2 * math.sqrt(empty):
                 return spare
         return d // 2 + 1
@@ -114,7 +131,7 @@ def sketch_pieces(rule: Rule, bands: list[tuple[int, int, int]], shingles: np.nd
         cells = np.zeros(count, np.uint64)
         np.bitwise_xor.at(cells, cell_of % np.uint64(count), bit)
         slot = np.arange(count)
-        if (cells == 0).sum() < count - most:  # else a pair may agree in blank pieces alone: keep them
+        if (cells == 0).sum() <= count - most - rule.agreed(most):  # else a pair may agree in too few others: keep them
             slot = slot[cells != 0]
         keys.append(mix(cells[slot] ^ mix(slot.astype(np.uint64) + np.uint64((band + 1) << 32))))
     return np.concatenate(keys)
@@ -144,8 +161,11 @@ def _pieces(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _pair_stream(batches):
-    """Sorted ``(key, node)`` rows to ``(key, a, b)``: every further node of a key with the key's first node."""
-    last_key = last_node = leader = None
+    """Sorted ``(key, node)`` rows to ``(key, a, b, opens)``: every further node of a key with the key's first node.
+
+    ``opens`` is 1 in the first row of a key, else 0.
+    """
+    last_key = last_node = leader = last_out = None
     for batch in batches:
         key, node = (batch.column(i).to_numpy() for i in range(2))
         if not len(key):
@@ -161,7 +181,12 @@ def _pair_stream(batches):
         keep = ~again & (node != lead)
         last_key, last_node, leader = key[-1], node[-1], lead[-1]
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, lead, node)], ["key", "a", "b"])
+            out = key[keep]
+            opens = np.ones(len(out), np.int32)
+            opens[1:] = out[1:] != out[:-1]
+            opens[0] = last_out is None or out[0] != last_out
+            last_out = out[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (out, lead[keep], node[keep], opens)], ["key", "a", "b", "opens"])
 
 
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -294,11 +319,22 @@ def _open_pairs(placed: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     return _ordered_pairs(met.where(_early_enough(rule)))
 
 
+def _often_enough(met: DataFrame, needs: DataFrame) -> DataFrame:
+    """The nodes of ``met(node, times)`` that meet others in as many pieces as a linked set does."""
+    times = met.groupBy("node").agg(F.sum("times").alias("times"))
+    return times.join(needs, "node").where("times >= need").select("node")
+
+
 def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     """``(node, root)``: the nodes of linked sets with the smallest node of their component; ``rows`` as of :func:`shingle_sets`."""
-    groups = _pieces(docs, rule).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pair_stream, "key bigint, a bigint, b bigint")
-    groups = durable(groups)
-    pairs = durable(groups.select("a", "b").distinct())
+    groups = _pieces(docs, rule).repartition("key").sortWithinPartitions("key", "node")
+    groups = durable(groups.mapInArrow(_pair_stream, "key bigint, a bigint, b bigint, opens int"))
+    needs = rows.where("node IS NOT NULL").groupBy("node").agg(F.min(rule.partners_from(F.col("n_shingles"))).alias("need"))
+    met = groups.select(F.col("a").alias("node"), F.col("opens").alias("times")).union(groups.select("b", F.lit(1)))
+    often = durable(_often_enough(met, needs))
+    # A group keeps its members when its first node goes.
+    groups = durable(attach(groups.drop("opens"), often.select(F.col("node").alias("b")), "b", "inner"))
+    pairs = durable(attach(groups.select("a", "b"), often.select(F.col("node").alias("a")), "a", "inner").distinct())
     sets = _candidate_sets(docs, rows, pairs, rule)
     first = durable(_verified(sets, pairs, rule))
     labels = components(first)
@@ -306,7 +342,8 @@ def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     # Members of one piece group that the group's first node did not bring together.
     members = groups.select("key", F.col("b").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    placed = _rarest_items(sets, members.join(split, "key", "left_semi").select("node").distinct(), rule)
+    apart = _often_enough(members.join(split, "key", "left_semi").select("node", F.lit(1).alias("times")), needs)
+    placed = _rarest_items(sets, apart, rule)
     # First with the least edited holder of each shingle, then with all that this leaves apart.
     central = durable(_with_roots(_central_pairs(placed, rule), labels).join(pairs, ["a", "b"], "left_anti"))
     known = durable(first.union(_verified(sets, central, rule)))
