@@ -171,7 +171,7 @@ def _matches(docs: DataFrame, items: list[tuple], gram: int, share: float, least
                 many = high[spot] - low[spot]
                 row = np.repeat(low[spot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 word = np.repeat(start[hit], many)
-                found = _aligned(words, item_words, item_of[row], word - place[row], least)
+                found = _aligned(words, item_words, item_of[row], word, word - place[row], least)
                 if found:
                     doc, item, score, first, last = (np.array(x) for x in zip(*found))
                     yield pa.RecordBatch.from_arrays(
@@ -188,13 +188,10 @@ def _matches(docs: DataFrame, items: list[tuple], gram: int, share: float, least
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
-def _aligned(words: Words, item_words: list, item: np.ndarray, begin: np.ndarray, least: float) -> list[tuple]:
-    """Align the stretches around seed hits; ``begin`` is where the item would begin in the slice's words."""
+def _aligned(words: Words, item_words: list, item: np.ndarray, word: np.ndarray, begin: np.ndarray, least: float) -> list[tuple]:
+    """Align the stretches around seed hits at ``word``; ``begin`` is where the item would begin in the slice's words."""
     size = np.array([len(w) for w in item_words])[item]
-    doc = words.doc[np.clip(begin, 0, len(words.hashes) - 1)]
-    # The hit itself decides the text; a beginning before it is cut at the text's border.
-    hit = np.clip(begin + size // 2, 0, len(words.hashes) - 1)
-    doc = np.where((begin < words.first[doc]) | (begin >= words.first[doc + 1]), words.doc[hit], doc)
+    doc = words.doc[word]  # a beginning in the text before is cut at the border
     slack = size // 3 + 3
     first = np.maximum(begin - slack, words.first[doc])
     last = np.minimum(begin + size + slack, words.first[doc + 1])

@@ -59,6 +59,16 @@ def test_alignment_equals_the_plain_recurrence():
         assert decontam.align(a, rows)[0].tolist() == [_plain_align(a, r) for r in rows]
 
 
+def test_copies_that_open_inside_an_item_are_found_in_any_row_order(spark):
+    item = _sentence(30, 5)
+    texts = [" ".join([*item[k:], *_sentence(20, 200 + k)]) for k in (1, 2, 5)] + [" ".join(_sentence(40, 300 + i)) for i in range(3)]
+    benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id bigint, text string")
+    for order in ([3, 0, 4, 1, 5, 2], [0, 1, 2, 3, 4, 5], [5, 4, 3, 2, 1, 0]):
+        docs = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id bigint, text string").coalesce(1)
+        found = {r.doc_id: (r.score, r.first_word, r.last_word) for r in decontam.contaminated(docs, benchmark).collect()}
+        assert found == {i: ((30 - k) / 30, 0, 29 - k) for i, k in enumerate((1, 2, 5))}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
