@@ -1,12 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are the ``GRAM``-word grams of the test items that are rarest in the training texts (counted over all of them).
-Each item has its own share of seeds, spread over its length, so an item that is copied everywhere keeps seeds.
-A text that holds a seed of an item is cut around the seed's diagonal and aligned with the item word by word; the
-local alignment score, as a share of the item's own score, tells copies with inserted, dropped or changed words.
+Every ``GRAM``-word gram of a test item is a seed, whatever its frequency: the grams that an edited copy still holds
+are not known beforehand. A stretch of text around the diagonal of a seed, wide enough for every alignment that scores
+``LEAST``, is aligned with the item word by word if it holds enough of the item's words to score that; hits of common
+grams mostly end there. The local alignment score, as a share of the item's own score, tells copies with inserted,
+dropped or changed words. A copy without any three adjacent words of the item is not found.
 
 Scale: items are sent to the tasks in slices of at most ``SLICE_SEEDS`` grams; a larger benchmark takes more passes.
-Texts are read where they are and never shuffled; only matches leave a task. Counts are pre-aggregated in every task.
+Texts are read once where they are and never shuffled; only matches leave a task.
 
 Edge cases: NULL or blank texts and items match nothing. Items with fewer words than a gram match as a whole.
 Repeated items give equal rows; rows without ``doc_id`` or ``item_id`` are compared like others and carry the NULL.
@@ -20,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.words import Words, split_words, text_slices, words_of
+from sparkmine.llm.words import Words, mix, split_words, text_slices, words_of
 from sparkmine.session import durable
 
 GRAM = 3
-SHARE = 0.5  # of an item's grams that are its seeds
 LEAST = 0.6  # alignment score, as a share of the item's own
 SLICE_SEEDS = 1_000_000
+PORTION, ALIGNED = 1 << 20, 1 << 16  # item places or words looked at, and words aligned, at a time
 HIT, MISS, GAP = 2, -1, -1
 SCHEMA = "doc_id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
 
@@ -105,108 +106,122 @@ def _grams_of(words: Words, gram: int, short: bool) -> tuple[np.ndarray, np.ndar
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def gram_counts(docs: DataFrame, grams: np.ndarray, gram: int, short: bool) -> dict[int, int]:
-    """How often each of the given grams occurs in all texts."""
+def _pair(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One value for an item and a word."""
+    return mix(word + (item + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def run(batches):
-        finder = Finder(grams)
-        counts = np.zeros(len(finder.table), np.int64)
-        for batch in batches:
-            for _, _, data, borders in text_slices(batch.column("text")):
-                _, spot = finder.find(_grams_of(split_words(data, borders, lower=True), gram, short)[1])
-                counts += np.bincount(spot, minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(finder.table[some].view(np.int64)), pa.array(counts[some])], ["gram", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"]: r["n"] for r in rows}  # as many as the benchmark slice has grams
+class Items:
+    """The test items of one slice as tables: sorted gram values with their places, and the words each item has."""
 
+    def __init__(self, items: list[tuple], gram: int):
+        parts = _item_grams(items, gram)
+        self.ids = [i for i, _ in items]
+        self.words = [p[0].hashes for p in parts]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.short = any(0 < n < gram for n in self.sizes)
+        value, place = (np.concatenate([p[k] for p in parts]) for k in (2, 1))
+        order = np.argsort(value, kind="stable")
+        self.value, self.place = value[order], place[order].astype(np.int64)
+        self.item = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])[order]
+        owner = np.repeat(np.arange(len(parts)), self.sizes)
+        self.pairs = np.unique(_pair(owner, np.concatenate(self.words)))
 
-def rare_seeds(parts: list, counts: dict[int, int], share: float) -> list[np.ndarray]:
-    """For each item the places of its seeds: the rarest gram in every stretch of ``1 / share`` grams."""
-    out = []
-    stretch = max(1, round(1 / share))
-    for _, start, hashes in parts:
-        n = np.array([counts.get(int(h), 0) for h in hashes.view(np.int64)])
-        out.append(np.array([i + int(np.argmin(n[i : i + stretch])) for i in range(0, len(n), stretch)], np.int64))
-    return out
 
-
-def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
-    """Union of ranges that are sorted by their first word."""
-    out: list[list[int]] = []
-    for a, b in zip(first.tolist(), last.tolist()):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
-def _matches(docs: DataFrame, items: list[tuple], gram: int, share: float, least: float) -> DataFrame:
-    parts = _item_grams(items, gram)
-    short = any(0 < len(p[0].hashes) < gram for p in parts)
-    every = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.uint64)
-    counts = gram_counts(docs, every, gram, short)
-    seeds = rare_seeds(parts, counts, share)
-    item_of = np.concatenate([np.full(len(s), i) for i, s in enumerate(seeds)] or [np.zeros(0, np.int64)]).astype(np.int64)
-    place = np.concatenate([p[1][s] for p, s in zip(parts, seeds)] or [np.zeros(0, np.int64)]).astype(np.int64)
-    value = np.concatenate([p[2][s] for p, s in zip(parts, seeds)] or [np.zeros(0, np.uint64)])
-    order = np.argsort(value, kind="stable")
-    item_of, place, value = item_of[order], place[order], value[order]
-    item_words, item_ids = [p[0].hashes for p in parts], [i for i, _ in items]
+def _matches(docs: DataFrame, rows: list[tuple], gram: int, least: float) -> DataFrame:
+    items = Items(rows, gram)
 
     def run(batches):
-        finder = Finder(value)
-        low, high = np.searchsorted(value, finder.table, "left"), np.searchsorted(value, finder.table, "right")
+        finder, holds = Finder(items.value), Finder(items.pairs)
+        low, high = np.searchsorted(items.value, finder.table, "left"), np.searchsorted(items.value, finder.table, "right")
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for at, _, data, borders in text_slices(batch.column("text")):
                 words = split_words(data, borders, lower=True)
-                start, hashes = _grams_of(words, gram, short)
+                start, hashes = _grams_of(words, gram, items.short)
                 hit, spot = finder.find(hashes)
-                if not len(hit):
-                    continue
-                # Every hit with every item place of its seed.
-                many = high[spot] - low[spot]
-                row = np.repeat(low[spot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                word = np.repeat(start[hit], many)
-                found = _aligned(words, item_words, item_of[row], word, word - place[row], least)
-                if found:
-                    doc, item, score, first, last = (np.array(x) for x in zip(*found))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([ids[at + d] for d in doc], pa.int64()),
-                            pa.array([item_ids[i] for i in item], pa.int64()),
-                            pa.array(score, pa.float64()),
-                            pa.array(first - words.first[doc], pa.int64()),
-                            pa.array(last - words.first[doc], pa.int64()),
-                        ],
-                        ["doc_id", "item_id", "score", "first_word", "last_word"],
-                    )
+                order = np.argsort(start[hit], kind="stable")
+                word, spot = start[hit][order], spot[order]
+                many = high[spot] - low[spot]  # places in the items of each hit
+                for a, b in _portions(words.doc[word], many):
+                    n, before = many[a:b], np.cumsum(many[a:b]) - many[a:b]
+                    row = np.repeat(low[spot[a:b]] - before, n) + np.arange(n.sum())
+                    found = _aligned(words, items, holds, items.item[row], items.place[row], np.repeat(word[a:b], n), least)
+                    if found:
+                        doc, item, score, first, last = (np.array(x) for x in zip(*found))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([ids[at + d] for d in doc], pa.int64()),
+                                pa.array([items.ids[i] for i in item], pa.int64()),
+                                pa.array(score, pa.float64()),
+                                pa.array(first - words.first[doc], pa.int64()),
+                                pa.array(last - words.first[doc], pa.int64()),
+                            ],
+                            ["doc_id", "item_id", "score", "first_word", "last_word"],
+                        )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
-def _aligned(words: Words, item_words: list, item: np.ndarray, word: np.ndarray, begin: np.ndarray, least: float) -> list[tuple]:
-    """Align the stretches around seed hits at ``word``; ``begin`` is where the item would begin in the slice's words."""
-    size = np.array([len(w) for w in item_words])[item]
-    doc = words.doc[word]  # a beginning in the text before is cut at the border
-    slack = size // 3 + 3
+def _portions(doc: np.ndarray, many: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of hits (sorted by text) of about ``PORTION`` item places; the hits of a text stay together."""
+    if not len(doc):
+        return []
+    begins = np.flatnonzero(np.diff(doc, prepend=-1))
+    before = (np.cumsum(many) - many)[begins] // PORTION
+    cuts = begins[np.flatnonzero(np.diff(before, prepend=-1))]
+    return list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(doc)]))
+
+
+def _possible(words: Words, holds: Finder, item: np.ndarray, first: np.ndarray, last: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Which stretches hold at least ``need`` words of their item: no alignment scores above its share of equal words."""
+    size = last - first
+    out = np.zeros(len(item), bool)
+    portion = (np.cumsum(size) - size) // PORTION
+    cuts = np.flatnonzero(np.diff(portion, prepend=-1))
+    for a, b in zip(cuts, np.append(cuts[1:], len(item))):
+        n = size[a:b]
+        row = np.repeat(np.arange(b - a), n)
+        word = np.repeat(first[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        held, _ = holds.find(_pair(item[a:b][row], words.hashes[word]))
+        out[a:b] = np.bincount(row[held], minlength=b - a) >= need[a:b]
+    return out
+
+
+def _aligned(words: Words, items: Items, holds: Finder, item: np.ndarray, place: np.ndarray, word: np.ndarray, least: float) -> list[tuple]:
+    """Align the stretches around hits: ``word`` of the slice begins the gram that the item has at ``place``."""
+    doc, begin, size = words.doc[word], word - place, items.sizes[item]
+    # Hits on one diagonal give one stretch.
+    order = np.lexsort((begin, doc, item))
+    same = (np.diff(item[order], prepend=-1) == 0) & (np.diff(doc[order], prepend=-1) == 0)
+    order = order[~same | (np.diff(begin[order], prepend=0) != 0)]
+    item, doc, begin, size = item[order], doc[order], begin[order], size[order]
+    # An alignment that scores enough has at most so many edits, thus no word further from the diagonal.
+    slack = np.floor(HIT * size * (1 - least) / -GAP + 1e-9).astype(np.int64)
     first = np.maximum(begin - slack, words.first[doc])
     last = np.minimum(begin + size + slack, words.first[doc + 1])
-    order = np.lexsort((first, doc, item))
-    item, doc, first, last = item[order], doc[order], first[order], last[order]
-    group = np.flatnonzero(np.diff(item, prepend=-1) | np.diff(doc, prepend=-1))
-    todo: dict[int, list[tuple[int, int, int]]] = {}
-    for a, b in zip(group, np.append(group[1:], len(item))):
-        todo.setdefault(int(item[a]), []).extend((int(doc[a]), x, y) for x, y in _merged(first[a:b], last[a:b]) if y > x)
+    keep = _possible(words, holds, item, first, last, np.ceil(size * least - 1e-9))
+    item, doc, first, last = item[keep], doc[keep], first[keep], last[keep]
+    if not len(item):
+        return []
+    # Union of overlapping stretches of an item in a text; both ends ascend.
+    fresh = (np.diff(item, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0)
+    fresh[1:] |= first[1:] > last[:-1]
+    head = np.flatnonzero(fresh)
+    item, doc, first, last = item[head], doc[head], first[head], last[np.append(head[1:], len(last)) - 1]
     out = []
-    for i, stretches in todo.items():
-        own, best = item_words[i], {}
-        stretches.sort(key=lambda s: s[2] - s[1])
-        for a in range(0, len(stretches), 256):
-            part = stretches[a : a + 256]
+    groups = np.flatnonzero(np.diff(item, prepend=-1))
+    for g, h in zip(groups, np.append(groups[1:], len(item))):
+        i = int(item[g])
+        own, best = items.words[i], {}
+        stretches = sorted(zip(doc[g:h].tolist(), first[g:h].tolist(), last[g:h].tolist()), key=lambda s: s[2] - s[1])
+        a = 0
+        while a < len(stretches):
+            b = a + 1
+            while b < len(stretches) and (b - a + 1) * (stretches[b][2] - stretches[b][1]) <= ALIGNED:
+                b += 1
+            part = stretches[a:b]
+            a = b
             table = np.zeros((len(part), max(y - x for _, x, y in part)), np.uint64)
             for r, (_, x, y) in enumerate(part):
                 table[r, : y - x] = words.hashes[x:y]
@@ -218,7 +233,7 @@ def _aligned(words: Words, item_words: list, item: np.ndarray, word: np.ndarray,
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, share: float = SHARE, least: float = LEAST) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: float = LEAST) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word`` for every text that holds a copy of a test item.
 
     The best stretch of each text and item is given; words are counted from 0 in the whole text.
@@ -232,7 +247,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, share:
     found = None
     for i in range(slices):
         rows = [(r["item_id"], r["text"]) for r in spread.where(F.col("__slice") == i).select("item_id", "text").orderBy("item_id", "text").collect()]
-        part = _matches(docs, rows, gram, share, least)
+        if not rows:
+            continue
+        part = _matches(docs, rows, gram, least)
         found = part if found is None else found.union(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 

@@ -69,6 +69,31 @@ def test_copies_that_open_inside_an_item_are_found_in_any_row_order(spark):
         assert found == {i: ((30 - k) / 30, 0, 29 - k) for i, k in enumerate((1, 2, 5))}
 
 
+def test_edited_copies_equal_the_full_alignment(spark):
+    items = [_sentence(12 if i % 5 == 4 else 30, 400 + i) for i in range(24)]  # one copy of each
+    items[2][:3] = items[0][:3]  # a gram that items share
+    texts = []
+    for i, item in enumerate(items):
+        rng, half = random.Random(i), len(item) // 2
+        if i % 4 == 0:
+            texts.append([w for j, w in enumerate(item, 1) for w in ([w, f"new{j}"] if j % 3 == 0 else [w])])
+        elif i % 4 == 1:
+            texts.append([f"new{j}" if j % 4 == 0 else w for j, w in enumerate(item, 1)])
+        elif i % 4 == 2:
+            texts.append([*item[:half], *[f"new{j}" for j in range(half)], *item[half:]])
+        else:
+            texts.append([f"new{j}" if rng.random() < 0.2 else w for j, w in enumerate(item)])
+    texts = [[*_sentence(15, 500 + i), *text, *_sentence(15, 600 + i)] for i, text in enumerate(texts)]
+    texts += [items[0][:3] * 20, _sentence(60, 700)]
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(_docs(spark, [" ".join(t) for t in texts]), benchmark).collect()}
+    scores = {(d, i): _plain_align(item, text) / (2 * len(item)) for d, text in enumerate(texts) for i, item in enumerate(items)}
+    grams = [{tuple(t[i : i + 3]) for i in range(len(t) - 2)} for t in texts]
+    held = {(d, i) for d, g in enumerate(grams) for i, t in enumerate(items) if any(tuple(t[j : j + 3]) in g for j in range(len(t) - 2))}
+    assert found == {k: s for k, s in scores.items() if s >= 0.6 and k in held}
+    assert {(0, 0), (1, 1), (2, 2)} <= set(found)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
