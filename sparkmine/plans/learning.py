@@ -80,12 +80,13 @@ def logreg_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def grid_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trained and tuned model applied to every document, labelled or not."""
+    """A trained and tuned model applied to every document, labelled or not; no result where a feature is NULL."""
     rows = _quality(spark, sf_dir)
     model, logistic = _fitted(rows)
     tuned, _ = ML.with_best_threshold(logistic, model.transform(rows), "quality")
-    scored = tuned.transform(model.stages[0].transform(_measured(spark, sf_dir)))
-    return scored.select("doc_id", *QUALITY_FEATURES, ML.label_text("prediction", "good", "poor").alias("result"))
+    scored = tuned.transform(ML.keeping_assembler(model).transform(_measured(spark, sf_dir)))
+    result = F.when(ML.complete(QUALITY_FEATURES), ML.label_text("prediction", "good", "poor"))
+    return scored.select("doc_id", *QUALITY_FEATURES, result.alias("result"))
 
 
 @query("""

@@ -129,3 +129,16 @@ def test_importances_and_margin_classifier(spark, exam):
 def test_label_text(spark):
     df = spark.createDataFrame([(1.0,), (0.0,)], "prediction double").select(ML.label_text("prediction", "yes", "no").alias("r"))
     assert [r["r"] for r in df.collect()] == ["yes", "no"]
+
+
+def test_grid_score_keeps_documents_with_a_null_feature(spark, tmp_path):
+    from sparkmine.plans import learning as plans
+
+    text = F.expr("repeat('word and ', 1 + cast(id % 7 as int))")
+    documents = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"), F.when(F.col("id") > 1, 10 * (F.col("id") % 9)).alias("n_chars"))
+    documents.withColumn("text", F.when(F.col("doc_id") != 2, F.col("text"))).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(30).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality")).write.parquet(str(tmp_path / "labels.parquet"))
+    rows = {r.doc_id: r for r in plans.grid_score(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == list(range(40))
+    empty = {i for i, r in rows.items() if None in (r.chars, r.words, r.word_length)}
+    assert {0, 1} <= empty and empty == {i for i, r in rows.items() if r.result is None}
