@@ -1,17 +1,19 @@
 """License scans by an exact set-similarity join, in DataFrame functions only.
 
-A template is the set of words of a license sentence; a text block is one line. A block meets a template when it holds at
+A template is the set of words of a license sentence; a text block is a window of twice as many words as the sentence has,
+anywhere in the words of the whole text: line breaks and comment signs do not count. A block meets a template when it holds at
 least ``THRESHOLD`` of the template's words. Words that templates use are ranked by their frequency in all texts,
 rarest first. A template of n words that needs o of them in a block has n - o + 1 prefix words (its rarest): every block
-that meets it holds one of these (prefix filter), has at least o template words (length filter), and has enough words left
-after the matched one on both sides (positional filter). Surviving pairs are verified on the sets.
+that meets it holds one of these (prefix filter), so only windows around them are looked at. What is near enough must
+have o of the template's words (length filter), counting only those after the matched one in the ranking (positional
+filter), as a window with a rarer one is found from there. Windows that begin with each word left are verified on the sets.
 
 Besides, the base phrases are looked up word by word. Template matches add the labels of the
-templates that a line meets best.
+templates that a stretch meets best: a match that shares a word with a better one is dropped.
 
 Scale: the frequency count is a partial aggregate over at most as many words as the templates have. Prefix words are
-rare, so few lines reach the join with the templates, which are fixed and small. Lines of a text are handled apart; a text is
-never gathered again, only its labels.
+rare, so few windows reach the join with the templates, which are fixed and small. Only the words around a prefix word
+leave their text; a text is never gathered again, only its labels.
 
 Edge cases: NULL text is empty: no words, no labels, score 0. Rows that repeat a ``doc_id`` give a row each with their own
 text's result; rows without ``doc_id`` likewise. Other columns are ignored.
@@ -73,39 +75,71 @@ def _pattern(words: list[str]) -> str:
     return "(?i)(?<![0-9A-Za-z\\x{80}-\\x{10FFFF}])(?:" + "|".join(words) + ")(?![0-9A-Za-z\\x{80}-\\x{10FFFF}])"
 
 
+def _heads(words: Column, rare: list[str], reach: int) -> Column:
+    """Place of every rare word of a text, and the words around it."""
+
+    def around(words: Column) -> Column:
+        at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(rare), i)), lambda i: i.isNotNull())
+        return F.transform(at, lambda i: F.struct(i.alias("at"), F.slice(words, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("near")))
+
+    return F.transform(F.array(words), around)[0]
+
+
+def _window(held: Column, width: Column, start: Column) -> Column:
+    """Different words in the window from ``start``, and the shortest stretch that holds them."""
+
+    def measured(inside: Column) -> Column:
+        ranks = F.transform(inside, lambda h: h["rank"])
+        firsts = F.filter(inside, lambda h, j: F.array_position(ranks, h["rank"]) == j + 1)
+        last = F.element_at(firsts, -1)["i"]
+        return F.struct(F.size(firsts).alias("n"), (start - last).alias("short"), start.alias("from"), last.alias("to"))
+
+    return F.transform(F.array(F.filter(held, lambda h: (h["i"] >= start) & (h["i"] < start + width))), measured)[0]
+
+
 def template_matches(rows: DataFrame, ranks: dict[str, int], threshold: float = THRESHOLD) -> DataFrame:
-    """``__row, line, label, score`` for every line of ``(__row, text)`` and template that meet."""
+    """``__row, template, label, score, from, to`` of the windows of ``(__row, text)`` that meet a template."""
     spark = rows.sparkSession
     table, prefixes = [], set()
     for i, (label, text) in enumerate(TEMPLATES):
         ordered = sorted(ranks[w] for w in set(text.split()))
         need = math.ceil(threshold * len(ordered) - 1e-9)
-        for place, rank in enumerate(ordered[: len(ordered) - need + 1]):
-            table.append((rank, i, label, ordered, need, len(ordered) - place))
+        for rank in ordered[: len(ordered) - need + 1]:
+            table.append((rank, i, label, ordered, need, 2 * len(text.split())))
         prefixes |= set(ordered[: len(ordered) - need + 1])
-    templates = spark.createDataFrame(table, "rank int, template int, label string, ordered array<int>, need int, rest int")
+    templates = spark.createDataFrame(table, "rank int, template int, label string, ordered array<int>, need int, width int")
     rank_of = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
     rare = [w for w, r in ranks.items() if r in prefixes]
-
-    lines = rows.where(F.col("text").rlike(_pattern(rare))).select("__row", F.posexplode(F.split("text", "\n")).alias("line", "block"))
-    blocks = lines.where(F.col("block").rlike(_pattern(rare)))
-    known = F.array_intersect(words_of(F.col("block")), F.array(*[F.lit(w) for w in ranks]))
-    blocks = blocks.select("__row", "line", F.sort_array(F.transform(known, lambda w: F.element_at(rank_of, w))).alias("held"))
-    heads = blocks.select("__row", "line", "held", F.posexplode("held").alias("place", "rank")).where(F.col("rank").isin(sorted(prefixes)))
-    pairs = heads.join(F.broadcast(templates), "rank")
-    pairs = pairs.where(F.size("held") >= F.col("need"))
-    # The first shared word of a pair: what is left of both sets must suffice.
-    first = F.element_at(F.array_intersect("held", "ordered"), 1) == F.col("rank")
-    pairs = pairs.where(first & (F.least(F.size("held") - F.col("place"), F.col("rest")) >= F.col("need")))
-    both = F.size(F.array_intersect("held", "ordered"))
-    return pairs.where(both >= F.col("need")).select("__row", "line", "label", (both / F.size("ordered")).alias("score"))
+    reach = max(width for *_, width in table) - 1
+
+    texts = rows.where(F.col("text").rlike(_pattern(rare)))
+    heads = texts.select("__row", F.explode(_heads(words_of(F.col("text")), rare, reach)).alias("head")).select("__row", "head.*")
+    ranked = F.transform("near", lambda w, i: F.struct((i + F.col("at") - F.least("at", F.lit(reach))).alias("i"), F.try_element_at(rank_of, w).alias("rank")))
+    heads = heads.select("__row", "at", F.filter(ranked, lambda h: h["rank"].isNotNull()).alias("near"))
+    own = F.filter("near", lambda h: h["i"] == F.col("at"))[0]["rank"]
+    pairs = heads.withColumn("rank", own).join(F.broadcast(templates), "rank")
+    # A window that holds a rarer word of the template is reached from that one.
+    useful = F.filter(
+        "near",
+        lambda h: (F.abs(h["i"] - F.col("at")) < F.col("width")) & (h["rank"] >= F.col("rank")) & F.array_contains("ordered", h["rank"]),
+    )
+    pairs = pairs.select("__row", "template", "label", "at", "need", "width", F.size("ordered").alias("size"), useful.alias("held"))
+    pairs = pairs.where(F.size(F.array_distinct(F.transform("held", lambda h: h["rank"]))) >= F.col("need"))
+    starts = F.filter("held", lambda h: h["i"] <= F.col("at"))
+    best = F.array_max(F.transform(starts, lambda h: _window(F.col("held"), F.col("width"), h["i"])))
+    found = pairs.select("__row", "template", "label", "size", "need", best.alias("best")).where(F.col("best.n") >= F.col("need"))
+    return found.select("__row", "template", "label", (F.col("best.n") / F.col("size")).alias("score"), "best.from", "best.to").distinct()
 
 
 def best_labels(matches: DataFrame) -> DataFrame:
-    """``__row, added, best``: of the templates that a line meets, those it meets best."""
-    lines = matches.groupBy("__row", "line").agg(F.max("score").alias("top"), F.collect_set(F.struct("score", "label")).alias("all"))  # at most one per template
-    of_line = F.transform(F.filter("all", lambda m: m["score"] == F.col("top")), lambda m: m["label"])
-    return lines.select("__row", "top", F.explode(of_line).alias("label")).groupBy("__row").agg(F.collect_set("label").alias("added"), F.max("top").alias("best"))
+    """``__row, added, best``: the templates met by windows that share no word with a window that meets one better."""
+    match = ["template", "label", "score", "from", "to"]
+    places = matches.select("__row", F.explode(F.sequence("from", "to")).alias("place"), F.struct(*match).alias("match"))
+    # At a place are at most as many windows as templates times their widths.
+    places = places.groupBy("__row", "place").agg(F.max("match.score").alias("top"), F.collect_set("match").alias("all"))
+    windows = places.select("__row", "top", F.explode("all").alias("match")).groupBy("__row", "match").agg(F.max("top").alias("top"))
+    kept = windows.where(F.col("match.score") == F.col("top"))
+    return kept.groupBy("__row").agg(F.collect_set("match.label").alias("added"), F.max("top").alias("best"))
 
 
 def _starts_here(words: Column, asked: list[str]) -> Callable[[Column, Column], Column]:
@@ -138,7 +172,7 @@ def phrase_places(text: Column) -> Column:
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
-    ``score`` is 1 with a base phrase, else the largest share of a template's words that a line holds, if that
+    ``score`` is 1 with a base phrase, else the largest share of a template's words that a window holds, if that
     meets the threshold, else 0.
     """
     text = F.coalesce(docs["text"], F.lit(""))

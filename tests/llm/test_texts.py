@@ -185,6 +185,17 @@ def test_a_bounded_table_gives_the_same_counts(monkeypatch):
     assert [transducer.count_tokens(spec, d, b).tolist() for _, _, d, b in text_slices(column)] == first
 
 
+def test_license_scan_of_wrapped_headers_and_a_long_line(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    mpl = "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy"
+    narrow = "\n * ".join("Permission is hereby granted, free of charge, to any person obtaining a copy of this software".split())
+    far = " ".join(w for part in ("released", "under", "the", "license") for w in [part, *_sentence(500, len(part))])
+    two = "Released under the MIT license.\nThis work is licensed under the GNU General\nPublic License version 3"
+    rows = sorted(licenses.scan(_docs(spark, [bsd, mpl, narrow, far, two, " ".join([far, bsd])])).collect())
+    assert [r.labels for r in rows] == ["bsd", "mpl-2", "mit", "", "gpl-3,mit", "bsd"]
+    assert [r.score for r in rows] == [1, 1, 1, 0, 1, 1]
+
+
 def test_pseudo_likelihood_prefers_real_order(spark):
     phrases = [_sentence(6, i) for i in range(6)]
     rng = random.Random(1)
