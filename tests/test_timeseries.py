@@ -84,3 +84,9 @@ def test_pi(spark):
 
     repeatable = MC.pi_from_keys(spark.range(50), "id", 10).first()
     assert (repeatable["points"], repeatable["inside"]) == (500, sum(point(i) for i in range(500)))
+
+
+def test_the_bench_total_has_no_simulators():
+    import bench
+
+    assert not [name for name in [*bench.FILE_JOBS, *bench.HEADLINE] if name.startswith("pi_")]
