@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import archives, decontam, hosts, licenses, mixing, parity, pii, pseudo, repeats, transducer
+from sparkmine.llm import archives, decontam, hosts, licenses, mixing, parity, pii, pseudo, repeats, transducer, whitening
 from sparkmine.plans.registry import registrar
 from sparkmine.sources.tables import table
 
@@ -189,3 +189,8 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = hosts.judged(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", *[F.col(f"__m.{n}").alias(n) for n in names], F.col("__failed").alias("base_failed"), F.col("__kept").alias("kept"))
+
+
+@query()
+def op11_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
