@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import archives, decontam, hosts, licenses, mixing, parity, pii, pseudo, repeats, transducer, whitening
+from sparkmine.llm import archives, chat, decontam, hosts, licenses, mixing, parity, pii, pseudo, repeats, transducer, variants, whitening
 from sparkmine.plans.registry import registrar
 from sparkmine.sources.tables import table
 
@@ -194,3 +194,64 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+), tally AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') AS doc, count(*) AS n FROM runs GROUP BY ALL),
+hexed AS (SELECT run, n, hex(encode(doc || ':' || run)) AS h FROM tally),
+bytes AS (SELECT run, n, list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS b FROM hexed),
+summed AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM bytes, crc),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS blank, substr(word, 1, i - 1) || substr(word, i + 1) AS short
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS other, y.n AS m FROM gaps x JOIN gaps y USING (blank) WHERE x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM words x JOIN gaps y ON x.word = y.short
+  UNION SELECT y.word, x.word, x.n FROM words x JOIN gaps y ON x.word = y.short
+), best AS (SELECT word, CAST(count(*) AS BIGINT) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS (SELECT w.word, w.n, CASE WHEN m >= 2 * n THEN other END AS form, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN m END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, 0 AS steps FROM formed UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+# The two turns of conversation -1: texts that hold control strings of the template.
+_CONTROLS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query(
+    r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), m AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*/?INST\]|<\\*</?SYS>>')) AS escaped,
+    length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*/?INST\]|<\\*</?SYS>>')) AS named
+  FROM t
+), g AS (
+  SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+    CAST(sum(escaped + CASE role WHEN 'user' THEN 16 WHEN 'assistant' THEN 4 ELSE named + 19 END) AS BIGINT) AS formatted_chars
+  FROM m GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars FROM g
+"""
+)
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    codec = chat.Codec.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    turns = chat.with_turns(table(spark, sf_dir, "conversations"), _CONTROLS)
+    found = chat.read_back(chat.assemble(turns, codec), codec)
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
