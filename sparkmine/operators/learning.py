@@ -6,7 +6,6 @@ Fits keep only coefficients, trees or vocabularies on the driver; data stays in
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest
@@ -134,16 +133,6 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, reg_param:
     return Pipeline(stages=[assembler(features, handle_invalid="skip"), model]).fit(df)
 
 
-def keeping_assembler(model: PipelineModel) -> VectorAssembler:
-    """The assembler of a fitted pipeline for scoring: rows with a NULL feature stay, with NaN in its place."""
-    return model.stages[0].copy().setHandleInvalid("keep")
-
-
-def complete(features: Sequence[str]) -> Column:
-    """Whether a row has a number in every feature."""
-    return reduce(Column.__and__, [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features])
-
-
 def odds_ratios(model: LogisticRegressionModel, features: Sequence[str], spark: SparkSession, units: Mapping[str, float] | None = None) -> DataFrame:
     """Effect of one unit of every feature (``units`` rescales, e.g. 86400 s to a day)."""
     rows = [(f, float(c), float((units or {}).get(f, 1.0))) for f, c in zip(features, model.coefficients)]

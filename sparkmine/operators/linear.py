@@ -179,6 +179,34 @@ def cross_validated_fits(
     return moments.groupBy().applyInPandas(validate, schema)
 
 
+def select_and_test(moments: DataFrame, n_features: int, specs: Sequence[tuple[float, float]], fold: str = "fold", held_out: int = -1) -> DataFrame:
+    """Cross-validated choice of a spec, its refit and its errors on rows that no fold ever held, as one step.
+
+    ``moments`` has one :func:`comoments` row per fold and one for the ``held_out`` part. Every spec gets its mean RMSE over the folds and
+    its fit on all folds; the best one (smallest RMSE, then the first of ``specs``) also gets ``test_rmse`` and ``test_r2``, which follow
+    from the moments of the held-out part alone. The data are read once for all of it.
+    """
+    choices = cross_validated_fits(moments.where(F.col(fold) != held_out), n_features, specs, fold)
+    part = moments.where(F.col(fold) == held_out).select(F.struct("mean", "cov").alias("held")).scalar()
+    first = {(float(reg), float(net)): i for i, (reg, net) in reversed(list(enumerate(specs)))}
+
+    def test(choices: pd.DataFrame) -> pd.DataFrame:
+        best = min(choices.index, key=lambda i: (choices.avg_rmse[i], first[choices.reg_param[i], choices.elastic_net[i]]))
+        out = choices.drop(columns="held").assign(best=choices.index == best, test_rmse=np.nan, test_r2=np.nan)
+        held, row = choices.held[best], choices.loc[best]
+        if held is not None:
+            mean, cov = np.asarray(held["mean"]), _matrix(np.asarray(held["cov"]), n_features + 1)
+            mse = max(_errors(mean, cov, np.asarray(row.coefficients), row.intercept), 0.0)
+            out.loc[best, "test_rmse"] = math.sqrt(mse)
+            out.loc[best, "test_r2"] = 1 - mse / cov[-1, -1] if cov[-1, -1] > 0 else np.nan
+        return out
+
+    schema = "reg_param double, elastic_net double, avg_rmse double, coefficients array<double>, intercept double, best boolean, test_rmse double, test_r2 double"
+    # One row per spec reaches the single group.
+    tested = choices.withColumn("held", part).groupBy().applyInPandas(test, schema)
+    return tested.withColumns({c: F.nullif(F.col(c), F.lit(float("nan"))) for c in ("test_rmse", "test_r2")})
+
+
 def _omnibus(skew: Column, kurtosis: Column, n: Column) -> Column:
     """D'Agostino's K-squared: squared normal scores of the skewness and the kurtosis."""
     one, half = F.lit(1.0), F.lit(0.5)

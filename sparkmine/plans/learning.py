@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -15,10 +17,14 @@ from sparkmine.functions import text as X
 from sparkmine.functions.dates import periodic_columns
 from sparkmine.operators import learning as ML
 from sparkmine.operators import linear as L
+from sparkmine.operators import logistic as G
 from sparkmine.operators import metrics as M
 from sparkmine.operators import sampling as S
 from sparkmine.operators.text import doc_terms, vectorizer
 from sparkmine.plans.registry import registrar
+from sparkmine.plans.sampling import sql_hash_split
+from sparkmine.plans.sqlmath import newton_logistic
+from sparkmine.plans.text import SQL_SPACES
 from sparkmine.plans.timeseries import daily_orders
 from sparkmine.session import durable
 from sparkmine.sources.tables import spread, table
@@ -46,47 +52,93 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return durable(S.hash_split(labelled, "doc_id", SPLIT, seed=123))
 
 
-def _fitted(rows: DataFrame):
-    model = ML.fit_logistic(rows, QUALITY_FEATURES, "quality")
-    return model, model.stages[-1]
+SQL_MEASURED = f"""(SELECT doc_id, lang, chars, words, CASE WHEN words = 0 THEN 0 ELSE n_chars / (words * 100) END AS word_length FROM (
+    SELECT doc_id, lang, n_chars, n_chars / 1000.0::DOUBLE AS chars,
+           len(list_filter(regexp_split_to_array(text, {SQL_SPACES}), lambda x: x <> '')) / 100.0::DOUBLE AS words FROM documents))"""
+SQL_QUALITY = f"""measured AS MATERIALIZED (SELECT * FROM {SQL_MEASURED}),
+    quality AS MATERIALIZED (SELECT m.*, quality, {sql_hash_split("doc_id", SPLIT, 123)} AS split FROM measured m JOIN labels USING (doc_id)),
+    train AS MATERIALIZED (SELECT * FROM quality WHERE split = 'train' AND chars IS NOT NULL AND words IS NOT NULL AND word_length IS NOT NULL)"""
+REG = 0.1
+SQL_P1 = "1 / (1 + exp(-(b + w0 * chars + w1 * words + w2 * word_length)))"
 
 
-@query()
+def _sql_best(rows: str) -> str:
+    """(threshold, f): the score with the best F-measure, the highest one on ties."""
+    return f"""(SELECT arg_max(p1, (f, p1)) AS threshold, max(f) AS f FROM (
+        SELECT p1, 2 * sum(y) OVER w / (sum(y) OVER w + sum(n - y) OVER w + sum(y) OVER ())::DOUBLE AS f FROM (
+            SELECT p1, count(*) AS n, sum(quality) AS y FROM {rows} GROUP BY p1) WINDOW w AS (ORDER BY p1 DESC)))"""
+
+
+def _quality_model(rows: DataFrame) -> G.Logistic:
+    return G.fit_logistic(rows, QUALITY_FEATURES, "quality", REG)
+
+
+def _tuned(model: G.Logistic, rows: DataFrame) -> tuple[G.Logistic, float]:
+    """The model with the threshold of the best F-measure on labelled rows, and that measure."""
+    scored = model.score(rows).where("p1 IS NOT NULL")
+    best = M.best_threshold(M.fmeasure_by_threshold(scored, "p1", "quality")).first()
+    return replace(model, threshold=best["threshold"]), best["f_measure"]
+
+
+@query(f"""
+    WITH {SQL_QUALITY}, fit AS MATERIALIZED (SELECT * FROM {newton_logistic("train", QUALITY_FEATURES, "quality", REG)}),
+    scored AS (SELECT quality.*, {SQL_P1} AS p1 FROM quality, fit)
+    SELECT doc_id, split, quality, (p1 > 0.5)::DOUBLE AS prediction, round(p1, 9) AS p1, round(greatest(p1, 1 - p1), 9) AS prob FROM scored""")
 def logreg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic model of quality: every labelled document with its class and confidence."""
+    """Logistic model of quality: every labelled document with its class and confidence; NULL where a feature is."""
     rows = _quality(spark, sf_dir)
-    model, _ = _fitted(rows.where("split = 'train'"))
-    scored = model.transform(rows).withColumn("prob", ML.class_probability())
-    return scored.drop("features", "rawPrediction", "probability")
+    scored = _quality_model(rows.where("split = 'train'")).score(rows)
+    prob = F.round(F.greatest(F.col("p1"), 1 - F.col("p1")), 9).alias("prob")
+    return scored.select("doc_id", "split", "quality", "prediction", F.round("p1", 9).alias("p1"), prob)
 
 
-@query()
+@query(f"""
+    WITH {SQL_QUALITY}, fit AS (SELECT * FROM {newton_logistic("train", QUALITY_FEATURES, "quality", REG)}),
+    terms AS (SELECT unnest({QUALITY_FEATURES}) AS feature, unnest([w0, w1, w2]) AS coef FROM fit)
+    SELECT feature, round(coef, 8) AS coef, round(exp(coef), 8) AS odds_ratio, round((exp(coef) - 1) * 100, 6) AS percent_change FROM terms""")
 def odds_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odds effect of a thousand characters, a hundred words and one letter per word."""
-    _, logistic = _fitted(_quality(spark, sf_dir))
-    return ML.odds_ratios(logistic, QUALITY_FEATURES, spark)
-
-
-@query()
+    table_ = G.odds_table(_quality_model(_quality(spark, sf_dir).where("split = 'train'")), spark)
+    return table_.select("feature", *[F.round(c, d).alias(c) for c, d in (("coef", 8), ("odds_ratio", 8), ("percent_change", 6))])
+
+
+@query(f"""
+    WITH {SQL_QUALITY}, fit AS MATERIALIZED (SELECT * FROM {newton_logistic("train", QUALITY_FEATURES, "quality", REG)}),
+    scored AS MATERIALIZED (SELECT quality.*, {SQL_P1} AS p1 FROM quality, fit),
+    best AS (SELECT * FROM {_sql_best("(SELECT * FROM scored WHERE split = 'train' AND p1 IS NOT NULL)")}),
+    t AS (SELECT quality AS y, (p1 > threshold)::INTEGER AS p, threshold, f FROM scored, best WHERE split = 'test' AND p1 IS NOT NULL),
+    c AS (SELECT c, count(*) FILTER (y = c) AS support, count(*) FILTER (p = c) AS predicted, count(*) FILTER (y = c AND p = c) AS tp,
+                 count(*) AS n, any_value(threshold) AS threshold, any_value(f) AS f FROM t, (VALUES (0), (1)) v(c) GROUP BY c),
+    m AS (SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted::DOUBLE END AS pr, CASE WHEN support = 0 THEN 0 ELSE tp / support::DOUBLE END AS re,
+                 2 * tp / (predicted + support)::DOUBLE AS f1, CASE WHEN n = support THEN 0 ELSE (predicted - tp) / (n - support)::DOUBLE END AS fpr
+          FROM c WHERE predicted + support > 0)
+    SELECT any_value(n) AS n, round(sum(tp) / any_value(n), 9) AS accuracy, round(sum(pr * support) / any_value(n), 9) AS weighted_precision,
+           round(sum(re * support) / any_value(n), 9) AS weighted_recall, round(sum(f1 * support) / any_value(n), 9) AS f1,
+           round(sum(fpr * support) / any_value(n), 9) AS weighted_fpr, round(any_value(threshold), 9) AS threshold, round(any_value(f), 9) AS train_f FROM m""")
 def logreg_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test metrics at the threshold with the best training F-measure."""
     rows = _quality(spark, sf_dir)
-    model, logistic = _fitted(rows.where("split = 'train'"))
-    tuned, best = ML.with_best_threshold(logistic, model.transform(rows.where("split = 'train'")), "quality")
-    scored = tuned.transform(model.stages[0].transform(rows.where("split = 'test'")))
+    train = rows.where("split = 'train'")
+    tuned, best = _tuned(_quality_model(train), train)
+    scored = tuned.score(rows.where("split = 'test'")).where("p1 IS NOT NULL")
     found = M.weighted_metrics(scored.withColumn("quality", F.col("quality").cast("double")), "quality", "prediction")
-    return found.withColumn("threshold", best.select("threshold").scalar())
+    found = found.withColumns({"threshold": F.lit(tuned.threshold), "train_f": F.lit(best)})
+    return found.select("n", *[F.round(c, 9).alias(c) for c in found.columns if c != "n"])
 
 
-@query()
+@query(f"""
+    WITH {SQL_QUALITY}, every AS MATERIALIZED (SELECT * FROM quality WHERE chars IS NOT NULL AND words IS NOT NULL AND word_length IS NOT NULL),
+    fit AS MATERIALIZED (SELECT * FROM {newton_logistic("every", QUALITY_FEATURES, "quality", REG)}),
+    best AS (SELECT * FROM {_sql_best(f"(SELECT quality, {SQL_P1} AS p1 FROM every, fit)")})
+    SELECT doc_id, round(chars, 9) AS chars, round(words, 9) AS words, round(word_length, 9) AS word_length,
+           CASE WHEN {SQL_P1} > threshold THEN 'good' WHEN {SQL_P1} <= threshold THEN 'poor' END AS result FROM measured, fit, best""")
 def grid_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trained and tuned model applied to every document, labelled or not; no result where a feature is NULL."""
     rows = _quality(spark, sf_dir)
-    model, logistic = _fitted(rows)
-    tuned, _ = ML.with_best_threshold(logistic, model.transform(rows), "quality")
-    scored = tuned.transform(ML.keeping_assembler(model).transform(_measured(spark, sf_dir)))
-    result = F.when(ML.complete(QUALITY_FEATURES), ML.label_text("prediction", "good", "poor"))
-    return scored.select("doc_id", *QUALITY_FEATURES, result.alias("result"))
+    tuned, _ = _tuned(_quality_model(rows), rows)
+    scored = tuned.score(_measured(spark, sf_dir))
+    result = F.when(F.col("prediction").isNotNull(), ML.label_text("prediction", "good", "poor"))
+    return scored.select("doc_id", *[F.round(c, 9).alias(c) for c in QUALITY_FEATURES], result.alias("result"))
 
 
 @query("""

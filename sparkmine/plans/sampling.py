@@ -20,6 +20,16 @@ def sql_seeded_key(key: str, seed: int) -> str:
     return f"(({first}) * 69621 + cast(floor(({first}) / 65536) AS BIGINT)) % 2147483647"
 
 
+def sql_hash_split(key: str, weights: dict[str, float], seed: int) -> str:
+    """CASE expression of the same cuts as :func:`sparkmine.operators.sampling.hash_split`."""
+    total, reached, cases = sum(weights.values()), 0.0, ""
+    *parts, last = weights.items()
+    for part, weight in parts:
+        reached += weight / total
+        cases += f" WHEN {sql_seeded_key(key, seed)} < {int(reached * 2147483647)} THEN '{part}'"
+    return f"CASE{cases} ELSE '{last[0]}' END"
+
+
 def sql_stratified_folds(k: int) -> str:
     """(doc_id, lang, fold): every class takes the residues of its places in the line."""
     return f"""(

@@ -128,3 +128,24 @@ def test_power_columns(spark):
     df = spark.createDataFrame([(2.0,)], "X double")
     row = df.select(*[c.alias(n) for n, c in {**L.power_columns("X", 4), **L.squared_columns(["X"])}.items()]).first()
     assert row.asDict() == {"X": 2.0, "X2": 4.0, "X3": 8.0, "X4": 16.0, "X_sq": 4.0}
+
+
+def test_best_spec_is_tested_on_rows_no_fold_held(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(600):
+        a, b = rng.gauss(0, 1), rng.gauss(0, 2)
+        rows.append((a, b, 3 * a - b + rng.gauss(0, 1), i % 6 - 1))
+    df = spark.createDataFrame(rows, "a double, b double, y double, fold int")
+    specs = [(5.0, 0.5), (0.0, 0.0), (0.0, 0.0), (1.0, 1.0)]
+    got = L.select_and_test(L.comoments(df, ["a", "b"], "y", ["fold"]), 2, specs).collect()
+    best = [r for r in got if r["best"]]
+    assert len(best) == 1 and best[0]["reg_param"] == 0.0 and all(r["test_rmse"] is None for r in got if not r["best"])
+    train, test = np.array([r[:3] for r in rows if r[3] >= 0]), np.array([r[:3] for r in rows if r[3] < 0])
+    design = np.column_stack([np.ones(len(train)), train[:, :2]])
+    beta = np.linalg.lstsq(design, train[:, 2], rcond=None)[0]
+    error = test[:, 2] - beta[0] - test[:, :2] @ beta[1:]
+    assert best[0]["test_rmse"] == pytest.approx(np.sqrt((error**2).mean()))
+    assert best[0]["test_r2"] == pytest.approx(1 - (error**2).mean() / test[:, 2].var())
+    alone = L.select_and_test(L.comoments(df.where("fold >= 0"), ["a", "b"], "y", ["fold"]), 2, specs).where("best").first()
+    assert alone["test_rmse"] is None
