@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.functions import distributions as D
 from sparkmine.operators.ordering import with_previous
 from sparkmine.session import durable
 
@@ -223,8 +224,8 @@ def _omnibus(skew: Column, kurtosis: Column, n: Column) -> Column:
 
 
 def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> DataFrame:
-    """One-row least-squares report that needs no distribution tables: coefficients,
-    standard errors, t and F values, fit criteria and residual diagnostics."""
+    """One-row least-squares report: coefficients, standard errors, t and F values, fit criteria and residual diagnostics
+    with their tail probabilities."""
     rows = df.select(*order_by, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).na.drop()
     base = durable(
         rows.agg(
@@ -259,10 +260,11 @@ def inference_terms(df: DataFrame, x: str, y: str, order_by: Sequence[str]) -> D
         r2.alias("r2"), (1 - (1 - r2) * (n - 1) / (n - 2)).alias("adj_r2"), F.pow(F.col("slope") / se_slope, F.lit(2)).alias("f_statistic"),
         log_likelihood.alias("log_likelihood"), (4 - 2 * log_likelihood).alias("aic"),
         (2 * F.log(n) - 2 * log_likelihood).alias("bic"), "durbin_watson", skew.alias("skew"), kurtosis.alias("kurtosis"),
-        jb.alias("jarque_bera"), F.exp(-jb / 2).alias("prob_jb"),
-        _omnibus(skew, kurtosis, n).alias("omnibus"), F.exp(-_omnibus(skew, kurtosis, n) / 2).alias("prob_omnibus"),
-        condition.alias("condition_number"),
-    )
+        jb.alias("jarque_bera"), _omnibus(skew, kurtosis, n).alias("omnibus"), condition.alias("condition_number"),
+    ).withColumns({
+        "prob_jb": D.chi2_probability("jarque_bera", "2"), "prob_omnibus": D.chi2_probability("omnibus", "2"),
+        "prob_f": D.f_probability("f_statistic", "1", "n - 2"),
+    })
 
 
 def _beta_tail(t: float, dof: float) -> float:
@@ -312,16 +314,10 @@ def t_critical(confidence: float, dof: float) -> float:
 
 def coefficient_table(terms: DataFrame, confidence: float = 0.95) -> DataFrame:
     """``(term, coef, std_err, t, p, low, high)`` from :func:`inference_terms` (one row)."""
-    row = terms.first()
-    dof = row["n"] - 2
-    width = t_critical(confidence, dof)
-    rows = []
-    for term, coef, err, t in (
-        ("const", row["intercept"], row["se_intercept"], row["t_intercept"]),
-        ("x1", row["slope"], row["se_slope"], row["t_slope"]),
-    ):
-        rows.append((term, coef, err, t, t_probability(t, dof), coef - width * err, coef + width * err))
-    return terms.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double, p double, low double, high double")
+    lines = [F.struct(F.lit(term).alias("term"), *[F.col(f"{c}{name}").alias(out) for out, c in (("coef", ""), ("std_err", "se_"), ("t", "t_"))]) for term, name in (("const", "intercept"), ("x1", "slope"))]
+    rows = terms.select("n", D.t_critical(confidence, "n - 2").alias("__width"), F.inline(F.array(*lines)))
+    reach = F.col("__width") * F.col("std_err")
+    return rows.select("term", "coef", "std_err", "t", D.t_probability("t", "n - 2").alias("p"), (F.col("coef") - reach).alias("low"), (F.col("coef") + reach).alias("high"))
 
 
 def extreme_lines(grid: DataFrame, x: str, coefficients: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from sparkmine.operators import montecarlo as MC
 from sparkmine.operators import sampling as S
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_hash_split
+from sparkmine.plans.sqlmath import t_tail
 from sparkmine.session import durable
 from sparkmine.sources.tables import table
 
@@ -58,42 +59,74 @@ def _dated_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", days.cast("double").alias("X"), F.col("o_totalprice").alias("Y"))
 
 
-@query("""
-    WITH r AS (SELECT o_orderkey AS k, datediff('day', DATE '1995-01-01', o_orderdate::DATE)::DOUBLE AS x, o_totalprice AS y FROM orders),
-    b AS (SELECT count(*) AS n, avg(x) AS mx, var_pop(x) AS vx, var_pop(y) AS vy, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM r),
+SQL_INFERENCE = """r AS MATERIALIZED (SELECT o_orderkey AS k, datediff('day', DATE '1995-01-01', o_orderdate::DATE)::DOUBLE AS x, o_totalprice AS y FROM orders),
+    b AS (SELECT count(*) AS n, count(*)::DOUBLE AS dn, avg(x) AS mx, var_pop(x) AS vx, var_pop(y) AS vy, sum(x) AS sx, sum(x * x) AS sxx,
+                 regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM r),
     e AS (SELECT k, y - intercept - slope * x AS e FROM r, b),
     d AS (SELECT e, lag(e) OVER (ORDER BY k) AS p FROM e),
     q AS (SELECT avg(e * e) AS m2, avg(e * e * e) AS m3, avg(e * e * e * e) AS m4, sum((e - p) * (e - p)) / sum(e * e) AS dw FROM d),
-    a AS (SELECT *, n * m2 / (n - 2) AS s2, 1 - m2 / vy AS r2, -n / 2.0::DOUBLE * (ln(2 * pi() * m2) + 1) AS ll,
-                 m3 / m2 ** 1.5 AS sk, m4 / (m2 * m2) AS ku FROM b, q)
-    SELECT n, round(slope, 7) AS slope, round(intercept, 4) AS intercept, round(sqrt(s2 / (n * vx)), 7) AS se_slope,
-           round(sqrt(s2 * (1 / n::DOUBLE + mx * mx / (n * vx))), 4) AS se_intercept, round(slope / sqrt(s2 / (n * vx)), 6) AS t_slope,
+    a AS MATERIALIZED (SELECT *, n * m2 / (n - 2) AS s2, 1 - m2 / vy AS r2, -n / 2.0::DOUBLE * (ln(2 * pi() * m2) + 1) AS ll,
+                 m3 / m2 ** 1.5 AS sk, m4 / (m2 * m2) AS ku, sqrt(n * m2 / (n - 2) / (n * vx)) AS se1,
+                 sqrt(n * m2 / (n - 2) * (1 / n::DOUBLE + mx * mx / (n * vx))) AS se0 FROM b, q),
+    o AS MATERIALIZED (
+      SELECT *, ((1 - 2 / (9 * tail)) - cbrt((1 - 2 / tail) / (1 + (ku - 3 * (dn - 1) / (dn + 1)) / sqrt(kv) * sqrt(2 / (tail - 4))))) / sqrt(2 / (9 * tail)) AS zk
+      FROM (SELECT *, 6 + 8 / b1 * (2 / b1 + sqrt(1 + 4 / (b1 * b1))) AS tail, asinh(ys / sqrt(2 / (w2 - 1))) / sqrt(0.5 * ln(sqrt(w2 * w2))) AS zs
+        FROM (SELECT *, sk * sqrt((dn + 1) * (dn + 3) / (6 * (dn - 2))) AS ys,
+            sqrt(2 * (3 * (dn * dn + 27 * dn - 70) * (dn + 1) * (dn + 3) / ((dn - 2) * (dn + 5) * (dn + 7) * (dn + 9)) - 1)) - 1 AS w2,
+            24 * dn * (dn - 2) * (dn - 3) / ((dn + 1) * (dn + 1) * (dn + 3) * (dn + 5)) AS kv,
+            6 * (dn * dn - 5 * dn + 2) / ((dn + 7) * (dn + 9)) * sqrt(6 * (dn + 3) * (dn + 5) / (dn * (dn - 2) * (dn - 3))) AS b1 FROM a))),
+    limits AS (SELECT 0 AS step, 0.0::DOUBLE AS low, 20.0::DOUBLE AS high UNION ALL
+        SELECT step + 1, CASE WHEN tail > 0.05 THEN (low + high) / 2 ELSE low END, CASE WHEN tail > 0.05 THEN high ELSE (low + high) / 2 END
+        FROM (SELECT limits.*, """ + t_tail("((low + high) / 2)", "(dn - 2)") + """ AS tail FROM limits, b WHERE step < 50)),
+    terms AS (SELECT 'const' AS term, intercept AS coef, se0 AS std_err FROM a UNION ALL SELECT 'x1', slope, se1 FROM a),
+    coefs AS MATERIALIZED (SELECT term, coef, std_err, coef / std_err AS t, """ + t_tail("(coef / std_err)", "(dn - 2)") + """ AS p, coef - low * std_err AS low, coef + low * std_err AS high
+        FROM terms, b, limits WHERE step = 50)"""
+
+
+@query(f"""
+    WITH RECURSIVE {SQL_INFERENCE}
+    SELECT n, round(slope, 7) AS slope, round(intercept, 4) AS intercept, round(se1, 7) AS se_slope, round(se0, 4) AS se_intercept, round(slope / se1, 6) AS t_slope,
            round(r2, 10) AS r2, round(1 - (1 - r2) * (n - 1) / (n - 2), 10) AS adj_r2, round(r2 / (1 - r2) * (n - 2), 6) AS f_statistic,
            round(ll, 3) AS log_likelihood, round(4 - 2 * ll, 3) AS aic, round(2 * ln(n) - 2 * ll, 3) AS bic,
            round(dw, 8) AS durbin_watson, round(sk, 8) AS skew, round(ku, 8) AS kurtosis,
-           round(n / 6.0::DOUBLE * (sk * sk + (ku - 3) ** 2 / 4), 4) AS jarque_bera FROM a""")
+           round(n / 6.0::DOUBLE * (sk * sk + (ku - 3) ** 2 / 4), 4) AS jarque_bera, abs(round(exp(-n / 12.0::DOUBLE * (sk * sk + (ku - 3) ** 2 / 4)), 9)) AS prob_jb,
+           round(zs * zs + zk * zk, 4) AS omnibus, abs(round(exp(-(zs * zs + zk * zk) / 2), 9)) AS prob_omnibus,
+           round(sqrt((n + sxx + sqrt((n - sxx) ** 2 + 4 * sx * sx)) ** 2 / (4 * (n * sxx - sx * sx))), 4) AS condition_number,
+           abs(round((SELECT p FROM coefs WHERE term = 'x1'), 8)) AS prob_f FROM o""")
 def ols_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Least-squares report with standard errors and residual diagnostics."""
+    """Least-squares report with standard errors, residual diagnostics and their tail probabilities."""
     report = L.inference_terms(_dated_prices(spark, sf_dir), "X", "Y", ["o_orderkey"])
     digits = {
         "slope": 7, "intercept": 4, "se_slope": 7, "se_intercept": 4, "t_slope": 6, "r2": 10, "adj_r2": 10, "f_statistic": 6,
-        "log_likelihood": 3, "aic": 3, "bic": 3, "durbin_watson": 8, "skew": 8, "kurtosis": 8, "jarque_bera": 4,
+        "log_likelihood": 3, "aic": 3, "bic": 3, "durbin_watson": 8, "skew": 8, "kurtosis": 8, "jarque_bera": 4, "prob_jb": 9,
+        "omnibus": 4, "prob_omnibus": 9, "condition_number": 4, "prob_f": 8,
     }
     return report.select("n", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
-@query()
+_CONFIDENCE_DIGITS = {"coef": 6, "std_err": 6, "t": 6, "p": 8, "low": 5, "high": 5}
+
+
+@query(f"""
+    WITH RECURSIVE {SQL_INFERENCE}
+    SELECT term, {", ".join(f"round({c}, {d}) AS {c}" for c, d in _CONFIDENCE_DIGITS.items() if c != "p")}, abs(round(p, 8)) AS p FROM coefs""")
 def ols_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficient table with p-values and 95 % intervals."""
-    return L.coefficient_table(L.inference_terms(_dated_prices(spark, sf_dir), "X", "Y", ["o_orderkey"]))
+    found = L.coefficient_table(L.inference_terms(_dated_prices(spark, sf_dir), "X", "Y", ["o_orderkey"]))
+    return found.select("term", *[F.round(c, d).alias(c) for c, d in _CONFIDENCE_DIGITS.items()])
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE {SQL_INFERENCE},
+    g AS (SELECT i::BIGINT AS id, lo - 0.05::DOUBLE * (hi - lo) + 1.1::DOUBLE * (hi - lo) / 99 * i AS x FROM (SELECT min(x) AS lo, max(x) AS hi FROM r), range(100) t(i)),
+    l AS (SELECT id, x, c.v + s.v * x AS y FROM g, (SELECT unnest([low, high]) AS v FROM coefs WHERE term = 'const') c, (SELECT unnest([low, high]) AS v FROM coefs WHERE term = 'x1') s)
+    SELECT id, round(x, 9) AS "X", round(min(y), 3) AS y_low, round(max(y), 3) AS y_high FROM l GROUP BY id, x""")
 def ols_extreme_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Band between the extreme lines of the coefficient intervals, over the evaluation grid."""
     prices = _dated_prices(spark, sf_dir)
     table_ = L.coefficient_table(L.inference_terms(prices, "X", "Y", ["o_orderkey"]))
-    return L.extreme_lines(L.evaluation_grid(prices, "X"), "X", table_)
+    lines = L.extreme_lines(L.evaluation_grid(prices, "X"), "X", table_)
+    return lines.select("id", F.round("X", 9).alias("X"), F.round("y_low", 3).alias("y_low"), F.round("y_high", 3).alias("y_high"))
 
 
 @query("""

@@ -45,3 +45,11 @@ def newton_logistic(rows: str, features: list[str], label: str, reg: float, step
         UNION ALL SELECT step + 1, {", ".join(f"s{i} - x{i}" for i in range(n))} FROM ({solved(system, n)})
     )
     SELECT s0{shift} AS b, {weights} FROM newton, stats WHERE step = {steps})"""
+
+
+def t_tail(t: str, dof: str, panels: int = 4000) -> str:
+    """Two-sided t probability by Simpson's rule over the angle ``atan(t / sqrt(dof))``."""
+    angle = f"atan(abs({t}) / sqrt({dof}))"
+    weights = f"CASE WHEN i = 0 OR i = {panels} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    area = f"list_sum(list_transform(range({panels + 1}), lambda i: {weights} * cos({angle} * i / {panels}) ** ({dof} - 1))) * {angle} / {3 * panels}"
+    return f"(1 - 2 * exp(lgamma(({dof} + 1) / 2) - lgamma({dof} / 2)) / sqrt(pi()) * {area})"
