@@ -30,11 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.llm.shared import attach, components
+from sparkmine.llm.shared import Stored, attach, components, more_components, stored, unused
 from sparkmine.llm.words import mix, signed, split_words, text_slices
 from sparkmine.session import durable
 
-WANTED_NODES = 4_000_000  # 32 MB of node ids at most are sent to the tasks
 BAND = 1.3
 AGREED = 6  # pieces in which linked sets agree at least, where a band allows so many differences that they cost little
 
@@ -214,39 +213,27 @@ def _hamming(x: str, y: str) -> Column:
     return F.aggregate(flips, F.lit(0), lambda total, n: total + n)
 
 
-def _candidate_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, items, bits)``: shingle hashes and bit sketch of every node of the pairs, read from its smallest ``doc_id``.
+def _candidate_sets(docs: DataFrame, wanted: Stored, rule: Rule) -> DataFrame:
+    """``(node, items, bits)``: shingle hashes and bit sketch of every ``(node, head)``, read from the text of ``doc_id`` = ``head``.
 
     Only repeated rows of that ``doc_id`` can give a node twice, which the uses of the sets allow.
     """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    heads = rows.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("head"))
-    nodes = durable(nodes.join(heads, "node"))
-    # Beyond the bound the sets of all nodes are sent to a join instead, which drops the others.
-    small = nodes.count() <= WANTED_NODES
-    wanted = nodes.orderBy("node").toPandas().to_numpy(dtype=np.int64).reshape(-1, 2) if small else None
 
     def run(batches):
-        seen: set[int] = set()
         for batch in batches:
-            known = batch.column("doc_id").to_pylist()
+            asked = batch.column("node").to_numpy()
             for at, sets in _sets(rule, batch.column("text")):
                 ids, kept, bits = [], [], []
                 for i, s in enumerate(sets):
-                    if not len(s) or known[at + i] is None or (node := _node(s)) in seen:
-                        continue
-                    if wanted is not None and ((p := np.searchsorted(wanted[:, 0], node)) == len(wanted) or tuple(wanted[p]) != (node, known[at + i])):
-                        continue
-                    if len(seen) < 500_000:
-                        seen.add(node)
-                    ids.append(node)
-                    kept.append(s.view(np.int64))
-                    bits.append(bit_sketch(s).view(np.int64))
+                    if len(s) and _node(s) == asked[at + i]:
+                        ids.append(asked[at + i])
+                        kept.append(s.view(np.int64))
+                        bits.append(bit_sketch(s).view(np.int64))
                 if ids:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(kept), _lists(bits)], ["node", "items", "bits"])
 
-    sets = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "node bigint, items array<bigint>, bits array<bigint>")
-    return durable(sets if small else sets.dropDuplicates(["node"]).join(nodes, "node", "left_semi"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("head"), "text").join(wanted.hinted(), "head")
+    return durable(texts.select("node", "text").mapInArrow(run, "node bigint, items array<bigint>, bits array<bigint>"))
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -259,20 +246,20 @@ def _verified(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     sized = sized.where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
     most = F.col("n_a") + F.col("n_b") - 2 * _shared(F.col("n_a"), F.col("n_b"), rule)
     near = durable(sized.where(_hamming("bits_a", "bits_b") <= most).select("a", "b", "n_a", "n_b"))
-    kept = attach(sets.select("node", "items"), near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "inner")
+    kept = sets.select("node", "items").join(near.select(F.explode(F.array("a", "b")).alias("node")), "node", "left_semi")
     both = F.size(F.array_intersect("of_a", "of_b"))
     compared = near.join(kept.toDF("a", "of_a"), "a").join(kept.toDF("b", "of_b"), "b")
     return compared.where(both * rule.den >= (F.col("n_a") + F.col("n_b") - both) * rule.num).select("a", "b")
 
 
-def _rarest_items(sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """``item, node, n, p``: the first shingles of every member, in order of how many members hold them, rarest first.
+def _rarest_items(sets: DataFrame, rule: Rule) -> DataFrame:
+    """``item, node, n, p``: the first shingles of every set, in order of how many of the sets hold them, rarest first.
 
     Two linked sets of n and m shingles share at least o (see :func:`_shared`). Those before the first one that they
     share, p in one and q in the other, are not in the other set, so p <= n - o and q <= m - o. Edited copies begin
     with shingles of their own, which nobody shares.
     """
-    held = attach(sets, members, "node", "inner").select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    held = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
     common = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     # The shingles that nobody shares come first; only the others are placed.
     rarest = Window.partitionBy("node").orderBy("holders", "item")
@@ -319,38 +306,40 @@ def _open_pairs(placed: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     return _ordered_pairs(met.where(_early_enough(rule)))
 
 
-def _often_enough(met: DataFrame, needs: DataFrame) -> DataFrame:
-    """The nodes of ``met(node, times)`` that meet others in as many pieces as a linked set does."""
-    times = met.groupBy("node").agg(F.sum("times").alias("times"))
-    return times.join(needs, "node").where("times >= need").select("node")
-
-
 def links(docs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     """``(node, root)``: the nodes of linked sets with the smallest node of their component; ``rows`` as of :func:`shingle_sets`."""
     groups = _pieces(docs, rule).repartition("key").sortWithinPartitions("key", "node")
     groups = durable(groups.mapInArrow(_pair_stream, "key bigint, a bigint, b bigint, opens int"))
-    needs = rows.where("node IS NOT NULL").groupBy("node").agg(F.min(rule.partners_from(F.col("n_shingles"))).alias("need"))
+    # Nodes that meet others in as many pieces as a linked set does, with the row that their set is read from.
     met = groups.select(F.col("a").alias("node"), F.col("opens").alias("times")).union(groups.select("b", F.lit(1)))
-    often = durable(_often_enough(met, needs))
+    times = met.groupBy("node").agg(F.sum("times").alias("times"))
+    heads = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
+    heads = heads.agg(F.min("doc_id").alias("head"), F.min(rule.partners_from(F.col("n_shingles"))).alias("need"))
+    often = stored(times.join(heads, "node").where("times >= need").select("node", "head", "need"))
     # A group keeps its members when its first node goes.
-    groups = durable(attach(groups.drop("opens"), often.select(F.col("node").alias("b")), "b", "inner"))
-    pairs = durable(attach(groups.select("a", "b"), often.select(F.col("node").alias("a")), "a", "inner").distinct())
-    sets = _candidate_sets(docs, rows, pairs, rule)
+    names = often.hinted().select("node")
+    kept = groups.select("key", "a", "b").join(names.toDF("b"), "b").join(names.select(F.col("node").alias("a"), F.lit(True).alias("led")), "a", "left")
+    groups = durable(kept)
+    sets = _candidate_sets(docs, Stored(often.rows.drop("need"), often.size), rule)
+    pairs = durable(groups.where("led").select("a", "b").distinct())
     first = durable(_verified(sets, pairs, rule))
     labels = components(first)
 
     # Members of one piece group that the group's first node did not bring together.
     members = groups.select("key", F.col("b").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    apart = _often_enough(members.join(split, "key", "left_semi").select("node", F.lit(1).alias("times")), needs)
-    placed = _rarest_items(sets, apart, rule)
+    apart = members.join(split, "key", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("times"))
+    apart = stored(apart.join(often.hinted(), "node").where("times >= need").select("node"))
+    if not apart.size:
+        return labels
+    placed = _rarest_items(sets.join(apart.hinted(), "node"), rule)
     # First with the least edited holder of each shingle, then with all that this leaves apart.
     central = durable(_with_roots(_central_pairs(placed, rule), labels).join(pairs, ["a", "b"], "left_anti"))
-    known = durable(first.union(_verified(sets, central, rule)))
-    labels = components(known)
+    labels = more_components(labels, _verified(sets, central, rule))
     rest = durable(_open_pairs(placed, labels, rule).join(pairs.union(central), ["a", "b"], "left_anti"))
-    more = durable(_verified(sets, rest, rule))
-    return components(known.union(more)) if more.limit(1).count() else labels
+    if not rest.limit(1).count():
+        return labels
+    return more_components(labels, _verified(sets, rest, rule))
 
 
 def jaccard_components(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -368,5 +357,5 @@ def jaccard_components(docs: DataFrame, rule: Rule) -> DataFrame:
 def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
     """The documents without near copies: of every component the rows of its smallest ``doc_id`` stay."""
     rows = jaccard_components(docs, rule)
-    gone = rows.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return attach(docs, gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left").where("__gone IS NULL").drop("__gone")
+    gone = stored(rows.where("component_id <> doc_id").select("doc_id").distinct().toDF(free := unused(docs, "gone")))
+    return docs.join(gone.hinted(), docs["doc_id"].cast("bigint") == F.col(free), "left_anti")

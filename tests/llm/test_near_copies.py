@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkmine.llm import parity, repeats
@@ -88,6 +89,35 @@ def test_sketch_distance_never_exceeds_the_difference():
             assert set(parity.sketch_pieces(rule, bands, a)) & set(parity.sketch_pieces(rule, bands, b))
 
 
+def test_no_link_is_lost_when_the_first_of_every_group_goes(spark, monkeypatch):
+    """Every piece that two linked texts share is led by another text, which meets them in that piece only and so is dropped."""
+    rule, rng = parity.Rule(4, 85, 100), random.Random(12)
+
+    def node(text):
+        ((_, (found,)),) = parity._sets(rule, pa.array([text]))
+        return parity._node(found)
+
+    base = [f"b{i}" for i in range(66)]
+    pair = [" ".join(base), " ".join(["p", *base[1:-4], "q", "r", "s", "t"])]
+    strangers = [" ".join(f"z{rng.randrange(10**6)}" for _ in range(66)) for _ in range(600)]
+    strangers = [t for t in strangers if node(t) < min(map(node, pair))][:8]
+    assert len(strangers) == 8
+    held = [(key, node(t)) for key, stranger in enumerate(strangers) for t in [stranger, *pair]]
+    held += [(100 + i, node(t)) for i, t in enumerate([*strangers, *pair])]
+    monkeypatch.setattr(parity, "_pieces", lambda docs, rule: spark.createDataFrame(held, "key bigint, node bigint"))
+    rows = [(i, t, None, None, None) for i, t in enumerate([*pair, *strangers])]
+    got = parity.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(3), rule).collect()
+    assert sorted(tuple(r) for r in got) == _components(rows, 4, 85, 100)
+    assert {r.component_id for r in got if r.doc_id < 2} == {0}
+
+
+def test_clashing_names_in_keep_one(spark):
+    rows = [(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 1, 2, 3), (3, None, 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone int, _gone int, head int")
+    kept = parity.keep_one(docs, parity.Rule())
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 3}
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert parity.jaccard_components(none, parity.Rule()).count() == 0
@@ -131,7 +161,5 @@ def test_words_split_at_ascii_white_space_only():
     text = "A b\tC\x0b\x1cd  é\n"
     words = words_of(text, lower=True)
     assert [bytes(words.data[a:b]).decode() for a, b in zip(words.starts, words.ends)] == ["a b", "c", "\x1cd", "é"]
-    import pyarrow as pa
-
     parts = [split_words(d, b).counts().tolist() for _, _, d, b in text_slices(pa.array(["a b", None, "c" * 9, "", "d e f"]), limit=4)]
     assert sum(parts, []) == [2, 0, 1, 0, 3]
