@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.llm.words import Words, mix, split_words, text_slices, words_of
+from sparkmine.llm.shared import stored, unused
 from sparkmine.session import durable
 
 GRAM = 3
@@ -256,7 +257,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no copy of a test item."""
-    from sparkmine.llm.shared import attach
-
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__found")).where("__found IS NOT NULL").distinct()
-    return attach(docs, found, docs["doc_id"].cast("bigint") == F.col("__found")).where("__found IS NULL").drop("__found")
+    found = contaminated(docs, benchmark).where("doc_id IS NOT NULL").select("doc_id").distinct()
+    gone = stored(found.toDF(free := unused(docs, "found")))
+    return docs.join(gone.hinted(), docs["doc_id"].cast("bigint") == F.col(free), "left_anti")

@@ -121,8 +121,9 @@ def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns only."""
     # One number, read once, so that the filter does not measure a text again: 2 base rule, 1 another rule, 0 none.
     level = let(measures(docs["text"]), lambda m: F.when(base_failed(m), 2).when(any_failed(m), 1).otherwise(0))
-    measured = docs.withColumn("__level", level).withColumn("__host", F.coalesce(F.concat(F.lit("s"), docs["source"].cast("string")), F.lit("")))
-    verdicts = host_verdicts(measured.select(F.col("__host").alias("host"), (F.col("__level") > 0).alias("failed")))
-    bad = verdicts.where("bad").select(F.col("host").alias("__host"), F.lit(1).alias("__bad"))
-    joined = attach(measured, bad, "__host")
-    return joined.where(F.col("__level") + F.coalesce("__bad", F.lit(0)) < 2).select(*docs.columns)
+    # The input travels in a struct, so its columns may bear any name.
+    host = F.coalesce(F.concat(F.lit("s"), docs["source"].cast("string")), F.lit(""))
+    measured = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), level.alias("level"), host.alias("host"))
+    verdicts = host_verdicts(measured.select("host", (F.col("level") > 0).alias("failed")))
+    joined = attach(measured, verdicts.where("bad").select("host", F.lit(1).alias("bad")), "host")
+    return joined.where(F.col("level") + F.coalesce("bad", F.lit(0)) < 2).select("doc.*")

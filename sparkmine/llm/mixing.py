@@ -10,20 +10,21 @@ Targets: all words are shared out by weight; a source stops at ``MAX_REPEATS`` t
 shared out again by weight until none is above. This ends at ``min(limit, level * weight)`` with one level for all
 sources, which is found from the sorted ratios of limit to weight.
 
-Scale: only ``(key, source, size)`` is shuffled. Queue places are running sums over range slices, so a source with a
-third of all rows is spread over many tasks. The table of sources (one row per source) goes through one window.
+Scale: only keys, sources and sizes are shuffled. Queue places are running sums over range slices, so a source or a row
+repeated by a third of the table is spread over many tasks. Sources are ranked and summed over slices as well. Texts
+meet their places in one join; only texts that occur in several equal rows are stored to number these rows.
 
-Edge cases: NULL text has size 0 and is not taken; the NULL source comes last. Rows equal in ``doc_id``, source and text
-share one place in the queue and take the same number of words each. No rows give no rows. Other columns are ignored.
+Edge cases: NULL text has size 0 and is not taken; the NULL source comes last. Every row has its own place in the queue, so
+of equal rows some may be taken and others not. No rows give no rows. Other columns are kept or ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.shared import attach
-from sparkmine.operators.ordering import with_running_sums
+from sparkmine.llm.shared import attach, stored
+from sparkmine.operators.ordering import with_row_index, with_running_sums
 from sparkmine.session import durable
 
 WEIGHTS = (5, 2, 1)
@@ -45,19 +46,18 @@ def mix_key(docs: DataFrame, seed: int) -> Column:
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """``source, source_size, target, tilt`` from ``(source, source_size)``."""
     by_name = F.col("source").asc_nulls_last()
-    place = F.row_number().over(Window.orderBy(by_name)) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(place, F.lit(len(weights))) + 1).cast("int")).cast("double")
-    rows = sizes.withColumn("weight", weight).withColumn("tilt", F.when(place % 2 == 0, TILT).otherwise(-TILT))
+    rows = with_row_index(sizes, [by_name], name="place")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("place", F.lit(len(weights))) + 1).cast("int")).cast("double")
+    rows = rows.withColumn("weight", weight).withColumn("tilt", F.when(F.col("place") % 2 == 0, TILT).otherwise(-TILT))
     rows = rows.withColumn("ratio", repeats * F.col("source_size") / F.col("weight"))
     # With the sources of smaller ratio at their limit, the others get `level * weight`.
-    every, before = Window.partitionBy(), Window.orderBy("ratio", by_name).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(F.col("source_size") * repeats).over(before), F.lit(0))
-    open_weight = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    rows = rows.withColumn("level", (F.sum("source_size").over(every) - spent) / open_weight)
-    rows = rows.withColumn("level", F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(every))
+    sums = {"spent": F.col("source_size") * repeats, "closed": F.col("weight"), "size": F.col("source_size")}
+    rows = durable(with_running_sums(rows, ["ratio", by_name], sums, inclusive=False, totals=["all_spent", "all_weight", "all_size"]))
+    own = (F.col("all_size") - F.col("spent")) / (F.col("all_weight") - F.col("closed"))
+    level = rows.agg(F.max(F.when(F.col("ratio") >= own, own))).scalar()
     limit = (F.col("source_size") * repeats).cast("double")
     target = F.when(F.col("ratio") < F.col("level"), limit).otherwise(F.col("level") * F.col("weight"))
-    return rows.select("source", "source_size", target.alias("target"), "tilt")
+    return rows.withColumn("level", level).select("source", "source_size", target.alias("target"), "tilt")
 
 
 def _time(share: Column, tilt: Column) -> Column:
@@ -66,33 +66,42 @@ def _time(share: Column, tilt: Column) -> Column:
     return F.least(F.greatest((1 + tilt - root) / (2 * tilt), F.lit(0.0)), F.lit(1.0))
 
 
+def queue(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
+    """``key, doc_id, source, size, before, source_size, target, tilt``: every row's place in the queue of its source, in words."""
+    base = docs.select(mix_key(docs, seed).alias("key"), docs["doc_id"].cast("bigint").alias("doc_id"), "source", word_count(docs["text"]).alias("size"))
+    # Stored with a number per row, so that equal rows have places of their own.
+    base = durable(base.withColumns({"row": F.monotonically_increasing_id(), "group": F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))}))
+    targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats)
+    targets = targets.withColumn("group", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))).drop("source")
+    queued = with_running_sums(base, ["key", "row"], {"before": F.col("size")}, within=["group"], inclusive=False)
+    return attach(queued, targets, "group", "inner").drop("group", "row")
+
+
+def _turns(repeats: int) -> Column:
+    """Where the row's words begin in every round of the queue."""
+    return F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda e: F.col("before") + e * F.col("source_size"))
+
+
+def taken_words(repeats: int = MAX_REPEATS) -> Column:
+    quota = F.floor("target").cast("bigint")
+    return F.aggregate(_turns(repeats), F.lit(0).cast("bigint"), lambda total, s: total + F.greatest(F.least(s + F.col("size"), quota) - s, F.lit(0)))
+
+
+def positions(repeats: int = MAX_REPEATS) -> Column:
+    """Training times of a row's copies: the times at which its source's demand reaches them."""
+    used = F.filter(_turns(repeats), lambda s: (s < F.floor("target")) & (F.col("size") > 0))
+    return F.transform(used, lambda s: _time(s / F.col("target"), F.col("tilt")))
+
+
 def mix(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
-    """``key, doc_id, source, size, source_size, target, taken, positions``, one row per input row.
+    """``doc_id, source, size, source_size, target, taken, positions``, one row per input row, in order of the first position.
 
     ``taken`` counts the words that the mix takes, repeats included; ``positions`` are the training times of
-    the copies, the first one first.
+    the copies, the first one first. Rows that are not taken have none and come last.
     """
-    base = docs.select(mix_key(docs, seed).alias("key"), docs["doc_id"].cast("bigint").alias("doc_id"), "source", word_count(docs["text"]).alias("size"))
-    base = durable(base)
-    plan = queue_plan(base, weights, repeats)
-    return base.join(plan, "key")
-
-
-def queue_plan(base: DataFrame, weights: tuple = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
-    """``key, source_size, target, taken, positions`` for every distinct key of ``(key, source, size)``."""
-    places = base.groupBy("key").agg(F.first("source").alias("source"), F.first("size").alias("size"), F.count(F.lit(1)).alias("copies"))
-    places = places.withColumn("group", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
-    targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats)
-    targets = targets.withColumn("group", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))).drop("source")
-    extent, quota = F.col("size") * F.col("copies"), F.floor("target").cast("bigint")
-    queued = with_running_sums(places, ["key"], {"before": extent}, within=["group"], inclusive=False)
-    rows = attach(queued, targets, "group", "inner")
-    starts = F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda e: F.col("before") + e * F.col("source_size"))
-    words = F.aggregate(starts, F.lit(0).cast("bigint"), lambda total, s: total + F.greatest(F.least(s + extent, quota) - s, F.lit(0)))
-    taken = F.when(F.col("size") > 0, F.floor(words / F.col("copies")).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    used = F.filter(starts, lambda s: (s < quota) & (F.col("size") > 0))
-    positions = F.transform(used, lambda s: _time(s / F.col("target"), F.col("tilt")))
-    return rows.select("key", "source_size", "target", taken.alias("taken"), positions.alias("positions"))
+    places = queue(docs, seed, weights, repeats).withColumns({"taken": taken_words(repeats), "positions": positions(repeats)})
+    rows = places.select("doc_id", "source", "size", "source_size", "target", "taken", "positions")
+    return rows.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 
 def training_order(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -101,8 +110,14 @@ def training_order(docs: DataFrame, seed: int = 0) -> DataFrame:
     Adds ``position`` (time in [0, 1]) and ``copy`` (0 for the first); input columns of these names are replaced.
     """
     docs = docs.drop("position", "copy")
-    base = docs.select(mix_key(docs, seed).alias("key"), "source", word_count(docs["text"]).alias("size"))
-    plan = queue_plan(durable(base)).where(F.size("positions") > 0).select(F.col("key").alias("__key"), F.col("positions").alias("__positions"))
-    joined = attach(docs.withColumn("__key", mix_key(docs, seed)), plan, "__key", "inner")
-    copies = joined.select(*[joined[c] for c in docs.columns], F.posexplode("__positions").alias("copy", "position"))
-    return copies.orderBy("position", "doc_id")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), mix_key(docs, seed).alias("key"), docs["doc_id"].alias("order_id"))
+    others = [F.first(c).alias(c) for c in ("size", "source_size", "target", "tilt")]
+    keys = stored(queue(docs, seed).groupBy("key").agg(F.min("before").alias("before"), F.count(F.lit(1)).alias("rows"), *others))
+    placed = whole.join(keys.hinted(), "key")
+    # Equal rows stand one after the other in the queue; which is which does not matter, but each needs its number.
+    equal = durable(placed.where(F.col("rows") > 1).withColumn("number", F.monotonically_increasing_id()))
+    equal = with_row_index(equal, ["number"], within=["key"], name="nth")
+    equal = equal.withColumn("before", F.col("before") + F.col("nth") * F.col("size")).select(placed.columns)
+    every = placed.where(F.col("rows") == 1).unionByName(equal)
+    copies = every.select("doc", "order_id", F.posexplode(positions()).alias("copy", "position"))
+    return copies.orderBy("position", "order_id").select("doc.*", "copy", "position")

@@ -82,27 +82,35 @@ WITH d AS (
     md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')) AS key
   FROM documents
 ), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-p AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place FROM s),
-w AS (SELECT *, CAST(CASE place WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight FROM p),
+p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s),
+w AS (SELECT *, CAST(CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight, CASE WHEN place % 2 = 0 THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END AS tilt FROM p),
 r AS (SELECT *, 3 * source_size / weight AS ratio FROM w),
 l AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS own
   FROM r WINDOW before AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), v AS (SELECT *, max(CASE WHEN ratio >= own THEN own END) OVER () AS level FROM l),
-t AS (SELECT source, source_size, CASE WHEN ratio < level THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target FROM v),
+t AS (SELECT source, source_size, tilt, CASE WHEN ratio < level THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target FROM v),
 q AS (
-  SELECT doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS quota,
-    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key) - size AS BIGINT) AS before
+  SELECT doc_id, size, source_size, target, tilt, CAST(floor(target) AS BIGINT) AS quota,
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS BIGINT) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), u AS (
+  SELECT *, list_filter([before, before + source_size, before + 2 * source_size], lambda s: s < quota AND size > 0) AS starts FROM q
+), r2 AS (
+  SELECT *, list_transform(starts, lambda s: round(least(greatest((1 + tilt - sqrt(greatest((1 + tilt) * (1 + tilt) - 4 * tilt * (s / target), 0.0))) / (2 * tilt), 0.0), 1.0), 9)) AS times FROM u
 )
 SELECT doc_id, size, source_size, target, CAST(greatest(least(before + size, quota) - before, 0)
   + greatest(least(before + source_size + size, quota) - before - source_size, 0)
-  + greatest(least(before + 2 * source_size + size, quota) - before - 2 * source_size, 0) AS BIGINT) AS taken
-FROM q
+  + greatest(least(before + 2 * source_size + size, quota) - before - 2 * source_size, 0) AS BIGINT) AS taken,
+  CAST(len(times) AS INTEGER) AS copies, times[1] AS position, times[2] AS second_position, times[3] AS third_position
+FROM r2
 """
 )
 def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    names = ["position", "second_position", "third_position"]
+    times = [F.round(F.get("positions", F.lit(i)), 9).alias(name) for i, name in enumerate(names)]
+    return rows.select("doc_id", "size", "source_size", "target", "taken", F.size("positions").alias("copies"), *times)
 
 
 @query(

@@ -31,3 +31,15 @@ def test_stages(spark):
         assert result.columns == columns
         docs = spark.createDataFrame(rows, docs.schema)
         before = {r.doc_id: r for r in rows}
+
+
+def test_stages_with_columns_of_every_internal_name(spark):
+    """A table whose columns bear the names that the stages use inside; all come out as they went in."""
+    names = "row doc key node root gone found level host bad order_id number nth before size target tilt rows positions words spans batch __m __host __kept __gone __found __key".split()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for _, stage in corpus_pipeline.STAGES:
+        result = stage(spark, wide, SF)
+        assert result.columns[: len(wide.columns)] == wide.columns
+        rows = result.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)

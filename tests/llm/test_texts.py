@@ -266,6 +266,17 @@ def test_mix_targets_and_limits(spark):
     assert mixing.training_order(docs.limit(0)).count() == 0
 
 
+def test_every_repeated_row_has_its_own_place(spark):
+    """2,000 equal rows of one word meet the target to the word, and the training order holds as many copies."""
+    texts = ["w"] * 2000 + [" ".join(["v"] * 100)] * 40
+    docs = _docs(spark, texts, ["b"] * 2000 + ["a"] * 40).withColumn("doc_id", F.when(F.col("source") == "b", F.lit(7)).otherwise(F.col("doc_id")))
+    rows = [r for r in mixing.mix(docs).collect() if r.source == "b"]
+    assert abs(sum(r.taken for r in rows) - rows[0].target) <= 1 and len({r.taken for r in rows}) > 1
+    assert sum(len(r.positions) for r in rows) == sum(r.taken for r in rows)
+    found = [(r.position, r.copy) for r in mixing.training_order(docs).where("source = 'b'").collect()]
+    assert sorted(p for p, _ in found) == pytest.approx(sorted(p for r in rows for p in r.positions))
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_records_of_either_version(version):
     import gzip
