@@ -1,19 +1,21 @@
 """License scans by an exact set-similarity join, in DataFrame functions only.
 
-A template is the set of words of a license sentence; a text block is a window of twice as many words as the sentence has,
-anywhere in the words of the whole text: line breaks and comment signs do not count. A block meets a template when it holds at
-least ``THRESHOLD`` of the template's words. Words that templates use are ranked by their frequency in all texts,
-rarest first. A template of n words that needs o of them in a block has n - o + 1 prefix words (its rarest): every block
-that meets it holds one of these (prefix filter), so only windows around them are looked at. What is near enough must
-have o of the template's words (length filter), counting only those after the matched one in the ranking (positional
-filter), as a window with a rarer one is found from there. Windows that begin with each word left are verified on the sets.
+A template is the set of words of a license sentence. A text block is a window of twice as many words as the sentence has that
+begins with one of its words, anywhere in the words of the whole text: line breaks and comment signs do not count. A block meets
+a template when it holds at least ``THRESHOLD`` of the template's words; its stretch ends with the last word that is new to it,
+and a block whose first word occurs again in its stretch gives way to the shorter one from there. Words that templates
+use are ranked by their frequency in all texts, rarest first. A template of n words that needs o of them in a block has
+n - o + 1 prefix words (its rarest): every block that meets it holds one of these, so only texts that hold any are taken apart
+(prefix filter) and only places within a block's reach of one are kept (positional filter). A block with fewer than o places of
+template words is out before its set is formed (length filter); the others are verified on the sets, in one sliding frame
+over the places in order, which each place enters and leaves once.
 
 Besides, the base phrases are looked up word by word. Template matches add the labels of the
 templates that a stretch meets best: a match that shares a word with a better one is dropped.
 
-Scale: the frequency count is a partial aggregate over at most as many words as the templates have. Prefix words are
-rare, so few windows reach the join with the templates, which are fixed and small. Only the words around a prefix word
-leave their text; a text is never gathered again, only its labels.
+Scale: the frequency count is a partial aggregate over at most as many words as the templates have. Only places of template
+words leave their text, once for all equal texts, and join the templates, which are fixed and small. Frames hold at most a
+block's width of places, so a text of any length takes time in proportion to it; a text is never gathered again, only its labels.
 
 Edge cases: NULL text is empty: no words, no labels, score 0. Rows that repeat a ``doc_id`` give a row each with their own
 text's result; rows without ``doc_id`` likewise. Other columns are ignored.
@@ -24,7 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.llm.shared import attach
@@ -75,60 +77,47 @@ def _pattern(words: list[str]) -> str:
     return "(?i)(?<![0-9A-Za-z\\x{80}-\\x{10FFFF}])(?:" + "|".join(words) + ")(?![0-9A-Za-z\\x{80}-\\x{10FFFF}])"
 
 
-def _heads(words: Column, rare: list[str], reach: int) -> Column:
-    """Place of every rare word of a text, and the words around it."""
-
-    def around(words: Column) -> Column:
-        at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(rare), i)), lambda i: i.isNotNull())
-        return F.transform(at, lambda i: F.struct(i.alias("at"), F.slice(words, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("near")))
-
-    return F.transform(F.array(words), around)[0]
-
-
-def _window(held: Column, width: Column, start: Column) -> Column:
-    """Different words in the window from ``start``, and the shortest stretch that holds them."""
-
-    def measured(inside: Column) -> Column:
-        ranks = F.transform(inside, lambda h: h["rank"])
-        firsts = F.filter(inside, lambda h, j: F.array_position(ranks, h["rank"]) == j + 1)
-        last = F.element_at(firsts, -1)["i"]
-        return F.struct(F.size(firsts).alias("n"), (start - last).alias("short"), start.alias("from"), last.alias("to"))
-
-    return F.transform(F.array(F.filter(held, lambda h: (h["i"] >= start) & (h["i"] < start + width))), measured)[0]
+def _places(words: Column, known: list[str]) -> Column:
+    """``(at, word)`` of every known word of a text."""
+    pairs = F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+    return F.filter(pairs, lambda p: p["word"].isin(known))
 
 
 def template_matches(rows: DataFrame, ranks: dict[str, int], threshold: float = THRESHOLD) -> DataFrame:
-    """``__row, template, label, score, from, to`` of the windows of ``(__row, text)`` that meet a template."""
-    spark = rows.sparkSession
+    """``__row, template, label, score, from, to`` of the blocks of ``(__row, text)`` that meet a template."""
     table, prefixes = [], set()
     for i, (label, text) in enumerate(TEMPLATES):
-        ordered = sorted(ranks[w] for w in set(text.split()))
-        need = math.ceil(threshold * len(ordered) - 1e-9)
-        for rank in ordered[: len(ordered) - need + 1]:
-            table.append((rank, i, label, ordered, need, 2 * len(text.split())))
-        prefixes |= set(ordered[: len(ordered) - need + 1])
-    templates = spark.createDataFrame(table, "rank int, template int, label string, ordered array<int>, need int, width int")
-    rank_of = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
-    rare = [w for w, r in ranks.items() if r in prefixes]
-    reach = max(width for *_, width in table) - 1
-
-    texts = rows.where(F.col("text").rlike(_pattern(rare)))
-    heads = texts.select("__row", F.explode(_heads(words_of(F.col("text")), rare, reach)).alias("head")).select("__row", "head.*")
-    ranked = F.transform("near", lambda w, i: F.struct((i + F.col("at") - F.least("at", F.lit(reach))).alias("i"), F.try_element_at(rank_of, w).alias("rank")))
-    heads = heads.select("__row", "at", F.filter(ranked, lambda h: h["rank"].isNotNull()).alias("near"))
-    own = F.filter("near", lambda h: h["i"] == F.col("at"))[0]["rank"]
-    pairs = heads.withColumn("rank", own).join(F.broadcast(templates), "rank")
-    # A window that holds a rarer word of the template is reached from that one.
-    useful = F.filter(
-        "near",
-        lambda h: (F.abs(h["i"] - F.col("at")) < F.col("width")) & (h["rank"] >= F.col("rank")) & F.array_contains("ordered", h["rank"]),
-    )
-    pairs = pairs.select("__row", "template", "label", "at", "need", "width", F.size("ordered").alias("size"), useful.alias("held"))
-    pairs = pairs.where(F.size(F.array_distinct(F.transform("held", lambda h: h["rank"]))) >= F.col("need"))
-    starts = F.filter("held", lambda h: h["i"] <= F.col("at"))
-    best = F.array_max(F.transform(starts, lambda h: _window(F.col("held"), F.col("width"), h["i"])))
-    found = pairs.select("__row", "template", "label", "size", "need", best.alias("best")).where(F.col("best.n") >= F.col("need"))
-    return found.select("__row", "template", "label", (F.col("best.n") / F.col("size")).alias("score"), "best.from", "best.to").distinct()
+        ordered = sorted(set(text.split()), key=lambda w: ranks[w])
+        need, width = math.ceil(threshold * len(ordered) - 1e-9), 2 * len(text.split())
+        rare = ordered[: len(ordered) - need + 1]
+        table += [(word, i, label, word in rare, len(ordered), need, width) for word in ordered]
+        prefixes |= set(rare)
+    templates = rows.sparkSession.createDataFrame(table, "word string, template int, label string, rare boolean, size int, need int, width int")
+
+    texts = rows.where(F.col("text").rlike(_pattern(sorted(prefixes))))
+    places = texts.select("__row", F.explode(_places(words_of(F.col("text")), _template_words())).alias("place")).select("__row", "place.*")
+    # Equal texts give each place once.
+    held = places.distinct().join(F.broadcast(templates), "word")
+    # On a scale on which every template's block is `unit` long; a block ends before the place one unit on.
+    unit = math.lcm(*(width for *_, width in table))
+    reach = unit - 1
+    held = held.withColumn("unit", F.col("at") * F.expr(f"CAST({unit} DIV width AS BIGINT)"))
+    one = Window.partitionBy("__row", "template")
+    rare = F.when(F.col("rare"), F.col("unit"))
+    held = held.withColumns({
+        "before": F.last(rare, ignorenulls=True).over(one.orderBy("unit").rowsBetween(Window.unboundedPreceding, 0)),
+        "after": F.last(rare, ignorenulls=True).over(one.orderBy(F.desc("unit")).rowsBetween(Window.unboundedPreceding, 0)),
+        "prev": F.lag("at").over(Window.partitionBy("__row", "template", "word").orderBy("unit")),
+    })
+    held = held.where((F.col("unit") - F.col("before") <= reach) | (F.col("after") - F.col("unit") <= reach))
+    block = F.collect_list(F.struct("at", "prev")).over(one.orderBy("unit").rangeBetween(0, reach))
+    held = held.withColumn("block", block).where(F.size("block") >= F.col("need"))
+    # A word is new to a block if its place before lies before the block.
+    new = F.transform(F.filter("block", lambda h: h["prev"].isNull() | (h["prev"] < F.col("at"))), lambda h: h["at"])
+    found = held.withColumn("new", new).where(F.size("new") >= F.col("need")).withColumn("to", F.element_at("new", -1))
+    again = F.exists("block", lambda h: (h["prev"] == F.col("at")) & (h["at"] <= F.col("to")))
+    score = (F.size("new") / F.col("size")).alias("score")
+    return found.where(~F.coalesce(again, F.lit(False))).select("__row", "template", "label", score, F.col("at").alias("from"), "to")
 
 
 def best_labels(matches: DataFrame) -> DataFrame:

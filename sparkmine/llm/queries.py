@@ -152,11 +152,18 @@ hit AS (
   SELECT doc_id, i, label FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM d) x JOIN phrase ON x.a[i:i + len(q) - 1] = q
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels FROM hit GROUP BY doc_id
-), template AS (SELECT id, label, list_distinct(string_split(text, ' ')) AS q FROM (VALUES {templates}) v(id, label, text)),
-line AS (SELECT doc_id, row_number() OVER () AS line, {split.format("block")} AS b FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS block FROM documents)),
-met AS (SELECT doc_id, line, label, len(list_intersect(list_distinct(b), q)) AS common, len(q) AS n FROM line, template),
-good AS (SELECT *, common / n AS score, max(common / n) OVER (PARTITION BY line) AS top FROM met WHERE common >= ceil({licenses.THRESHOLD} * n - 1e-9)),
-added AS (SELECT doc_id, list(DISTINCT label) FILTER (score = top) AS labels, max(score) AS best FROM good GROUP BY doc_id)
+), template AS (SELECT id, label, list_distinct(string_split(text, ' ')) AS q, 2 * len(string_split(text, ' ')) AS width FROM (VALUES {templates}) v(id, label, text)),
+texts AS (SELECT row_number() OVER () AS t, a, text FROM (SELECT DISTINCT a, coalesce(text, '') AS text FROM d)),
+known AS (SELECT t, i, a[i] AS word FROM (SELECT t, a, unnest(range(1, len(a) + 1)) AS i FROM texts) WHERE a[i] IN (SELECT unnest(q) FROM template)),
+held AS (SELECT t, i, word, id, label, len(q) AS size, width FROM known JOIN template ON list_contains(q, word)),
+firsts AS (SELECT x.t, x.id, x.i, any_value(x.label) AS label, any_value(x.word) AS opening, any_value(x.size) AS size, y.word, min(y.i) AS place, list(y.i) AS places
+  FROM held x JOIN held y ON x.t = y.t AND x.id = y.id AND y.i >= x.i AND y.i < x.i + x.width GROUP BY x.t, x.id, x.i, y.word),
+blocks AS (SELECT t, id, i AS lo, any_value(label) AS label, count(*) / any_value(size) AS score, count(*) AS n, any_value(size) AS size, max(place) AS hi,
+    max(list_sort(places)[2]) FILTER (word = opening) AS again FROM firsts GROUP BY t, id, i),
+met AS (SELECT * FROM blocks WHERE n >= ceil({licenses.THRESHOLD} * size - 1e-9) AND (again IS NULL OR again > hi)),
+good AS (SELECT * FROM met m WHERE NOT EXISTS (SELECT 1 FROM met b WHERE b.t = m.t AND b.score > m.score AND b.lo <= m.hi AND b.hi >= m.lo)),
+added AS (SELECT doc_id, labels, best FROM (SELECT t, list(DISTINCT label) AS labels, max(score) AS best FROM good GROUP BY t) JOIN texts USING (t)
+  JOIN (SELECT DISTINCT doc_id, a, coalesce(text, '') AS text FROM d) USING (text))
 SELECT d.doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
   coalesce(list_aggregate(list_sort(base.labels), 'string_agg', ','), '') AS base_labels,
   coalesce(list_aggregate(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(added.labels, [])))), 'string_agg', ','), '') AS labels,

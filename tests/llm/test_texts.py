@@ -196,6 +196,52 @@ def test_license_scan_of_wrapped_headers_and_a_long_line(spark):
     assert [r.score for r in rows] == [1, 1, 1, 0, 1, 1]
 
 
+def _license_blocks(text):
+    """Labels and best score of one text by the written rule, place by place."""
+    words = [w for w in re.split("[^0-9a-z\x80-\U0010ffff]+", text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))) if w]
+    met = []
+    for label, sentence in licenses.TEMPLATES:
+        own, width = set(sentence.split()), 2 * len(sentence.split())
+        for i, w in enumerate(words):
+            firsts = {}
+            for j in range(i, min(i + width, len(words))):
+                if w in own and words[j] in own:
+                    firsts.setdefault(words[j], j)
+            if len(firsts) >= np.ceil(licenses.THRESHOLD * len(own) - 1e-9) and w not in words[i + 1 : max(firsts.values()) + 1]:
+                met.append((len(firsts) / len(own), i, max(firsts.values()), label))
+    good = [m for m in met if not any(b[0] > m[0] and b[1] <= m[2] and b[2] >= m[1] for b in met)]
+    return {m[3] for m in good}, max((m[0] for m in good), default=0.0)
+
+
+def test_license_blocks_against_brute_force(spark):
+    rng = random.Random(31)
+    texts = []
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            part = rng.choice(licenses.TEMPLATES)[1].split()
+            part = [w for w in part if rng.random() > 0.1]
+            for _ in range(rng.randrange(0, 8)):
+                part.insert(rng.randrange(len(part) + 1), rng.choice(["the", "of", "License", "version", "xyz", "software"]))
+            words += part + [rng.choice(["the", "filler", "in", "and"])] * rng.randrange(0, 5)
+        texts.append(rng.choice([" ", "\n# ", ", "]).join(words))
+    rows = {r.doc_id: r for r in licenses.scan(_docs(spark, texts + texts[:20])).collect()}
+    for i, text in enumerate(texts + texts[:20]):
+        labels, best = _license_blocks(text)
+        base = {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in " " + " ".join(re.findall("[0-9a-z]+", text.lower())) + " "}
+        assert set(filter(None, rows[i].labels.split(","))) == labels | base, text
+        assert rows[i].score == pytest.approx(1.0 if base else best)
+
+
+def test_long_license_text_takes_time_in_proportion(spark):
+    import time
+
+    sentences = " ".join(f"{t}.\n" for _, t in licenses.TEMPLATES)
+    begin = time.time()
+    row = licenses.scan(_docs(spark, [sentences * (1_000_000 // len(sentences))])).collect()[0]
+    assert time.time() - begin < 90 and row.n_words > 100_000 and "gpl-3" in row.labels
+
+
 def test_pseudo_likelihood_prefers_real_order(spark):
     phrases = [_sentence(6, i) for i in range(6)]
     rng = random.Random(1)
