@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmine.session import durable
 
@@ -99,15 +100,48 @@ def top_k(df: DataFrame, k: int, *order_by: Column) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
-def keys_at(df: DataFrame, order_by: Sequence[str | Column], positions: Column) -> DataFrame:
-    """``(position, key)``: the order keys, as a struct, found at some positions.
+SLICES = 64
+SAMPLED = 5_000  # keys that the slice borders are chosen from; borders steer the work, never the result
 
-    Only the keys are sorted. Wide rows are then compared with these few borders where
-    they are, instead of being moved.
+
+def keys_at(df: DataFrame, order_by: Sequence[str | Column], positions: Sequence[int], n: int | None = None) -> DataFrame:
+    """``(position, key)``: the order keys, as a struct, found at some positions; positions outside the table are left out.
+
+    Multi-rank selection without sorting the table: rows are counted per key range, and only the ranges that hold a
+    wanted position are sorted. Wide rows are then compared with these few keys where they are, instead of being moved.
     """
-    keys = df.select(*[_column(c).alias(f"k{i}") for i, c in enumerate(order_by)])
-    indexed = with_row_index(keys, keys.columns, name="position")
-    return indexed.where(F.array_contains(positions, F.col("position"))).select("position", F.struct(*keys.columns).alias("key"))
+    keys = df.select(order_key(order_by).alias("key"))
+    n = keys.count() if n is None else n
+    wanted = sorted({p for p in positions if 0 <= p < n})
+    kind = keys.schema["key"].dataType
+    if not wanted:
+        return df.sparkSession.createDataFrame([], "position bigint, key " + kind.simpleString())
+    sample = [r["key"] for r in keys.sample(fraction=min(1.0, SAMPLED / n), seed=1).distinct().orderBy("key").collect()]  # about SAMPLED keys
+    cuts = [sample[i] for i in sorted({i * len(sample) // SLICES for i in range(1, SLICES)} - {0})] if sample else []
+    borders = df.sparkSession.createDataFrame([(cuts,)], T.StructType([T.StructField("cuts", T.ArrayType(kind))]))
+    placed = keys.withColumn("cuts", borders.scalar()).withColumn("slice", _slice_of(F.col("cuts"))).drop("cuts")
+    sizes = {r["slice"]: r["count"] for r in placed.groupBy("slice").count().collect()}
+    starts, total = {}, 0
+    for i in range(SLICES):
+        starts[i], total = total, total + sizes.get(i, 0)
+    holding = {max(i for i in starts if starts[i] <= p and sizes.get(i)): None for p in wanted}
+    rows = [(i, starts[i]) for i in holding]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(rows, "slice int, start bigint"))  # one row per wanted slice at most
+    inside = placed.where(F.col("slice").isin(list(holding)))
+    numbered = with_row_index(inside, ["slice", "key"], name="__place")
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = df.sparkSession.createDataFrame([(i, sizes[i]) for i in sorted(holding)], "slice int, size bigint")
+    earlier = earlier.select("slice", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("earlier"))
+    found = numbered.join(offsets, "slice").join(F.broadcast(earlier), "slice")
+    found = found.select((F.col("__place") - F.col("earlier") + F.col("start")).alias("position"), "key")
+    return found.where(F.col("position").isin(wanted))
+
+
+def _slice_of(cuts: Column) -> Column:
+    """How many of the rising cuts are at most the row's key: a binary search inside the row."""
+    widths = F.array(*[F.lit(1 << i) for i in reversed(range(SLICES.bit_length()))])
+    step = lambda low, width: F.when(F.col("key") >= F.get(cuts, low + width - 1), low + width).otherwise(low)  # noqa: E731 - no cut there: stay
+    return F.aggregate(widths, F.lit(0), step)
 
 
 def order_key(order_by: Sequence[str | Column]) -> Column:
@@ -124,13 +158,18 @@ def series_slice(df: DataFrame, order_by: Sequence[str | Column], start: int, en
     """Rows at positions ``[start, end)`` of the ordered table with their ``position``;
     ``end=-1`` means to the end."""
     start = max(start, 0)
-    wanted = F.array(F.lit(start).cast("bigint"), F.lit(end).cast("bigint"))
-    borders = durable(keys_at(df, order_by, wanted))
-    first = borders.where(F.col("position") == start).select("key").scalar()
-    kept = df.where(order_key(order_by) >= first)
-    if end >= 0:
-        last = borders.where(F.col("position") == end).select("key").scalar()
-        kept = kept.where(F.coalesce(order_key(order_by) < last, F.lit(True)))
+    borders = {r["position"]: r["key"] for r in durable(keys_at(df, order_by, [start, end])).collect()}  # two rows
+    key, kind = order_key(order_by), df.select(order_key(order_by).alias("key")).schema["key"].dataType
+
+    def border(position: int) -> Column:
+        row = df.sparkSession.createDataFrame([(borders[position],)], T.StructType([T.StructField("key", kind)]))
+        return row.scalar()
+
+    kept = df.where(key >= border(start)) if start in borders else df.limit(0)
+    if end in borders:
+        kept = kept.where(key < border(end))
+    elif end == 0:
+        kept = df.limit(0)
     return with_row_index(kept, order_by, name="position").withColumn("position", F.col("position") + start)
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.operators.joins import join_lookup
-from sparkmine.operators.ordering import keys_at, order_key, row_count, seeded_key, with_row_index
+from sparkmine.operators.ordering import keys_at, order_key, seeded_key, with_row_index
 from sparkmine.session import durable
 
 
@@ -31,24 +32,25 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
     return df.randomSplit(list(weights), seed)
 
 
-def _borders(df: DataFrame, order_by: Sequence[str], positions: Sequence[Column]) -> DataFrame:
+def _borders(df: DataFrame, order_by: Sequence[str], positions: Sequence[int], n: int) -> DataFrame:
     """Stored ``(position, key)`` rows at the positions; a key that also stands before its border is an error.
 
     Rows with equal order keys would all fall on one side of a border, so that the parts had other sizes than asked for.
     """
     if not all(isinstance(c, str) for c in order_by):
         raise TypeError("order_by takes column names, in ascending order; add a column for any other order")
-    found = durable(keys_at(df, order_by, F.array(*positions, *[p - 1 for p in positions])))  # two rows a border
+    found = durable(keys_at(df, order_by, [*positions, *(p - 1 for p in positions)], n))  # two rows a border
+    asked = F.col("position").isin(list(positions))
     before = found.select((F.col("position") + 1).alias("position"), F.col("key").alias("earlier"))
-    if found.join(before, "position").where(F.array_contains(F.array(*positions), F.col("position")) & F.col("key").eqNullSafe(F.col("earlier"))).limit(1).count():
+    if found.join(before, "position").where(asked & F.col("key").eqNullSafe(F.col("earlier"))).limit(1).count():
         raise ValueError(f"rows with equal {list(order_by)} lie on both sides of a border: add a tie-break column")
-    return found.where(F.array_contains(F.array(*positions), F.col("position")))
+    return found.where(asked)
 
 
 def fixed_split(df: DataFrame, order_by: Sequence[str], fraction: float, name: str = "split") -> DataFrame:
     """First ``floor(fraction * n)`` rows in ascending order are train, the rest test. Ties at the border are an error."""
-    border = F.floor(row_count(df) * F.lit(fraction))
-    first_test = _borders(df, order_by, [border]).select("key").scalar()
+    n = df.count()
+    first_test = _borders(df, order_by, [math.floor(n * fraction)], n).select("key").scalar()
     return df.withColumn(name, F.when(order_key(order_by) >= first_test, "test").otherwise("train"))
 
 
@@ -64,12 +66,12 @@ def _last_border(borders: Column, key: Column) -> Column:
 
 def kfold(df: DataFrame, order_by: Sequence[str], k: int, name: str = "fold") -> DataFrame:
     """Contiguous folds in ascending order; the first ``n mod k`` folds hold one row more. Ties at a border are an error."""
-    n = row_count(df)
-    small, extra = F.floor(n / k), F.pmod(n, F.lit(k))
-    start = [f * small + F.least(F.lit(f).cast("bigint"), extra) for f in range(k)]
-    found = _borders(df, order_by, start)
+    n = df.count()
+    small, extra = divmod(n, k)
+    start = [f * small + min(f, extra) for f in range(k)]
+    found = _borders(df, order_by, start, n)
     # Empty folds (fewer rows than folds) share a start; the lowest fold owns it.
-    fold = F.array_position(F.array(*start), F.col("position")) - 1
+    fold = F.array_position(F.array(*[F.lit(s).cast("bigint") for s in start]), F.col("position")) - 1
     borders = durable(found.select("key", fold.cast("int").alias("fold")))  # at most k rows
     listed = borders.agg(F.array_sort(F.collect_list(F.struct("key", "fold")))).scalar()
     # Borders rise with their folds, so the largest fold begun at or before the row's key owns it.

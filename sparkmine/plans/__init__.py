@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["relational", "text", "sampling", "evaluation", "bayes", "regression", "timeseries", "learning", "streams"]
+_MODULES = ["relational", "text", "sampling", "evaluation", "bayes", "regression", "timeseries", "learning", "streams", "files"]
 
 
 def all_queries() -> dict:

@@ -20,11 +20,12 @@ from sparkmine.operators import linear as L
 from sparkmine.operators import logistic as G
 from sparkmine.operators import metrics as M
 from sparkmine.operators import sampling as S
+from sparkmine.operators import trees as R
 from sparkmine.operators.text import doc_terms, vectorizer
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_hash_split
 from sparkmine.plans.sqlmath import newton_logistic
-from sparkmine.plans.text import SQL_SPACES
+from sparkmine.plans.text import SQL_SPACES, SQL_TOKENS
 from sparkmine.plans.timeseries import daily_orders
 from sparkmine.session import durable
 from sparkmine.sources.tables import spread, table
@@ -215,6 +216,66 @@ def nb_grid_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ML.grid_report(model, spark)
 
 
+TREE_FOLDS, TREE_SIZES, TREE_DEPTHS = 3, [100, 1000, 10_000], [1, 10, 20, 30]
+PART = {"train": 0.8, "test": 0.2}
+TREE_PARTS = {str(i): 1.0 for i in range(TREE_FOLDS)}
+
+
+def _sql_tree_grid() -> str:
+    """The same trees by recursion over the levels; children of node n are 2 n + 1 and 2 n + 2."""
+    trees = ", ".join(f"({v * len(TREE_SIZES) + i}, {v}, {s})" for v in range(TREE_FOLDS + 1) for i, s in enumerate(TREE_SIZES))
+    depths = ", ".join(f"({d})" for d in TREE_DEPTHS)
+    return f"""
+    WITH RECURSIVE docs AS MATERIALIZED (SELECT doc_id, lang AS label, CASE WHEN {sql_hash_split("doc_id", PART, 7)} = 'test' THEN -1
+        ELSE CAST({sql_hash_split("doc_id", TREE_PARTS, 11)} AS INTEGER) END AS fold FROM documents WHERE lang IS NOT NULL),
+    bag AS MATERIALIZED (SELECT doc_id, fold, term, count(*) AS tf FROM {SQL_TOKENS} JOIN docs USING (doc_id) GROUP BY ALL),
+    tree(tree, variant, size) AS (VALUES {trees}),
+    vocabulary AS (SELECT variant, term, row_number() OVER (PARTITION BY variant ORDER BY sum(tf) DESC, term) - 1 AS word
+        FROM bag JOIN range({TREE_FOLDS + 1}) v(variant) ON fold >= 0 AND fold <> variant GROUP BY variant, term HAVING count(*) >= 2),
+    member AS MATERIALIZED (SELECT tree, variant, size, doc_id, label, fold >= 0 AND fold <> variant AS train FROM docs, tree WHERE fold >= 0 OR variant = {TREE_FOLDS}),
+    seen AS MATERIALIZED (SELECT tree, doc_id, word, least(tf, 31) AS c FROM member JOIN bag USING (doc_id) JOIN vocabulary USING (variant, term) WHERE word < size),
+    state(level, tree, doc_id, label, train, node) AS (
+        SELECT 0, tree, doc_id, label, train, 0::BIGINT FROM member
+        UNION ALL
+        SELECT level + 1, s.tree, s.doc_id, label, train, 2 * s.node + 1 + (coalesce(c, 0) >= b)::INTEGER
+        FROM state s JOIN (
+            SELECT tree, node, arg_max(word, (score, -word, -b)) AS word, arg_max(b, (score, -word, -b)) AS b FROM (
+                SELECT tree, node, word, b, (any_value(squares) + sum((a - n) * (a - n) - a * a)) / (any_value(every) - sum(n))::DOUBLE + sum(n * n) / sum(n)::DOUBLE AS score,
+                       any_value(squares) / any_value(every)::DOUBLE AS now
+                FROM (SELECT tree, node, word, b, label, count(*)::BIGINT AS n FROM (
+                        SELECT st.tree, node, label, word, unnest(range(1, c + 1)) AS b FROM state st JOIN seen USING (tree, doc_id) WHERE train) GROUP BY ALL)
+                JOIN (SELECT tree, node, label, count(*)::BIGINT AS a FROM state WHERE train GROUP BY ALL) USING (tree, node, label)
+                JOIN (SELECT tree, node, sum(a)::BIGINT AS every, sum(a * a)::BIGINT AS squares FROM (SELECT tree, node, label, count(*)::BIGINT AS a FROM state WHERE train GROUP BY ALL) GROUP BY ALL) USING (tree, node)
+                GROUP BY tree, node, word, b HAVING sum(n) < any_value(every)
+            ) WHERE score > now + 1e-9 GROUP BY tree, node
+        ) best ON best.tree = s.tree AND best.node = s.node LEFT JOIN seen ON seen.tree = s.tree AND seen.doc_id = s.doc_id AND seen.word = best.word
+        WHERE level < {max(TREE_DEPTHS)}
+    ),
+    kept AS MATERIALIZED (SELECT * FROM state),
+    major AS (SELECT tree, node, arg_min(label, (-n, label)) AS prediction FROM (SELECT tree, node, label, count(*) AS n FROM kept WHERE train GROUP BY ALL) GROUP BY ALL),
+    reached AS (SELECT tree, depth, doc_id, any_value(label) AS label, arg_max(node, level) AS node FROM kept, (VALUES {depths}) d(depth) WHERE NOT train AND level <= depth GROUP BY ALL),
+    told AS MATERIALIZED (SELECT tree, depth, label, prediction FROM reached JOIN major USING (tree, node)),
+    class AS (SELECT tree, depth, c, count(*) FILTER (label = c) AS support, count(*) FILTER (prediction = c) AS predicted, count(*) FILTER (label = c AND prediction = c) AS tp
+        FROM told JOIN (SELECT DISTINCT label AS c FROM docs) ON label = c OR prediction = c GROUP BY ALL),
+    f AS (SELECT tree, depth, sum(2 * tp / (predicted + support)::DOUBLE * support) / sum(support) AS f1, sum(tp) / sum(support)::DOUBLE AS accuracy FROM class GROUP BY ALL),
+    grid AS (SELECT size, depth, avg(f1) AS avg_f1 FROM f JOIN tree USING (tree) WHERE variant < {TREE_FOLDS} GROUP BY ALL),
+    top AS (SELECT size, depth, TRUE AS best FROM grid ORDER BY round(avg_f1, 12) DESC, size, depth LIMIT 1)
+    SELECT size, depth, round(avg_f1, 9) AS avg_f1, coalesce(best, FALSE) AS best, round(CASE WHEN best THEN f1 END, 9) AS test_f1, round(CASE WHEN best THEN accuracy END, 9) AS test_accuracy
+    FROM grid LEFT JOIN top USING (size, depth) LEFT JOIN (SELECT size, depth, f1, accuracy FROM f JOIN tree USING (tree) WHERE variant = {TREE_FOLDS}) USING (size, depth)"""
+
+
+@query(_sql_tree_grid())
+def tree_grid_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-fold grid over vocabulary size and tree depth; the best point refitted on all folds and scored on held-out documents."""
+    rows = _token_rows(spark, sf_dir).where("author IS NOT NULL")
+    rows = S.hash_split(rows, "doc_id", TREE_PARTS, 11, name="fold")
+    rows = rows.withColumn("fold", F.when(F.col("split") == "test", -1).otherwise(F.col("fold").cast("int")))
+    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"))
+    bags, _ = R.ranked_bags(terms, rows.select("doc_id", F.col("author").alias("label"), "fold"), TREE_FOLDS, max(TREE_SIZES))
+    grid, _ = R.tuned_tree(bags, TREE_FOLDS, TREE_SIZES, TREE_DEPTHS)
+    return grid.select("size", "depth", "best", *[F.round(c, 9).alias(c) for c in ("avg_f1", "test_f1", "test_accuracy")])
+
+
 DAY_FEATURES = ["yr", "mnth", "weekday", "workingday", "unixdate"]
 
 
