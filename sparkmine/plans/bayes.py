@@ -132,6 +132,25 @@ SQL_ENTITY = f"""
     SELECT doc_id, entity, predicted, round(score, 4) AS score FROM best WHERE place = 1"""
 
 
+SQL_SOURCE_METRICS = SQL_ENTITY[: SQL_ENTITY.rindex("    SELECT doc_id, entity, predicted")].rstrip() + """,
+    told AS (SELECT b.entity, d.class, b.predicted FROM best b JOIN doc d ON d.doc_id = b.doc_id WHERE place = 1 AND d.split = 'test'),
+    m AS (SELECT t.entity, k.c, count(*) FILTER (class = c) AS support, count(*) FILTER (predicted = c) AS predicted, count(*) FILTER (class = c AND predicted = c) AS tp
+          FROM told t JOIN (SELECT DISTINCT class AS c FROM doc) k ON t.class = c OR t.predicted = c GROUP BY ALL)
+    SELECT entity, CAST(sum(support) AS BIGINT) AS n, round(sum(tp) / sum(support)::DOUBLE, 9) AS accuracy,
+           round(sum(CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted::DOUBLE END * support) / sum(support), 9) AS weighted_precision,
+           round(sum(CASE WHEN support = 0 THEN 0 ELSE tp / support::DOUBLE END * support) / sum(support), 9) AS weighted_recall,
+           round(sum(2 * tp / (predicted + support)::DOUBLE * support) / sum(support), 9) AS f1 FROM m GROUP BY entity"""
+
+
+@query(SQL_SOURCE_METRICS)
+def result_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model per source, fitted in one grouped pass, and its metrics on the source's held-out documents, one row each."""
+    test = labelled_documents(spark, sf_dir).where("split = 'test'")
+    told = entity_predictions(test, entity_model(spark, sf_dir), ("doc_id", "entity", "class"))
+    found = M.weighted_metrics(told, "class", "predicted", by=["entity"])
+    return found.select("entity", "n", *[F.round(c, 9).alias(c) for c in ("accuracy", "weighted_precision", "weighted_recall", "f1")])
+
+
 @query(SQL_ENTITY)
 def nb_entity_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model per entity plus the global one; every document scored by its entity's."""
