@@ -115,6 +115,8 @@ def shuffle_positions(df: DataFrame, key: str, seed: int, name: str = "position"
     return with_row_index(df, [seeded_key(key, seed), F.col(key)], name=name)
 
 
-def sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
-    """Bernoulli sample without replacement."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample(df: DataFrame, fraction: float, seed: int | None = None, key: str | None = None) -> DataFrame:
+    """Bernoulli sample without replacement; with an integer ``key`` the same rows on any partitioning."""
+    if key is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    return df.where(seeded_key(key, seed or 0) < int(fraction * 2147483647))

@@ -105,16 +105,20 @@ def offset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.series_slice(orders, ["o_orderkey"], 200).drop("position")
 
 
-@query()
+@query(f"SELECT o_orderkey, o_totalprice FROM orders WHERE {sql_seeded_key('o_orderkey', 42)} < {int(0.3 * 2147483647)}")
 def shuffle_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded sample of the orders in seeded shuffle order."""
-    sampled = S.sample(table(spark, sf_dir, "orders"), 0.3, seed=42)
+    """Seeded sample of the orders in seeded shuffle order, the same on any partitioning."""
+    sampled = S.sample(table(spark, sf_dir, "orders"), 0.3, seed=42, key="o_orderkey")
     return O.shuffled(sampled.select("o_orderkey", "o_totalprice"), "o_orderkey", seed=1)
 
 
-@query()
+RANDOM_PARTS = {"train": 0.8, "test": 0.2}
+
+
+@query(f"""
+    SELECT {sql_hash_split("o_orderkey", RANDOM_PARTS, 42)} AS split, count(*) AS "count", min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+    FROM orders GROUP BY split""")
 def random_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of a seeded random split of the orders."""
-    train, test = S.random_split(_orders(spark, sf_dir), [0.8, 0.2], seed=42)
-    parts = train.select(F.lit("train").alias("split")).unionAll(test.select(F.lit("test").alias("split")))
-    return parts.groupBy("split").count()
+    """Sizes and key ranges of a seeded random split of the orders, the same on any partitioning."""
+    parts = S.hash_split(_orders(spark, sf_dir), "o_orderkey", RANDOM_PARTS, seed=42).groupBy("split")
+    return parts.agg(F.count(F.lit(1)).alias("count"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
