@@ -21,8 +21,6 @@ as often as they occur. No word, or a word without near words, gives ``form`` NU
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
