@@ -149,11 +149,6 @@ def order_key(order_by: Sequence[str | Column]) -> Column:
     return F.struct(*[_column(c).alias(f"k{i}") for i, c in enumerate(order_by)])
 
 
-def row_count(df: DataFrame) -> Column:
-    """Number of rows as a scalar subquery."""
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
 def series_slice(df: DataFrame, order_by: Sequence[str | Column], start: int, end: int = -1) -> DataFrame:
     """Rows at positions ``[start, end)`` of the ordered table with their ``position``;
     ``end=-1`` means to the end."""
