@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds join texts to items, then Smith-Waterman alignment.
 
 The ``GRAM``-word grams of the test items are counted over all texts. Seeds of an item are its grams that occur and are
-rare (at most ``RARE`` of all words, or ``FEW`` places), and in any case its ``RAREST`` rarest ones that occur, so that an
-item of common words, or one with very many copies, has seeds as well. Seeds are joined with the places of the texts.
+rare (at most ``RARE`` of all words, or ``FEW`` places), and in any case the rarest one that occurs in every ``RUN`` places,
+so that an item of common words, or one with very many copies, has seeds all over. Seeds are joined with the places of the texts.
 Around the diagonal of every seed a stretch of text, wide enough for every alignment that scores ``LEAST``, is aligned
 with the item word by word if it holds enough of the item's words to score that. The local alignment score, as a share
 of the item's own score, tells copies with inserted, dropped or changed words. An alignment that scores 0.6 of an item
@@ -36,7 +36,7 @@ from sparkmine.session import durable
 GRAM = 2
 LEAST = 0.6  # alignment score, as a share of the item's own
 RARE, FEW = 3e-6, 100  # a rare gram has at most this share of all words, or so many places
-RAREST = 12  # seeds of an item whose grams are all common
+RUN = 4  # the rarest gram of each run of so many places of an item is a seed too
 TABLE_BITS = 27
 PORTION, ALIGNED = 1 << 20, 1 << 16  # words sent on, and words aligned, at a time
 HIT, MISS, GAP = 2, -1, -1
@@ -157,11 +157,10 @@ def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
     places = items.select("item", "n", F.posexplode("grams").alias("place", "gram"))
     counts = hits.where("gram IS NOT NULL").groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
     met = durable(places.groupBy("gram").agg(F.count(F.lit(1)).alias("places")).join(counts, "gram").select("gram", (F.col("places") * F.col("held")).alias("pairs")))
-    own = places.groupBy("item", "gram").agg(F.first("n").alias("n"), F.collect_list("place").alias("at")).join(met, "gram")
-    nth = F.row_number().over(Window.partitionBy("item").orderBy("pairs", "gram"))
+    nth = F.row_number().over(Window.partitionBy("item", F.expr(f"place DIV {RUN}")).orderBy("pairs", "gram", "place"))
     few = max(FEW, math.ceil(RARE * words))
-    chosen = own.withColumn("nth", nth).where((F.col("pairs") <= few) | (F.col("nth") <= RAREST))
-    return chosen.select("gram", "item", F.explode("at").alias("place"), "n")
+    chosen = places.join(met, "gram").withColumn("nth", nth)
+    return chosen.where((F.col("pairs") <= few) | (F.col("nth") == 1)).select("gram", "item", "place", "n")
 
 
 def _stretches(texts: DataFrame, least: float) -> DataFrame:
