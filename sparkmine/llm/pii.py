@@ -17,8 +17,10 @@ repeat; other columns pass through ``redact`` unchanged.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from sparkmine.llm.words import text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_TEXTS = 600
+TRAIN_CHARS = 1500  # of the surroundings of digits and @ in a sampled text
 TRAIN_WINDOWS = 900
 WIDTH, STRIDE = 96, 48
 HIDDEN, EMBED = 20, 12
@@ -309,7 +312,7 @@ def training_windows(texts: list[str], limit: int = TRAIN_WINDOWS, seed: int = 0
 def train_tagger(docs: DataFrame, texts: int = TRAIN_TEXTS, seed: int = 0) -> Tagger | None:
     """A tagger from a bounded sample: the ``texts`` texts with a digit or @ whose hashes are smallest, cut around these."""
     around = F.concat_ws(" ", F.regexp_extract_all("text", F.lit(r"[^@0-9]{0,60}[@0-9][^\n]{0,60}"), F.lit(0)))
-    sample = docs.where(F.col("text").rlike("[@0-9]")).select(F.xxhash64("text", F.lit(seed)).alias("h"), F.substring(around, 1, 1500).alias("text"))
+    sample = docs.where(F.col("text").rlike("[@0-9]")).select(F.xxhash64("text", F.lit(seed)).alias("h"), F.substring(around, 1, TRAIN_CHARS).alias("text"))
     rows = sample.distinct().orderBy("h").limit(texts).collect()
     codes, tags = training_windows([r["text"] for r in rows], seed=seed)
     return Tagger.fresh(seed).train(codes, tags, seed) if len(codes) else None
@@ -337,7 +340,7 @@ def reconcile(found: list[tuple[int, int, str, float]]) -> list[tuple[int, int,
     ends = [s[1] for s in found]
     best: list[tuple[float, int, bool]] = [(0.0, 0, False)]
     for i, (a, b, _, score) in enumerate(found):
-        before = int(np.searchsorted(ends[:i], a, "right"))
+        before = bisect_right(ends, a, 0, i)
         with_it = best[before][0] + score * (b - a)
         best.append((with_it, before, True) if with_it > best[-1][0] else (best[-1][0], i, False))
     out, i = [], len(found)
@@ -361,24 +364,25 @@ def _plausible(text: str, kind: str) -> bool:
 def find_spans(texts: list[str], tagger: Tagger | None, least: float = LEAST_SCORE) -> list[tuple[dict[str, list[Span]], dict[str, list[Span]]]]:
     """For each text its base spans and all spans, by kind."""
     bases = [base_spans(t) for t in texts]
-    asked = []
+    asked, codes_of = [], {}
     if tagger is not None:
         for i, text in enumerate(texts):
             if re.search("[@0-9]", text):
-                codes = encode(text)
-                asked += [(i, int(s), _window(codes, s)) for s in window_starts(text, codes)]
+                codes_of[i] = encode(text)
+                asked += [(i, int(s)) for s in window_starts(text, codes_of[i])]
     proposals: dict[int, list] = {}
     for a in range(0, len(asked), 256):
         part = asked[a : a + 256]
-        tags, sure = tagger.decode(np.array([w for _, _, w in part]))
-        for (i, start, _), own_tags, own_sure in zip(part, tags, sure):
+        tags, sure = tagger.decode(np.array([_window(codes_of[i], s) for i, s in part]))
+        for (i, start), own_tags, own_sure in zip(part, tags, sure):
             if own_tags.any():
                 proposals.setdefault(i, []).extend(_proposals(own_tags, own_sure, start, len(texts[i])))
     out = []
     for i, (text, base) in enumerate(zip(texts, bases)):
         every = {k: list(v) for k, v in base.items()}
         taken = sorted(s for spans in base.values() for s in spans)
-        free = [p for p in proposals.get(i, ()) if p[3] >= least and _plausible(text[p[0] : p[1]], p[2]) and not any(a < p[1] and p[0] < b for a, b in taken)]
+        starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max, initial=0))
+        free = [p for p in proposals.get(i, ()) if p[3] >= least and reach[bisect_left(starts, p[1])] <= p[0] and _plausible(text[p[0] : p[1]], p[2])]
         for a, b, kind in reconcile(free):
             every[kind].append((a, b))
         out.append((base, {k: sorted(v) for k, v in every.items()}))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -191,6 +192,29 @@ def test_reconcile_takes_the_best_set():
     assert pii.reconcile([(0, 10, "ip", 0.9), (8, 20, "card", 0.9), (10, 30, "phone", 0.9)]) == [(0, 10, "ip"), (10, 30, "phone")]
 
 
+class _Proposer:
+    """In place of a tagger: every run of digits in a window is a phone, so that a text has as many proposals as numbers."""
+
+    def decode(self, windows):
+        digit = np.isin(windows, pii.encode("0123456789"))
+        first = digit & ~np.concatenate((np.zeros((len(digit), 1), bool), digit[:, :-1]), axis=1)
+        begin = 1 + 2 * pii.KINDS.index("phone")
+        return np.where(first, begin, np.where(digit, begin + 1, 0)), np.ones(windows.shape)
+
+
+def test_spans_of_a_text_full_of_numbers_take_linear_time_and_overlap_no_base_span():
+    line = "call 0170 5551234567 or 10.0.0.1 or +49 170 5551234567\n"
+    seconds = []
+    for n in (1000, 8000):
+        at = time.perf_counter()
+        base, spans = pii.find_spans([line * n], _Proposer())[0]
+        seconds.append(time.perf_counter() - at)
+        assert len(base["phone"]) == len(base["ip"]) == n and len(spans["phone"]) == 2 * n
+        every = sorted(s for found in spans.values() for s in found)
+        assert all(b <= c for (_, b), (c, _) in zip(every, every[1:]))
+    assert seconds[1] < 8 * 2.5 * seconds[0]
+
+
 def test_token_counts_equal_the_library(spark):
     from tokenizers import Tokenizer
 
