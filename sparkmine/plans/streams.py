@@ -13,7 +13,7 @@ from sparkmine.plans.bayes import entity_model, entity_predictions
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.text import SQL_PAGE_COUNTS
 from sparkmine.session import checkpoint_root
-from sparkmine.sources.tables import table
+from sparkmine.sources.tables import table, table_path
 from sparkmine.streaming import scoring, words
 
 QUERIES: dict = {}
@@ -42,7 +42,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests (documents) classified by a stream with per-entity models."""
     output, progress = _folders(spark)
     model = entity_model(spark, sf_dir)
-    requests = words.read_files(spark, sf_dir, table(spark, sf_dir, "documents"), "documents.parquet")
+    requests = words.read_table(spark, table_path(sf_dir, "documents"), table(spark, sf_dir, "documents"))
     named = requests.select("doc_id", F.col("source").alias("entity"), "text")
     scoring.score_requests(named, lambda batch: entity_predictions(batch, model), output, progress).awaitTermination()
     scored = scoring.scored_requests(spark, output, "doc_id bigint, entity string, predicted string, score double")

@@ -8,13 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmine.operators.text import most_common, word_counts
 
+BATCH_BYTES = 256 << 20
 
-def read_files(spark: SparkSession, path: str, like: DataFrame, glob: str = "*.parquet", files_per_batch: int = 1) -> DataFrame:
-    """Parquet files of a folder as a stream, with the schema of ``like``."""
-    reader = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", glob)
+
+def read_files(
+    spark: SparkSession, path: str, like: DataFrame, glob: str = "*.parquet", files_per_batch: int = 1, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Parquet files of a folder as a stream, with the schema of ``like``.
+
+    ``bytes_per_batch`` admits files by their size instead of their number, at least one a batch.
+    """
+    reader = spark.readStream.schema(like.schema).option("pathGlobFilter", glob)
+    if bytes_per_batch is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame, bytes_per_batch: int = BATCH_BYTES) -> DataFrame:
+    """A Parquet table as a stream, whether ``path`` is one file or a folder of part files."""
+    # A streamed path must be a folder unless it is a pattern: this one matches the path alone.
+    return read_files(spark, f"{path[:-1]}[{path[-1]}]", like, "*", bytes_per_batch=bytes_per_batch)
+
+
 def count_words(texts: DataFrame, items: Column, output: str, checkpoint: str, tasks: int | None = None) -> StreamingQuery:
     """Count words of a text stream until its present input is used up.
 

@@ -128,3 +128,27 @@ def test_streamed_scores_equal_batch_scores(spark, tmp_path):
     streamed = scoring.scored_requests(spark, output, "id long, entity string, predicted string, score double")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, classify(requests).collect()))
     assert {r["id"]: r["entity"] for r in streamed.collect()} == {1: "e", 2: "f", 3: "*"}
+
+
+def test_table_streams_from_one_file_and_from_a_folder_of_files(spark, tmp_path):
+    texts = spark.createDataFrame([("a b a",), ("b c",), ("a d",), (None,)], "text string")
+    texts.repartition(3).write.parquet(str(tmp_path / "folder.parquet"))
+    texts.coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*.parquet")).rename(tmp_path / "file.parquet")
+    for name, size, least in (("folder", 1, 3), ("folder", 1 << 20, 1), ("file", 1, 1)):
+        output, progress = folders(spark)
+        stream = words.read_table(spark, str(tmp_path / f"{name}.parquet"), texts, size)
+        query = words.count_words(stream, X.words("text"), output, progress)
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == least
+        assert {r["word"]: r["n"] for r in words.current_counts(spark, output).collect()} == {"a": 3, "b": 2, "c": 1, "d": 1}
+
+
+def test_stream_queries_read_tables_of_many_files(spark, tmp_path):
+    from sparkmine.plans.bayes import nb_entity_predict
+    from sparkmine.plans.streams import stream_score
+
+    for name in ("documents",):
+        tables.table(spark, "/root/testdata/sf0.001", name).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for streamed, batch in ((stream_score, nb_entity_predict),):
+        assert sorted(map(tuple, streamed(spark, str(tmp_path)).collect())) == sorted(map(tuple, batch(spark, str(tmp_path)).collect()))
