@@ -31,7 +31,7 @@ def _folders(spark: SparkSession) -> tuple[str, str]:
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts of web pages kept by a stateful stream."""
     output, progress = _folders(spark)
-    pages = words.read_files(spark, sf_dir, table(spark, sf_dir, "pages"), "pages.parquet")
+    pages = words.read_table(spark, table_path(sf_dir, "pages"), table(spark, sf_dir, "pages"))
     cores = spark.sparkContext.defaultParallelism
     words.count_words(pages.select("html"), X.words(X.cleaned_web_text("html")), output, progress, cores).awaitTermination()
     return words.current_counts(spark, output)

@@ -146,9 +146,10 @@ def test_table_streams_from_one_file_and_from_a_folder_of_files(spark, tmp_path)
 
 def test_stream_queries_read_tables_of_many_files(spark, tmp_path):
     from sparkmine.plans.bayes import nb_entity_predict
-    from sparkmine.plans.streams import stream_score
+    from sparkmine.plans.streams import stream_score, stream_word_count
+    from sparkmine.plans.text import page_word_count
 
-    for name in ("documents",):
+    for name in ("pages", "documents"):
         tables.table(spark, "/root/testdata/sf0.001", name).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
-    for streamed, batch in ((stream_score, nb_entity_predict),):
+    for streamed, batch in ((stream_word_count, page_word_count), (stream_score, nb_entity_predict)):
         assert sorted(map(tuple, streamed(spark, str(tmp_path)).collect())) == sorted(map(tuple, batch(spark, str(tmp_path)).collect()))
