@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, HashingTF, StringIndexer
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from sparkmine.operators import logistic as G
 from sparkmine.operators import metrics as M
 from sparkmine.operators import sampling as S
 from sparkmine.operators import trees as R
-from sparkmine.operators.text import doc_terms, vectorizer
+from sparkmine.operators.text import doc_terms
 from sparkmine.plans.registry import registrar
 from sparkmine.plans.sampling import sql_hash_split
 from sparkmine.plans.sqlmath import newton_logistic
@@ -162,32 +163,32 @@ def _token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.hash_split(rows, "doc_id", {"train": 0.8, "test": 0.2}, seed=7)
 
 
-def _vectorizer(rows: DataFrame, size: int):
-    return vectorizer(doc_terms(rows, ["doc_id"], F.col("tokens")), "tokens", ML.FEATURES, size, min_df=2)
+TREE_DEPTH = 30
 
 
-def _tree(spark: SparkSession, sf_dir: str):
-    rows = _token_rows(spark, sf_dir)
-    train = rows.where("split = 'train'")
-    bow = _vectorizer(train, VOCABULARY)
-    index = StringIndexer(inputCol="author", outputCol="label", stringOrderType="frequencyDesc").fit(train)
-    featured = durable(index.transform(bow.transform(rows)).select("doc_id", "split", "author", "label", ML.FEATURES))
-    tree = DecisionTreeClassifier(impurity="gini", maxDepth=30, seed=42).fit(featured.where("split = 'train'"))
-    return featured, bow, tree
+def _tree(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, R.Tree]:
+    """Stored bags of all documents, their vocabulary and the tree grown on the training documents."""
+    rows = _token_rows(spark, sf_dir).where("author IS NOT NULL")
+    rows = rows.withColumn("fold", F.when(F.col("split") == "train", 1).otherwise(-1))
+    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"))
+    bags, vocabulary = R.ranked_bags(terms, rows.select("doc_id", F.col("author").alias("label"), "fold"), 0, VOCABULARY)
+    return bags, vocabulary, R.grow(bags, [R.Tree(0, VOCABULARY)], TREE_DEPTH)[0]
 
 
 @query()
 def tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 words that a decision tree uses most to tell authors apart."""
-    _, bow, tree = _tree(spark, sf_dir)
-    return ML.importances(tree.featureImportances, bow.vocabulary, spark, 20)
+    _, vocabulary, tree = _tree(spark, sf_dir)
+    names = [r["term"] for r in vocabulary.orderBy("rank").collect()]
+    return ML.importances(SparseVector(len(names), R.importances(tree)), names, spark, 20)
 
 
 @query()
 def tree_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision-tree metrics on training and held-out documents."""
-    featured, _, tree = _tree(spark, sf_dir)
-    return M.weighted_metrics(tree.transform(featured), "label", "prediction", by=["split"])
+    bags, _, tree = _tree(spark, sf_dir)
+    told = R.predictions(bags, [tree], [TREE_DEPTH], trained=True).withColumn("split", F.when(F.col("train"), "train").otherwise("test"))
+    return M.weighted_metrics(told, "label", "prediction", by=["split"])
 
 
 @query()
