@@ -5,9 +5,9 @@ go through a tanh layer and give a softmax over word classes; within its class a
 counts. The log-probabilities of all words of a document, summed, are its score.
 
 Words are hashed into ``BUCKETS`` buckets, so that counts, classes and model have a fixed size. Counts are taken over all
-documents. Classes have about equal mass, so frequent words are classes of their own. The network is trained in numpy on one in
-``SHARE`` of the word places of every document, chosen by hash: each task runs Adam over its own places from common
-weights, and the weights are averaged over all places, ``ROUNDS`` times.
+documents. Classes have about equal mass, so frequent words are classes of their own. The network is trained in numpy on all
+word places of every document, dealt into ``SHARE`` parts by hash that are learnt in turn: each task runs Adam over its own
+places from common weights, and the weights are averaged over all places, ``ROUNDS`` times.
 
 Scale: one pass for the counts, one per round and one for the scores; texts are never shuffled. Counts and weights are
 summed by Spark, so the driver gets one value per bucket or weight at most, whatever the number of tasks.
@@ -79,12 +79,18 @@ def fresh_weights(seed: int = 0) -> dict[str, np.ndarray]:
     return {k: (rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
 
 
-def log_class(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden layer and class log-probabilities."""
+def layers(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden layer and class scores, the largest of a place at 0."""
     inputs = weights["embed"][context].reshape(len(context), -1)
     hidden = np.tanh(inputs @ weights["in"] + weights["in_b"])
     scores = hidden @ weights["out"] + weights["out_b"]
     scores -= scores.max(axis=1, keepdims=True)
+    return inputs, hidden, scores
+
+
+def log_class(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden layer and class log-probabilities."""
+    inputs, hidden, scores = layers(weights, context)
     return inputs, hidden, scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
@@ -97,15 +103,17 @@ class Adam:
 
     def learn(self, context: np.ndarray, klass: np.ndarray) -> None:
         w, n = self.weights, len(context)
-        inputs, hidden, log_p = log_class(w, context)
-        d_scores = np.exp(log_p)
+        inputs, hidden, scores = layers(w, context)
+        d_scores = np.exp(scores, out=scores)
+        d_scores /= d_scores.sum(axis=1, keepdims=True)
         d_scores[np.arange(n), klass] -= 1
         d_scores /= n
         d_hidden = (d_scores @ w["out"].T) * (1 - hidden * hidden)
         d_inputs = (d_hidden @ w["in"].T).reshape(-1, EMBED)
-        rows, place = np.unique(context.ravel(), return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        borders = np.searchsorted(place[order], np.arange(len(rows)))
+        flat = context.ravel().astype(np.int16)  # sorted by radix
+        order = np.argsort(flat, kind="stable")
+        borders = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        rows = flat[order[borders]]
         grad = {"in": inputs.T @ d_hidden, "in_b": d_hidden.sum(0), "out": hidden.T @ d_scores, "out_b": d_scores.sum(0)}
         self.step += 1
         for k, g in grad.items():
@@ -150,14 +158,19 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def chosen_places(words: Words, seed: int) -> np.ndarray:
-    """One in SHARE of the word places, by the hash of the word with its neighbours and its place in the text."""
+def place_parts(words: Words, seed: int) -> np.ndarray:
+    """Which of SHARE parts each word place belongs to, by the hash of the word with its place in the text."""
     place = (np.arange(len(words.hashes)) - words.first[words.doc]).astype(np.uint64)
-    return np.flatnonzero(mix(words.hashes ^ mix(place + np.uint64(seed * 1_000_003))) % np.uint64(SHARE) == 0)
+    return (mix(words.hashes ^ mix(place + np.uint64(seed * 1_000_003))) % np.uint64(SHARE)).astype(np.uint8)
+
+
+def chosen_places(words: Words, seed: int, part: int = 0) -> np.ndarray:
+    """The word places of one part."""
+    return np.flatnonzero(place_parts(words, seed) == part)
 
 
 def training_round(docs: DataFrame, vocabulary: Vocabulary, weights: dict, seed: int) -> dict:
-    """Train in every task from the same weights and average by the number of places."""
+    """Train in every task on all its places, from the same weights, and average by the number of places."""
 
     def run(batches):
         model, seen, kept = Adam(weights), 0, []
@@ -165,12 +178,14 @@ def training_round(docs: DataFrame, vocabulary: Vocabulary, weights: dict, seed:
         for batch in batches:
             for _, _, data, borders in text_slices(batch.column("text")):
                 words = split_words(data, borders, lower=True)
-                own = buckets(words)
-                at = chosen_places(words, seed)
-                kept.append((contexts(words, row[own])[at], klass[own][at]))
-                if sum(len(k) for _, k in kept) >= 16 * BATCH:
-                    seen += _learn(model, kept, seed)
-                    kept = []
+                own, parts = buckets(words), place_parts(words, seed)
+                context, target = contexts(words, row[own]), klass[own]
+                for part in range(SHARE):  # every place once, those of a text apart from each other
+                    at = np.flatnonzero(parts == part)
+                    kept.append((context[at], target[at]))
+                    if sum(len(k) for _, k in kept) >= 16 * BATCH:
+                        seen += _learn(model, kept, seed)
+                        kept = []
         seen += _learn(model, kept, seed)
         if seen:
             values = flat(model.weights).astype(np.float64) * seen

@@ -323,6 +323,23 @@ def test_chosen_places_do_not_depend_on_the_slice():
     assert len(pseudo.chosen_places(words_of(text), 0)) in range(30, 110)
 
 
+def test_every_word_place_is_learnt(spark, monkeypatch):
+    """What a round sums up is weighted by the places seen: all of them."""
+    texts = [" ".join(_sentence(n, n)) for n in (1, 7, 300, 2000)] * 3
+    docs = _docs(spark, texts).coalesce(1)
+    mean = pseudo.shaped(np.zeros(len(pseudo.flat(pseudo.fresh_weights()))))
+
+    def counted(model, kept, seed):  # learns nothing, but counts the places in one weight
+        n = sum(len(k) for _, k in kept)
+        model.weights["out_b"][0] += n
+        return n
+
+    monkeypatch.setattr(pseudo, "_learn", counted)
+    vocabulary = pseudo.Vocabulary.of(pseudo.corpus_counts(docs))
+    got = pseudo.training_round(docs, vocabulary, mean, 0)
+    assert got["out_b"][0] == pytest.approx(sum(len(t.split()) for t in texts))
+
+
 def test_license_scan(spark):
     texts = ["Released under\nthe MIT License.", "Licensed under CC BY-NC 4.0. cc by nc cc by nc", "the underthe mit license", None, "", "APACHE license, version 2!"]
     texts.append("x\nThis work is licensed under the GNU General Public License, version 3.\ny")
