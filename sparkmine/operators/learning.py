@@ -200,9 +200,15 @@ def grid_report(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
     """``(params, avg_metric, best)``, keyed by parameter values."""
     grid = model.getEstimatorParamMaps()
     larger = model.getEvaluator().isLargerBetter()
-    best = (max if larger else min)(model.avgMetrics)
     rows = [
-        ({f"{p.parent.split('_')[0]}.{p.name}": str(v) for p, v in params.items()}, float(metric), bool(metric == best))
+        ({f"{p.parent.split('_')[0]}.{p.name}": str(v) for p, v in params.items()}, float(metric))
         for params, metric in zip(grid, model.avgMetrics)
     ]
+    return points_report(rows, spark, larger)
+
+
+def points_report(points: Sequence[tuple[dict[str, str], float]], spark: SparkSession, larger: bool = True) -> DataFrame:
+    """``(params, avg_metric, best)`` of the points of a grid."""
+    best = (max if larger else min)(metric for _, metric in points)
+    rows = [(params, metric, metric == best) for params, metric in points]
     return spark.createDataFrame(rows, "params map<string,string>, avg_metric double, best boolean")

@@ -5,17 +5,15 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer, HashingTF, StringIndexer
+from pyspark.ml.feature import HashingTF, StringIndexer
 from pyspark.ml.linalg import SparseVector
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.functions import text as X
 from sparkmine.functions.dates import periodic_columns
+from sparkmine.operators import bayes_grid as NB
 from sparkmine.operators import learning as ML
 from sparkmine.operators import linear as L
 from sparkmine.operators import logistic as G
@@ -203,18 +201,18 @@ def svm_ovr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.macro_metrics(model.transform(featured), "label", "prediction", by=["split"])
 
 
+NB_FOLDS, NB_SIZES = 3, [100, 1000, 5000, 10_000]
+
+
 @query()
 def nb_grid_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-fold grid over vocabulary size and model type; every fit builds its vocabulary from its own training rows."""
-    train = _token_rows(spark, sf_dir).where("split = 'train'").select("doc_id", "author", "tokens")
-    bag = CountVectorizer(inputCol="tokens", outputCol=ML.FEATURES, minDF=2)
-    bayes = NaiveBayes(labelCol="label", featuresCol=ML.FEATURES)
-    grid = ParamGridBuilder().addGrid(bag.vocabSize, [100, 1000, 5000, 10_000])
-    grid = grid.addGrid(bayes.modelType, ["multinomial", "gaussian"]).build()
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
-    estimator = Pipeline(stages=[StringIndexer(inputCol="author", outputCol="label"), bag, bayes])
-    model = ML.cross_validate(estimator, grid, evaluator, train, "doc_id", folds=3, seed=11, parallelism=4)
-    return ML.grid_report(model, spark)
+    train = _token_rows(spark, sf_dir).where("split = 'train' AND author IS NOT NULL").select("doc_id", F.col("author").alias("label"), "tokens")
+    folded = S.hash_split(train, "doc_id", {str(i): 1.0 for i in range(NB_FOLDS)}, 11, "fold").withColumn("fold", F.col("fold").cast("int"))
+    bags = doc_terms(folded, ["doc_id", "label", "fold"], F.col("tokens"), outer=True)
+    points = NB.cross_validated(bags, folded, NB_FOLDS, NB_SIZES).collect()
+    rows = [({"CountVectorizer.vocabSize": str(p["size"]), "NaiveBayes.modelType": p["kind"]}, p["avg_f1"]) for p in points]
+    return ML.points_report(rows, spark)
 
 
 TREE_FOLDS, TREE_SIZES, TREE_DEPTHS = 3, [100, 1000, 10_000], [1, 10, 20, 30]

@@ -142,3 +142,28 @@ def test_grid_score_keeps_documents_with_a_null_feature(spark, tmp_path):
     assert sorted(rows) == list(range(40))
     empty = {i for i, r in rows.items() if None in (r.chars, r.words, r.word_length)}
     assert {0, 1} <= empty and empty == {i for i, r in rows.items() if r.result is None}
+
+
+def test_bayes_grid_equals_the_library_cross_validation(spark):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, StringIndexer
+
+    from sparkmine.operators import bayes_grid as NB
+    from sparkmine.operators.sampling import hash_split
+    from sparkmine.operators.text import doc_terms
+
+    rng = random.Random(4)
+    weights = {"a": (60, 30, 16, 8, 4, 2, 1), "b": (60, 20, 20, 5, 5, 3, 3), "c": (60, 30, 10, 12, 2, 4, 1)}
+    rows = [(i, c, rng.choices("tuvwxyz", weights[c], k=rng.randrange(0, 25))) for i, c in enumerate(rng.choices("abc", (5, 3, 2), k=400))]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, tokens array<string>").repartition(4)
+    bag, bayes = CountVectorizer(inputCol="tokens", outputCol="features", minDF=2), NaiveBayes(labelCol="index", featuresCol="features")
+    grid = ParamGridBuilder().addGrid(bag.vocabSize, [2, 4, 100]).addGrid(bayes.modelType, ["multinomial", "gaussian"]).build()
+    estimator = Pipeline(stages=[StringIndexer(inputCol="label", outputCol="index"), bag, bayes])
+    evaluator = MulticlassClassificationEvaluator(labelCol="index", metricName="f1")
+    model = ML.cross_validate(estimator, grid, evaluator, docs, "doc_id", folds=3, seed=11)
+    expected = {tuple(sorted(r["params"].items())): r["avg_metric"] for r in ML.grid_report(model, spark).collect()}
+    folded = hash_split(docs, "doc_id", {str(i): 1.0 for i in range(3)}, 11, "fold").withColumn("fold", F.col("fold").cast("int"))
+    bags = doc_terms(folded, ["doc_id", "label", "fold"], F.col("tokens"), outer=True)
+    found = NB.cross_validated(bags, folded, 3, [2, 4, 100]).collect()
+    got = {(("CountVectorizer.vocabSize", str(r["size"])), ("NaiveBayes.modelType", r["kind"])): r["avg_f1"] for r in found}
+    assert got == pytest.approx(expected, abs=1e-12) and len(got) == 6
