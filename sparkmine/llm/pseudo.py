@@ -18,6 +18,8 @@ repeat or lack a ``doc_id``; other columns are ignored. Without any words every
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +35,7 @@ OWN_ROWS = 4032  # most frequent buckets with an embedding of their own
 EMBED, HIDDEN, SIDE = 16, 32, 2
 SHARE, ROUNDS, BATCH, RATE = 32, 2, 1024, 0.01
 SMOOTH = 0.1
+CACHED_BYTES, DEALT = 1 << 18, 1 << 18  # bytes of text split at once, words dealt into parts at once
 _PAD = OWN_ROWS + CLASSES
 
 
@@ -79,52 +82,99 @@ def fresh_weights(seed: int = 0) -> dict[str, np.ndarray]:
     return {k: (rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
 
 
+def halved_tanh(doubled: np.ndarray) -> np.ndarray:
+    """tanh(x / 2), in place and faster than numpy's."""
+    with np.errstate(over="ignore"):
+        np.exp(doubled, out=doubled)
+    doubled += 1
+    np.divide(-2, doubled, out=doubled)
+    doubled += 1
+    return doubled
+
+
+def class_scores(weights: dict, hidden: np.ndarray) -> np.ndarray:
+    """Class scores, a column a place like ``hidden``, the largest of a place at 0."""
+    scores = weights["out"].T @ hidden
+    scores += weights["out_b"][:, None]
+    scores -= scores.max(axis=0)
+    return scores
+
+
 def layers(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden layer and class scores, the largest of a place at 0."""
-    inputs = weights["embed"][context].reshape(len(context), -1)
-    hidden = np.tanh(inputs @ weights["in"] + weights["in_b"])
-    scores = hidden @ weights["out"] + weights["out_b"]
-    scores -= scores.max(axis=1, keepdims=True)
-    return inputs, hidden, scores
+    """Inputs, a row a place; hidden layer and class scores, a column a place."""
+    inputs = weights["embed"].take(context.ravel(), axis=0).reshape(len(context), -1)
+    hidden = (2 * weights["in"]).T @ inputs.T
+    hidden += 2 * weights["in_b"][:, None]
+    halved_tanh(hidden)
+    return inputs, hidden, class_scores(weights, hidden)
 
 
 def log_class(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden layer and class log-probabilities."""
+    """Inputs, hidden layer and class log-probabilities, a row a place."""
     inputs, hidden, scores = layers(weights, context)
-    return inputs, hidden, scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    return inputs, hidden.T, (scores - np.log(np.exp(scores).sum(axis=0))).T
 
 
 class Adam:
+    """Weights and their two moments, all 32 bits wide; of the embeddings only the rows of a batch move."""
+
     def __init__(self, weights: dict):
-        self.weights = {k: v.copy() for k, v in weights.items()}
-        self.first = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.second = {k: np.zeros_like(v) for k, v in weights.items()}
+        dense = [k for k in sorted(weights) if k != "embed"]
+        ends = np.cumsum([weights[k].size for k in dense])
+        self.dense = np.zeros((3, ends[-1]), np.float32)
+        self.d_dense = np.zeros(ends[-1], np.float32)
+        self.embed = np.zeros((3, *weights["embed"].shape), np.float32)
+        self.d_embed = np.zeros(weights["embed"].shape, np.float32)  # all 0 between steps
+        self.weights, self.grad = {"embed": self.embed[0]}, {}
+        for k, end in zip(dense, ends):
+            self.weights[k], self.grad[k] = (x[end - weights[k].size : end].reshape(weights[k].shape) for x in (self.dense[0], self.d_dense))
+        for k, v in weights.items():
+            self.weights[k][...] = v
+        self.pairs = np.arange(self.d_embed.size // 2).reshape(len(self.d_embed), -1)
         self.step = 0
 
     def learn(self, context: np.ndarray, klass: np.ndarray) -> None:
         w, n = self.weights, len(context)
         inputs, hidden, scores = layers(w, context)
         d_scores = np.exp(scores, out=scores)
-        d_scores /= d_scores.sum(axis=1, keepdims=True)
-        d_scores[np.arange(n), klass] -= 1
-        d_scores /= n
-        d_hidden = (d_scores @ w["out"].T) * (1 - hidden * hidden)
-        d_inputs = (d_hidden @ w["in"].T).reshape(-1, EMBED)
-        flat = context.ravel().astype(np.int16)  # sorted by radix
-        order = np.argsort(flat, kind="stable")
-        borders = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        rows = flat[order[borders]]
-        grad = {"in": inputs.T @ d_hidden, "in_b": d_hidden.sum(0), "out": hidden.T @ d_scores, "out_b": d_scores.sum(0)}
+        d_scores *= 1 / (n * d_scores.sum(axis=0))
+        d_scores.reshape(-1)[klass.astype(np.int64) * n + np.arange(n)] -= np.float32(1 / n)
+        d_hidden = w["out"] @ d_scores
+        d_hidden *= 1 - hidden * hidden
+        d_inputs = d_hidden.T @ w["in"].T
+        ones = np.ones(n, np.float32)
+        self.grad["in"][...] = (d_hidden @ inputs).T
+        self.grad["in_b"][...] = d_hidden @ ones
+        self.grad["out"][...] = (d_scores @ hidden.T).T
+        self.grad["out_b"][...] = d_scores @ ones
         self.step += 1
-        for k, g in grad.items():
-            self._move(k, slice(None), g)
-        self._move("embed", rows, np.add.reduceat(d_inputs[order], borders, axis=0))
-
-    def _move(self, k: str, at, g: np.ndarray) -> None:
-        first = self.first[k][at] = 0.9 * self.first[k][at] + 0.1 * g
-        second = self.second[k][at] = 0.99 * self.second[k][at] + 0.01 * g * g
-        rate = RATE * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-        self.weights[k][at] -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
+        self._move(self.dense, self.d_dense)
+        # Rows of embeddings are summed two values at a time, as complex numbers, and put back as items of their size.
+        flat = context.ravel().astype(np.int64)
+        np.add.at(self.d_embed.view(np.complex64).reshape(-1), self.pairs.take(flat, axis=0).ravel(), d_inputs.view(np.complex64).ravel())
+        some = np.zeros(len(self.d_embed), bool)
+        some[flat] = True
+        rows = np.flatnonzero(some)
+        moved, item = self.embed.take(rows, axis=1), np.dtype((np.void, self.d_embed.strides[0]))
+        self._move(moved, self.d_embed.take(rows, axis=0))
+        for whole, part in zip(self.embed.view(item)[..., 0], moved.view(item)[..., 0]):
+            whole[rows] = part
+        self.d_embed[rows] = 0
+
+    def _move(self, state: np.ndarray, g: np.ndarray) -> None:
+        value, first, second = state
+        move = g * g
+        move *= 0.01
+        second *= 0.99
+        second += move
+        np.multiply(g, 0.1, out=move)
+        first *= 0.9
+        first += move
+        np.sqrt(second, out=move)
+        move += 1e-8
+        np.divide(first, move, out=move)
+        move *= RATE * math.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
+        value -= move
 
 
 def corpus_counts(docs: DataFrame) -> np.ndarray:
@@ -133,8 +183,8 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            for _, _, data, borders in text_slices(batch.column("text")):
-                counts += np.bincount(buckets(split_words(data, borders, lower=True)), minlength=len(counts))
+            for _, _, words in word_slices(batch.column("text")):
+                np.add.at(counts, buckets(words), 1)
         some = np.flatnonzero(counts)
         for a in range(0, len(some), 65536):
             part = some[a : a + 65536]
@@ -169,23 +219,46 @@ def chosen_places(words: Words, seed: int, part: int = 0) -> np.ndarray:
     return np.flatnonzero(place_parts(words, seed) == part)
 
 
+def word_slices(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
+    """``(from row, to row, words)`` of consecutive texts, few enough for a core's cache."""
+    for at, to, data, borders in text_slices(column, CACHED_BYTES):
+        yield at, to, split_words(data, borders, lower=True)
+
+
+def dealt_places(batches, vocabulary: Vocabulary, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Contexts and classes of all places, of ``DEALT`` words or a little more at a time and part after part."""
+    held, size = [], 0
+    for batch in batches:
+        for _, _, words in word_slices(batch.column("text")):
+            own = buckets(words)
+            held.append((place_parts(words, seed), contexts(words, vocabulary.row[own]), vocabulary.klass[own]))
+            size += len(own)
+            if size >= DEALT:
+                yield from _deal(held)
+                held, size = [], 0
+    if held:
+        yield from _deal(held)
+
+
+def _deal(held: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    parts, context, klass = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(parts, kind="stable")  # every place once, those of a text apart from each other
+    context, klass = context.take(order, axis=0), klass[order]
+    borders = np.searchsorted(parts[order], np.arange(SHARE + 1))
+    for a, b in zip(borders, borders[1:]):
+        yield context[a:b], klass[a:b]
+
+
 def training_round(docs: DataFrame, vocabulary: Vocabulary, weights: dict, seed: int) -> dict:
     """Train in every task on all its places, from the same weights, and average by the number of places."""
 
     def run(batches):
         model, seen, kept = Adam(weights), 0, []
-        klass, row = vocabulary.klass, vocabulary.row
-        for batch in batches:
-            for _, _, data, borders in text_slices(batch.column("text")):
-                words = split_words(data, borders, lower=True)
-                own, parts = buckets(words), place_parts(words, seed)
-                context, target = contexts(words, row[own]), klass[own]
-                for part in range(SHARE):  # every place once, those of a text apart from each other
-                    at = np.flatnonzero(parts == part)
-                    kept.append((context[at], target[at]))
-                    if sum(len(k) for _, k in kept) >= 16 * BATCH:
-                        seen += _learn(model, kept, seed)
-                        kept = []
+        for context, klass in dealt_places(batches, vocabulary, seed):
+            kept.append((context, klass))
+            if sum(len(k) for _, k in kept) >= 16 * BATCH:
+                seen += _learn(model, kept, seed)
+                kept = []
         seen += _learn(model, kept, seed)
         if seen:
             values = flat(model.weights).astype(np.float64) * seen
@@ -210,7 +283,7 @@ def _learn(model: Adam, kept: list, seed: int) -> int:
     order = np.random.default_rng(seed + len(klass)).permutation(len(klass))
     for a in range(0, len(order), BATCH):
         part = order[a : a + BATCH]
-        model.learn(context[part], klass[part])
+        model.learn(context.take(part, axis=0), klass[part])
     return len(klass)
 
 
@@ -225,11 +298,18 @@ def trained(docs: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> tuple[Vocab
 def word_log_probs(words: Words, vocabulary: Vocabulary, weights: dict) -> np.ndarray:
     """Log-probability of every word given its neighbours."""
     own = buckets(words)
-    context, out = contexts(words, vocabulary.row[own]), np.empty(len(own), np.float32)
-    for a in range(0, len(own), 8192):
-        part = slice(a, a + 8192)
-        log_p = log_class(weights, context[part])[2]
-        out[part] = log_p[np.arange(len(log_p)), vocabulary.klass[own[part]]]
+    context, klass, out = contexts(words, vocabulary.row[own]), vocabulary.klass[own], np.empty(len(own), np.float32)
+    # The weights stand still here, so each embedding row's part in the hidden layer is formed once for each column of the context.
+    parts = [weights["embed"] @ (2 * m) for m in np.split(weights["in"], context.shape[1])]
+    parts[0] += 2 * weights["in_b"]
+    for a in range(0, len(own), 1024):
+        some = context[a : a + 1024].T
+        hidden = parts[0].take(some[0], axis=0)
+        for part, rows in zip(parts[1:], some[1:]):
+            hidden += part.take(rows, axis=0)
+        scores, target = class_scores(weights, halved_tanh(hidden).T), klass[a : a + 1024]
+        at = scores[target, np.arange(len(target))]
+        out[a : a + 1024] = at - np.log(np.exp(scores, out=scores).sum(axis=0))
     return out + vocabulary.share[own]
 
 
@@ -239,8 +319,7 @@ def pseudo_likelihood(docs: DataFrame, model: tuple[Vocabulary, dict] | None = N
 
     def run(batches):
         for batch in batches:
-            for at, to, data, borders in text_slices(batch.column("text")):
-                words = split_words(data, borders, lower=True)
+            for at, to, words in word_slices(batch.column("text")):
                 scan = np.concatenate(([0.0], np.cumsum(word_log_probs(words, vocabulary, weights), dtype=np.float64)))
                 total, n = scan[words.first[1:]] - scan[words.first[:-1]], words.counts()
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)

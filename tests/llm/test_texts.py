@@ -318,6 +318,63 @@ def test_pseudo_likelihood_gradient():
     assert -pseudo.log_class(model.weights, context)[2][np.arange(50), klass].mean() < 0.5 * before
 
 
+def _plain_step(w, first, second, step, context, klass):
+    """One step of Adam as the formulas say, a row a place; of the embeddings only the rows of the batch move."""
+    n = len(context)
+    inputs = w["embed"][context].reshape(n, -1)
+    hidden = np.tanh(inputs @ w["in"] + w["in_b"])
+    scores = hidden @ w["out"] + w["out_b"]
+    d_scores = np.exp(scores - scores.max(axis=1, keepdims=True))
+    d_scores /= d_scores.sum(axis=1, keepdims=True)
+    d_scores[np.arange(n), klass] -= 1
+    d_scores /= n
+    d_hidden = (d_scores @ w["out"].T) * (1 - hidden * hidden)
+    flat = context.ravel().astype(np.int16)
+    order = np.argsort(flat, kind="stable")
+    borders = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    d_embed = np.add.reduceat((d_hidden @ w["in"].T).reshape(-1, pseudo.EMBED)[order], borders, axis=0)
+    grad = {"in": inputs.T @ d_hidden, "in_b": d_hidden.sum(0), "out": hidden.T @ d_scores, "out_b": d_scores.sum(0), "embed": d_embed}
+    for k, g in grad.items():
+        at = flat[order[borders]] if k == "embed" else slice(None)
+        first[k][at] = 0.9 * first[k][at] + 0.1 * g
+        second[k][at] = 0.99 * second[k][at] + 0.01 * g * g
+        rate = pseudo.RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+        w[k][at] -= (rate * first[k][at] / (np.sqrt(second[k][at]) + 1e-8)).astype(np.float32)
+
+
+def test_a_training_step_equals_the_plain_one_and_is_cheaper():
+    from time import perf_counter
+
+    rng = np.random.default_rng(0)
+    weights = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in pseudo.fresh_weights().items()}
+    model, plain = pseudo.Adam(weights), {k: v.copy() for k, v in weights.items()}
+    first, second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
+    times = []
+    for step in range(1, 301):
+        context = np.minimum(rng.zipf(1.2, (pseudo.BATCH, 4)) - 1, pseudo._PAD).astype(np.int32)
+        klass = rng.integers(0, pseudo.CLASSES, len(context)).astype(np.int32)
+        at = [perf_counter()]
+        model.learn(context, klass)
+        at.append(perf_counter())
+        _plain_step(plain, first, second, step, context, klass)
+        at.append(perf_counter())
+        times.append(np.diff(at))
+        if step == 3:  # later on, rounding adds up
+            assert all(np.abs(model.weights[k] - plain[k]).max() < 1e-3 for k in plain)
+    ours, formulas = np.quantile(times, 0.1, axis=0)
+    assert ours < 0.9 * formulas, (ours, formulas)
+
+
+def test_scores_equal_the_log_probability_of_the_own_class(spark):
+    words = words_of(" ".join(_sentence(3000, 5)), lower=True)
+    counts = np.bincount(pseudo.buckets(words), minlength=1 << pseudo.BUCKET_BITS)
+    vocabulary, weights, rng = pseudo.Vocabulary.of(counts), pseudo.fresh_weights(), np.random.default_rng(0)
+    weights = {k: v + rng.normal(0, 1, v.shape).astype(np.float32) for k, v in weights.items()}
+    own = pseudo.buckets(words)
+    plain = pseudo.log_class(weights, pseudo.contexts(words, vocabulary.row[own]))[2][np.arange(len(own)), vocabulary.klass[own]] + vocabulary.share[own]
+    assert np.allclose(pseudo.word_log_probs(words, vocabulary, weights), plain, atol=1e-3)
+
+
 def test_chosen_places_do_not_depend_on_the_slice():
     text = " ".join(_sentence(2000, 3))
     assert len(pseudo.chosen_places(words_of(text), 0)) in range(30, 110)
