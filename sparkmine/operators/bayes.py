@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.joins import BROADCAST_BYTES, Lookup, join_lookup, measured_lookup, stored_lookup
+from sparkmine.operators.joins import BROADCAST_BYTES, Lookup, heavy_and_light, join_lookup, measured_lookup, salted_join, stored_lookup
 from sparkmine.session import durable
 
 GLOBAL = "*"
@@ -50,6 +50,11 @@ def _per_class(labels: Sequence[str], value: str) -> Column:
     return F.array(*[F.coalesce(F.sum(F.when(F.col("class") == c, F.col(value))), F.lit(0)) for c in labels])
 
 
+def _in_all(array: str, labels: Sequence[str]) -> Column:
+    """Sum of an array with one value a class."""
+    return sum((F.get(array, F.lit(i)) for i in range(1, len(labels))), F.get(array, F.lit(0)))
+
+
 def _added(array: str, size: int) -> Column:
     """Element-wise sum of arrays over a group."""
     return F.array(*[F.sum(F.get(array, F.lit(i))) for i in range(size)])
@@ -92,11 +97,12 @@ def fit(
     """Model tables from :func:`term_counts` and :func:`class_counts`.
 
     ``smooth_prior`` also smooths the class priors (as MLlib does); otherwise they are the
-    plain class shares.
+    plain class shares. ``seen`` among the counts tells how often a term is expected in the
+    texts to score, if that is not its count.
     """
     keys, labels, smoothing = list(keys), list(labels), _checked(smoothing)
     weights = [F.log(F.get("n", F.lit(i)) + F.lit(smoothing)) - F.log(F.lit(smoothing)) for i in range(len(labels))]
-    seen = sum((F.get("n", F.lit(i)) for i in range(1, len(labels))), F.get("n", F.lit(0)))
+    seen = F.col("seen") if "seen" in counts.columns else _in_all("n", labels)
     terms = durable(counts.withColumns({"weights": F.array(*weights), "seen": seen}))
     totals = terms.groupBy(*keys).agg(_added("n", len(labels)).alias("n_terms"), F.count(F.lit(1)).alias("n_vocabulary"))
     docs = per_class.groupBy(*keys).agg(_per_class(labels, "n_docs").alias("n_docs"))
@@ -199,6 +205,27 @@ def likelihoods(model: BayesModel) -> DataFrame:
     return joined.select(*model.keys, "term", F.inline(rows)).where("log_prob IS NOT NULL")
 
 
+def _words_once(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int) -> DataFrame:
+    """Bags joined to a lookup beyond the broadcast limit, in one pass over the words.
+
+    A document's words of the heaviest keys are summed into one row without a term, each of its
+    other words is one row. Only these rows are stored, counted for hot keys and shuffled to the lookup.
+    """
+    heavy, light = heavy_and_light(model.terms, broadcast_bytes)
+    if heavy is None:
+        found = doc_terms.withColumns({"__found": F.lit(False), "__known": F.lit(False), **{f"__g_{i}": F.lit(0.0) for i in range(len(model.labels))}})
+    else:
+        marked = F.broadcast(heavy.withColumn("__heavy", F.lit(True)))
+        joined = doc_terms.join(marked, list(model.term_keys), "left")
+        gains = {f"__g_{i}": F.col("tf") * model.gain(i) for i in range(len(model.labels))}
+        found = joined.withColumns({"__found": F.col("__heavy").isNotNull(), "__known": F.coalesce(model.known, F.lit(False)), **gains})
+    other = F.when(~F.col("__found"), F.col("term")).alias("term")
+    sums = [F.coalesce(F.sum(F.when(F.col("__known"), F.col(f"__g_{i}"))), F.lit(0.0)).alias(f"__gain_{i}") for i in range(len(model.labels))]
+    words = F.sum(F.when(F.col("__known"), F.col("tf")).otherwise(0)).alias("__n")
+    once = durable(found.groupBy(*doc, other).agg(F.sum("tf").alias("tf"), words, *sums))
+    return salted_join(once, light, model.term_keys, "left")
+
+
 def score(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc..., scores)``: log posteriors (unnormalised) in label order, NULL for a class
     the model lacks.
@@ -207,14 +234,17 @@ def score(doc_terms: DataFrame, model: BayesModel, doc: Sequence[str], broadcast
     among ``doc``.
     Terms outside a model's vocabulary are ignored; a text without known terms is scored
     by the priors. A document's rows lie in one task, so only one row of partial sums per
-    document is shuffled.
+    document is shuffled, and beyond the broadcast limit its words of light keys.
     """
-    joined = join_lookup(doc_terms, model.terms, model.term_keys, "left", broadcast_bytes)
     size = range(len(model.labels))
+    if model.terms.size > broadcast_bytes and model.terms.weight:
+        joined, words, gains = _words_once(doc_terms, model, doc, broadcast_bytes), F.col("__n"), [F.col(f"__gain_{i}") for i in size]
+    else:
+        joined, words, gains = join_lookup(doc_terms, model.terms, model.term_keys, "left", broadcast_bytes), F.lit(0), [F.lit(0.0) for _ in size]
     known = F.coalesce(model.known, F.lit(False))
     summed = joined.groupBy(*doc).agg(
-        F.sum(F.when(known, F.col("tf")).otherwise(0)).alias("__n"),
-        *[F.coalesce(F.sum(F.when(known, F.col("tf") * model.gain(i))), F.lit(0.0)).alias(f"__gain_{i}") for i in size],
+        F.sum(words + F.when(known, F.col("tf")).otherwise(0)).alias("__n"),
+        *[F.sum(gains[i] + F.when(known, F.col("tf") * model.gain(i)).otherwise(0.0)).alias(f"__gain_{i}") for i in size],
     )
     scores = [F.get("__prior", F.lit(i)) + F.col("__n") * F.get("__unseen", F.lit(i)) + F.col(f"__gain_{i}") for i in size]
     return _with_model(summed, model, broadcast_bytes).select(*doc, F.array(*scores).alias("scores"))
@@ -241,9 +271,12 @@ def entity_models(doc_terms: DataFrame, docs: DataFrame, entity: str, smoothing:
     eligible = per_class.groupBy(entity).agg(F.sum("n_docs").alias("__n")).where(F.col("__n") >= min_rows).select(entity)
     key = F.lit(GLOBAL).alias(entity)
     all_docs = per_class.groupBy("class").agg(F.sum("n_docs").alias("n_docs")).select(key, "class", "n_docs")
-    all_terms = per_term.groupBy("term").agg(_added("n", len(labels)).alias("n")).select(key, "term", "n")
+    # Texts of an entity with a model of its own do not meet the global terms.
+    marked = join_lookup(per_term.withColumn("seen", _in_all("n", labels)), eligible.withColumn("__own", F.lit(True)), [entity], "left")
+    elsewhere = F.sum(F.when(F.col("__own").isNull(), F.col("seen")).otherwise(0)).alias("seen")
+    all_terms = marked.groupBy("term").agg(_added("n", len(labels)).alias("n"), elsewhere).select(key, "term", "n", "seen")
     own_docs = per_class.join(eligible, entity).select(entity, "class", "n_docs")
-    own_terms = join_lookup(per_term, eligible, [entity]).select(entity, "term", "n")
+    own_terms = marked.where("__own").select(entity, "term", "n", "seen")
     return fit(own_terms.unionByName(all_terms), own_docs.unionByName(all_docs), labels, smoothing, [entity])
 
 

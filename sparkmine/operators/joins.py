@@ -7,7 +7,7 @@ import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.session import durable
@@ -27,15 +27,26 @@ class Lookup:
 
     rows: DataFrame
     size: int
-    widest: int = 0
     weight: str | None = None
+    sizes: dict[int, int] | None = None  # of the rows of each weight step
+
+
+def _text_size() -> Column:
+    return F.octet_length(F.to_json(F.struct("*")))
+
+
+def _weight_step(weight: str) -> Column:
+    """Steps of a quarter of a doubling: 256 at most."""
+    return F.floor(F.log2(F.greatest(F.col(weight), F.lit(1))) * 4).cast("int")
 
 
 def measured_lookup(rows: DataFrame, weight: str | None = None) -> Lookup:
     """Measure stored rows as text, by one aggregate."""
-    text = F.octet_length(F.to_json(F.struct("*")))
-    found = rows.agg(F.sum(text).alias("size"), F.max(text).alias("widest")).first()
-    return Lookup(rows, found["size"] or 0, found["widest"] or 0, weight)
+    if weight is None:
+        return Lookup(rows, rows.agg(F.sum(_text_size())).first()[0] or 0)
+    sized = rows.select(_weight_step(weight).alias("step"), _text_size().alias("size"))
+    sizes = {r["step"]: r["size"] for r in sized.groupBy("step").agg(F.sum("size").alias("size")).collect()}
+    return Lookup(rows, sum(sizes.values()), weight, sizes)
 
 
 def stored_lookup(df: DataFrame, weight: str | None = None) -> Lookup:
@@ -60,19 +71,24 @@ def join_lookup(
     return salted_join(facts, rows, on, how)
 
 
-def _split_join(facts: DataFrame, table: Lookup, on: list[str], how: str, broadcast_bytes: int) -> DataFrame:
-    """Broadcast as many of the heaviest keys as surely fit, shuffle only the other facts."""
-    step = F.floor(F.log2(F.greatest(F.col(table.weight), F.lit(1))) * 4).cast("int")
-    sizes = {r["step"]: r["n"] for r in table.rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 256 steps
-    room, cut = broadcast_bytes // max(table.widest, 1), None
-    for level in sorted(sizes, reverse=True):
-        if sizes[level] > room:
+def heavy_and_light(table: Lookup, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame | None, DataFrame]:
+    """As many of a weighted lookup's heaviest keys as fit a broadcast, None if not even the first do, and the other keys."""
+    step, room, cut = _weight_step(table.weight), broadcast_bytes, None
+    for level in sorted(table.sizes, reverse=True):
+        if table.sizes[level] > room:
             break
-        room, cut = room - sizes[level], level
+        room, cut = room - table.sizes[level], level
     if cut is None:
-        return salted_join(facts, table.rows.drop(table.weight), on, how)
-    heavy = F.broadcast(table.rows.where(step >= cut).drop(table.weight))
-    light = table.rows.where(step < cut).drop(table.weight)
+        return None, table.rows.drop(table.weight)
+    return table.rows.where(step >= cut).drop(table.weight), table.rows.where(step < cut).drop(table.weight)
+
+
+def _split_join(facts: DataFrame, table: Lookup, on: list[str], how: str, broadcast_bytes: int) -> DataFrame:
+    """Broadcast as many of the heaviest keys as surely fit, shuffle only the other facts."""
+    heavy, light = heavy_and_light(table, broadcast_bytes)
+    if heavy is None:
+        return salted_join(facts, light, on, how)
+    heavy = F.broadcast(heavy)
     matched = facts.join(heavy, on, "inner")
     rest = salted_join(facts.join(F.broadcast(heavy.select(*on)), on, "left_anti"), light, on, how)
     return matched.unionByName(rest.select(matched.columns))

@@ -124,3 +124,27 @@ def test_entities_fall_back_to_the_global_model(spark, limit):
         train = [(c, t) for e, c, t in rows if r["entity"] in ("*", e.lower())]
         text = {0: "aaa eee", 1: "ccc ddd", 2: "eee"}[r["id"]]
         assert (r["predicted"], r["score"]) == (brute_force(train, text, 1.0)[0], pytest.approx(brute_force(train, text, 1.0)[1]))
+
+
+@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 500, 0])
+def test_scoring_reads_the_texts_once(spark, demo, limit):
+    """Whatever part of the model is broadcast; the scan, not the join, sees a text again."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    model = fitted(demo, 0.01)
+    texts = demo.unionByName(demo).select(F.monotonically_increasing_id().alias("id"), seen.asNondeterministic()("text").alias("text"))
+    found = B.predict(bags(texts, ["id"]), model, ["id"], limit).collect()
+    assert len(found) == read.value == 2 * len(DEMO)
+
+
+def test_global_terms_weigh_what_is_met_elsewhere(spark):
+    rows = [("A", "x", "aaa bbb"), ("A", "y", "aaa"), ("Solo", "x", "aaa ccc")]
+    df = spark.createDataFrame(rows, "entity string, class string, text string")
+    model = B.entity_models(bags(df, ["class", "entity"]), df, "entity", 1.0)
+    weights = {(r["entity"], r["term"]): r["seen"] for r in model.terms.rows.collect()}
+    assert weights == {("a", "aaa"): 2, ("a", "bbb"): 1, ("*", "aaa"): 1, ("*", "bbb"): 0, ("*", "ccc"): 1}

@@ -100,3 +100,10 @@ def test_weighted_lookup_is_split_without_loss(spark, how, limit):
 def test_salted_join_rejects_other_types(spark):
     with pytest.raises(ValueError):
         J.salted_join(spark.range(1), spark.range(1), ["id"], "full")
+
+
+def test_one_long_key_does_not_narrow_the_broadcast(spark):
+    lookup = spark.createDataFrame([("x" * 5000, 1)] + [(f"k{i}", 9) for i in range(50)], "g string, w int")
+    weighted = J.stored_lookup(lookup, weight="w")
+    heavy, light = J.heavy_and_light(weighted, 5000)
+    assert weighted.size > 5000 and (heavy.count(), light.count()) == (50, 1)
