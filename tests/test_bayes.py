@@ -126,7 +126,7 @@ def test_entities_fall_back_to_the_global_model(spark, limit):
         assert (r["predicted"], r["score"]) == (brute_force(train, text, 1.0)[0], pytest.approx(brute_force(train, text, 1.0)[1]))
 
 
-@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 500, 0])
+@pytest.mark.parametrize("limit", [B.BROADCAST_BYTES, 300, 0])
 def test_scoring_reads_the_texts_once(spark, demo, limit):
     """Whatever part of the model is broadcast; the scan, not the join, sees a text again."""
     read = spark.sparkContext.accumulator(0)
