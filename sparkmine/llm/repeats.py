@@ -102,7 +102,7 @@ def _window_rows(docs: DataFrame, ranges: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ids, keys = batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist()
+            ids, keys = (np.array(batch.column(c).to_pylist()) for c in ("doc_id", "row_key"))
             for at, to, data, borders in text_slices(batch.column("text")):
                 words = split_words(data, borders)
                 begin, whose = [], []
@@ -112,7 +112,7 @@ def _window_rows(docs: DataFrame, ranges: DataFrame, window: int) -> DataFrame:
                         whose.append(np.full(hi + 1 - lo, i))
                 if begin:
                     begin, whose = np.concatenate(begin), np.concatenate(whose)
-                    rows = [signed(words.window_hash(begin, begin + window)), pa.array(np.array(ids)[whose + at]), pa.array(np.array(keys)[whose + at])]
+                    rows = [signed(words.window_hash(begin, begin + window)), pa.array(ids[whose + at]), pa.array(keys[whose + at])]
                     rows.append(pa.array((begin - words.first[whose]).astype(np.int32)))
                     yield pa.RecordBatch.from_arrays(rows, ["window", "doc_id", "row_key", "lo"])
 

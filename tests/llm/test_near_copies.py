@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -163,3 +164,21 @@ def test_words_split_at_ascii_white_space_only():
     assert [bytes(words.data[a:b]).decode() for a, b in zip(words.starts, words.ends)] == ["a b", "c", "\x1cd", "é"]
     parts = [split_words(d, b).counts().tolist() for _, _, d, b in text_slices(pa.array(["a b", None, "c" * 9, "", "d e f"]), limit=4)]
     assert sum(parts, []) == [2, 0, 1, 0, 3]
+
+
+def test_a_batch_of_texts_needs_little_memory():
+    """Working memory follows a slice, not the batch, and the sets do not depend on the slices."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in row) for row in rng.integers(0, 9000, (1500, 400)).tolist()]
+    column, rule = pa.array([*texts, None, "", "one"]), parity.Rule()
+    alone = {i: next(parity._sets(rule, column.slice(i, 1)))[1][0].tolist() for i in range(0, len(column), 50)}
+    tracemalloc.start()
+    before, seen = tracemalloc.get_traced_memory()[0], 0
+    for at, sets in parity._sets(rule, column):
+        assert at == seen
+        assert all(sets[i - at].tolist() == s for i, s in alone.items() if at <= i < at + len(sets))
+        seen += len(sets)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert seen == len(column) and column.nbytes > 3e6
+    assert peak < 30e6, peak
