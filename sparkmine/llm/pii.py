@@ -426,15 +426,24 @@ def masked(text: str, spans: dict[str, list[Span]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def masked_parts(batch: pa.RecordBatch, place: int, tagger: Tagger | None) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch with the spans of the texts in column ``place`` masked; a whole batch is never built anew."""
+    at = 0
+    for part in _parts(batch.column(place)):
+        rows = batch.slice(at, len(part))
+        at += len(part)
+        valid = rows.column(place).is_valid().to_pylist()
+        new = [masked(t, s) if ok else None for t, (_, s), ok in zip(part, find_spans(part, tagger), valid)]
+        columns = [pa.array(new, c.type) if i == place else c for i, c in enumerate(rows.columns)]
+        yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
 def redact(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """The documents with every span masked; other columns are unchanged, a NULL text stays NULL."""
     place = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(place)
-            new = [masked(t, s) for part in _parts(texts) for t, (_, s) in zip(part, find_spans(part, tagger))]
-            kept = pa.array([n if ok else None for n, ok in zip(new, texts.is_valid().to_pylist())], texts.type)
-            yield pa.RecordBatch.from_arrays([kept if i == place else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+            yield from masked_parts(batch, place, tagger)
 
     return docs.mapInArrow(run, docs.schema)

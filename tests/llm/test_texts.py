@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -471,3 +472,19 @@ def test_archives_round_trip(spark):
     assert rows[3].payload_digest == archives.base32_sha1(b"") and rows[0].record_type == "revisit"
     assert archives.through_archives(pages.limit(0)).count() == 0
     assert archives.through_archives(pages, least=9).where(F.col("record_type") == "revisit").count() == 0
+
+
+def test_masking_holds_a_part_of_the_batch_only():
+    texts = [None, "", *(f"mail a{i}@example.org now " + "word " * 500 for i in range(1500)), None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    before, rows, parts, pool = tracemalloc.get_traced_memory()[0], 0, 0, pa.total_allocated_bytes()
+    for part in pii.masked_parts(batch, 1, None):
+        for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            assert i == rows and text == (texts[i] and texts[i].replace(f"a{i - 2}@example.org", "[email]"))
+            rows += 1
+        parts += 1
+        assert pa.total_allocated_bytes() - pool < 1.2 * batch.nbytes  # one copy of a column with NULLs
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert rows == len(texts) and parts > 2 and peak < batch.nbytes, (peak, batch.nbytes)
