@@ -34,6 +34,7 @@ CLASSES = 64
 OWN_ROWS = 4032  # most frequent buckets with an embedding of their own
 EMBED, HIDDEN, SIDE = 16, 32, 2
 SHARE, ROUNDS, BATCH, RATE = 32, 2, 1024, 0.01
+PIECE, SAFE = 256, 60  # places of one matrix product, few enough for the fast kernels of BLAS; class scores exp takes unshifted
 SMOOTH = 0.1
 CACHED_BYTES, DEALT = 1 << 18, 1 << 18  # bytes of text split at once, words dealt into parts at once
 _PAD = OWN_ROWS + CLASSES
@@ -82,16 +83,6 @@ def fresh_weights(seed: int = 0) -> dict[str, np.ndarray]:
     return {k: (rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
 
 
-def halved_tanh(doubled: np.ndarray) -> np.ndarray:
-    """tanh(x / 2), in place and faster than numpy's."""
-    with np.errstate(over="ignore"):
-        np.exp(doubled, out=doubled)
-    doubled += 1
-    np.divide(-2, doubled, out=doubled)
-    doubled += 1
-    return doubled
-
-
 def class_scores(weights: dict, hidden: np.ndarray) -> np.ndarray:
     """Class scores, a column a place like ``hidden``, the largest of a place at 0."""
     scores = weights["out"].T @ hidden
@@ -103,9 +94,9 @@ def class_scores(weights: dict, hidden: np.ndarray) -> np.ndarray:
 def layers(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, a row a place; hidden layer and class scores, a column a place."""
     inputs = weights["embed"].take(context.ravel(), axis=0).reshape(len(context), -1)
-    hidden = (2 * weights["in"]).T @ inputs.T
-    hidden += 2 * weights["in_b"][:, None]
-    halved_tanh(hidden)
+    hidden = weights["in"].T @ inputs.T
+    hidden += weights["in_b"][:, None]
+    np.tanh(hidden, out=hidden)
     return inputs, hidden, class_scores(weights, hidden)
 
 
@@ -115,63 +106,107 @@ def log_class(weights: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return inputs, hidden.T, (scores - np.log(np.exp(scores).sum(axis=0))).T
 
 
+def safe(out: np.ndarray) -> bool:
+    """Whether class scores, with a hidden layer in -1 to 1, are so near 0 that exp needs no shift.
+
+    At 60 the sums of exp over a batch and their inverses stay normal 32-bit numbers.
+    """
+    return np.abs(out).sum(axis=0).max() <= SAFE
+
+
+def places_of_classes(klass: np.ndarray, piece: int) -> np.ndarray:
+    """Where the score of each place's class stands in ``(pieces, CLASSES, piece)`` scores."""
+    i = np.arange(len(klass))
+    return (i // piece * CLASSES + klass) * piece + i % piece
+
+
 class Adam:
-    """Weights and their two moments, all 32 bits wide; of the embeddings only the rows of a batch move."""
+    """Weights and their two moments, all 32 bits wide; of the embeddings only the rows of a batch move.
+
+    The first moment is held 10 times, the second 100 times as large. A step works in arrays that are kept from one to
+    the next: ``(pieces, values, places)``, a column a place where not said otherwise.
+    """
 
     def __init__(self, weights: dict):
         dense = [k for k in sorted(weights) if k != "embed"]
         ends = np.cumsum([weights[k].size for k in dense])
         self.dense = np.zeros((3, ends[-1]), np.float32)
         self.d_dense = np.zeros(ends[-1], np.float32)
-        self.embed = np.zeros((3, *weights["embed"].shape), np.float32)
-        self.d_embed = np.zeros(weights["embed"].shape, np.float32)  # all 0 between steps
+        self.embed = np.zeros((4, *weights["embed"].shape), np.float32)  # the last holds gradients, all 0 between steps
         self.weights, self.grad = {"embed": self.embed[0]}, {}
         for k, end in zip(dense, ends):
             self.weights[k], self.grad[k] = (x[end - weights[k].size : end].reshape(weights[k].shape) for x in (self.dense[0], self.d_dense))
         for k, v in weights.items():
             self.weights[k][...] = v
-        self.pairs = np.arange(self.d_embed.size // 2).reshape(len(self.d_embed), -1)
+        # "out_b" follows "out", so both are one matrix for a hidden layer that ends in a row of ones.
+        self.out, self.d_out = (x[-(HIDDEN + 1) * CLASSES :].reshape(-1, CLASSES) for x in (self.dense[0], self.d_dense))
+        self.rooms: dict[str, np.ndarray] = {}
         self.step = 0
 
+    def room(self, name: str, *shape: int, dtype: type = np.float32) -> np.ndarray:
+        """A kept array of this shape; it holds what the last user of the name left."""
+        size = math.prod(shape)
+        if name not in self.rooms or len(self.rooms[name]) < size:
+            self.rooms[name] = np.empty(size, dtype)
+        return self.rooms[name][:size].reshape(shape)
+
     def learn(self, context: np.ndarray, klass: np.ndarray) -> None:
-        w, n = self.weights, len(context)
-        inputs, hidden, scores = layers(w, context)
-        d_scores = np.exp(scores, out=scores)
-        d_scores *= 1 / (n * d_scores.sum(axis=0))
-        d_scores.reshape(-1)[klass.astype(np.int64) * n + np.arange(n)] -= np.float32(1 / n)
-        d_hidden = w["out"] @ d_scores
-        d_hidden *= 1 - hidden * hidden
-        d_inputs = d_hidden.T @ w["in"].T
-        ones = np.ones(n, np.float32)
-        self.grad["in"][...] = (d_hidden @ inputs).T
-        self.grad["in_b"][...] = d_hidden @ ones
-        self.grad["out"][...] = (d_scores @ hidden.T).T
-        self.grad["out_b"][...] = d_scores @ ones
+        w, n, room = self.weights, len(context), self.room
+        piece = n if n % PIECE else PIECE
+        at = room("at", context.size, dtype=np.int64)
+        at[...] = context.ravel()
+        # Told to clip, take writes to its output directly; no row is out of range.
+        inputs = w["embed"].take(at, axis=0, out=room("inputs", len(at), EMBED), mode="clip").reshape(-1, piece, context.shape[1] * EMBED)
+        inputs_t = inputs.transpose(0, 2, 1)
+        whole = room("hidden", len(inputs), HIDDEN + 1, piece)
+        hidden, whole[:, -1] = whole[:, :-1], 1
+        np.matmul(w["in"].T, inputs_t, out=hidden)
+        hidden += w["in_b"][:, None]
+        np.tanh(hidden, out=hidden)
+        # Gradients of the scores are left undivided by the sums of exp; the hidden layer, half their size, is divided instead.
+        d_scores = np.matmul(self.out.T, whole, out=room("scores", len(inputs), CLASSES, piece))
+        if not safe(self.out):
+            d_scores -= d_scores.max(axis=1, keepdims=True)
+        np.exp(d_scores, out=d_scores)
+        total = d_scores.sum(axis=1, keepdims=True)
+        np.subtract.at(d_scores.reshape(-1), places_of_classes(klass, piece), total.reshape(-1))
+        share = 1 / (n * total)
+        d_hidden = np.matmul(w["out"], d_scores, out=room("d_hidden", *hidden.shape))
+        d_hidden *= share
+        slope = np.multiply(hidden, hidden, out=room("slope", *hidden.shape))
+        np.subtract(1, slope, out=slope)
+        d_hidden *= slope
+        whole *= share
+        self.d_out[...] = np.matmul(d_scores, whole.transpose(0, 2, 1)).sum(axis=0).T
+        d_hidden_t = d_hidden.transpose(0, 2, 1)
+        self.grad["in"][...] = np.matmul(inputs_t, d_hidden_t).sum(axis=0)
+        self.grad["in_b"][...] = d_hidden.sum(axis=(0, 2))
+        d_inputs = np.matmul(d_hidden_t, w["in"].T, out=inputs)
         self.step += 1
-        self._move(self.dense, self.d_dense)
+        self._move(self.dense, self.d_dense, room("move", *self.d_dense.shape))
         # Rows of embeddings are summed two values at a time, as complex numbers, and put back as items of their size.
-        flat = context.ravel().astype(np.int64)
-        np.add.at(self.d_embed.view(np.complex64).reshape(-1), self.pairs.take(flat, axis=0).ravel(), d_inputs.view(np.complex64).ravel())
-        some = np.zeros(len(self.d_embed), bool)
-        some[flat] = True
+        for d_pair, pair in zip(self.embed[3].view(np.complex64).T, d_inputs.view(np.complex64).reshape(len(at), -1).T):
+            np.add.at(d_pair, at, pair)
+        some = room("some", self.embed.shape[1], dtype=bool)
+        some[...] = False
+        some[at] = True
         rows = np.flatnonzero(some)
-        moved, item = self.embed.take(rows, axis=1), np.dtype((np.void, self.d_embed.strides[0]))
-        self._move(moved, self.d_embed.take(rows, axis=0))
-        for whole, part in zip(self.embed.view(item)[..., 0], moved.view(item)[..., 0]):
-            whole[rows] = part
-        self.d_embed[rows] = 0
-
-    def _move(self, state: np.ndarray, g: np.ndarray) -> None:
+        moved = self.embed.take(rows, axis=1, out=room("scores", 4, len(rows), EMBED), mode="clip")
+        self._move(moved[:3], moved[3], room("hidden", len(rows), EMBED))
+        moved[3] = 0
+        item = np.dtype((np.void, self.embed.strides[1]))
+        for kept, part in zip(self.embed.view(item)[..., 0], moved.view(item)[..., 0]):
+            kept[rows] = part
+
+    def _move(self, state: np.ndarray, g: np.ndarray, move: np.ndarray) -> None:
         value, first, second = state
-        move = g * g
-        move *= 0.01
+        np.multiply(g, g, out=move)
         second *= 0.99
         second += move
-        np.multiply(g, 0.1, out=move)
         first *= 0.9
-        first += move
+        first += g
         np.sqrt(second, out=move)
-        move += 1e-8
+        move += 1e-7
         np.divide(first, move, out=move)
         move *= RATE * math.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
         value -= move
@@ -298,19 +333,30 @@ def trained(docs: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> tuple[Vocab
 def word_log_probs(words: Words, vocabulary: Vocabulary, weights: dict) -> np.ndarray:
     """Log-probability of every word given its neighbours."""
     own = buckets(words)
-    context, klass, out = contexts(words, vocabulary.row[own]), vocabulary.klass[own], np.empty(len(own), np.float32)
+    n, short = len(own), -len(own) % PIECE
+    context = np.pad(contexts(words, vocabulary.row[own]), ((0, short), (0, 0)))
+    klass, at, total = np.pad(vocabulary.klass[own], (0, short)), np.empty(n + short, np.float32), np.empty(n + short, np.float32)
     # The weights stand still here, so each embedding row's part in the hidden layer is formed once for each column of the context.
-    parts = [weights["embed"] @ (2 * m) for m in np.split(weights["in"], context.shape[1])]
-    parts[0] += 2 * weights["in_b"]
-    for a in range(0, len(own), 1024):
-        some = context[a : a + 1024].T
+    parts = [weights["embed"] @ m for m in np.split(weights["in"], context.shape[1])]
+    parts[0] += weights["in_b"]
+    plain = safe(np.vstack([weights["out"], weights["out_b"]]))
+    mass = np.exp(weights["out_b"]) if plain else None
+    for a in range(0, n, 4 * PIECE):
+        b = min(a + 4 * PIECE, n + short)
+        some = context[a:b].T
         hidden = parts[0].take(some[0], axis=0)
         for part, rows in zip(parts[1:], some[1:]):
             hidden += part.take(rows, axis=0)
-        scores, target = class_scores(weights, halved_tanh(hidden).T), klass[a : a + 1024]
-        at = scores[target, np.arange(len(target))]
-        out[a : a + 1024] = at - np.log(np.exp(scores, out=scores).sum(axis=0))
-    return out + vocabulary.share[own]
+        np.tanh(hidden, out=hidden)
+        scores = weights["out"].T @ hidden.reshape(-1, PIECE, HIDDEN).transpose(0, 2, 1)
+        if not plain:
+            scores += weights["out_b"][:, None]
+            scores -= scores.max(axis=1, keepdims=True)
+        at[a:b] = scores.reshape(-1).take(places_of_classes(klass[a:b], PIECE))
+        np.exp(scores, out=scores)
+        total[a:b] = (mass @ scores if plain else scores.sum(axis=1)).reshape(-1)
+    out = at[:n] - np.log(total[:n]) + vocabulary.share[own]
+    return out + weights["out_b"][klass[:n]] if plain else out
 
 
 def pseudo_likelihood(docs: DataFrame, model: tuple[Vocabulary, dict] | None = None) -> DataFrame:

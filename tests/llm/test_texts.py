@@ -376,6 +376,43 @@ def test_scores_equal_the_log_probability_of_the_own_class(spark):
     assert np.allclose(pseudo.word_log_probs(words, vocabulary, weights), plain, atol=1e-3)
 
 
+def test_a_training_step_works_in_kept_arrays():
+    """Temporaries of a step stay far below one layer of a batch, 262 KB, so a step's arrays stay in a core's cache."""
+    rng = np.random.default_rng(0)
+    model = pseudo.Adam(pseudo.fresh_weights())
+    context, klass = rng.integers(0, pseudo._PAD + 1, (pseudo.BATCH, 4), np.int32), rng.integers(0, pseudo.CLASSES, pseudo.BATCH, np.int32)
+    model.learn(context, klass)
+    tracemalloc.start()
+    try:
+        model.learn(context, klass)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200_000
+
+
+@pytest.mark.parametrize("places", [pseudo.BATCH, 3 * pseudo.PIECE, 700, 1])
+@pytest.mark.parametrize("scale", [0.1, 5])
+def test_gradients_and_scores_of_any_size_equal_the_formulas(places, scale):
+    """Whole pieces and others; class scores near 0 and scores beyond the range of exp."""
+    rng = np.random.default_rng(places)
+    weights = {k: v + rng.normal(0, scale, v.shape).astype(np.float32) for k, v in pseudo.fresh_weights().items()}
+    assert pseudo.safe(weights["out"]) == (scale < 1)
+    context = np.minimum(rng.zipf(1.2, (places, 4)) - 1, pseudo._PAD).astype(np.int32)
+    klass = rng.integers(0, pseudo.CLASSES, places).astype(np.int32)
+    model, exact = pseudo.Adam(weights), {k: v.astype(np.float64) for k, v in weights.items()}
+    model.learn(context, klass)
+    first, second = ({k: np.zeros_like(v) for k, v in exact.items()} for _ in range(2))
+    _plain_step({k: v.copy() for k, v in exact.items()}, first, second, 1, context, klass)
+    for k, g in {**model.grad, "embed": model.embed[1]}.items():
+        assert np.abs(g - 10 * first[k]).max() < 1e-4 * max(1, np.abs(10 * first[k]).max()), k
+    words = words_of(" ".join(_sentence(places, 5)), lower=True)
+    vocabulary = pseudo.Vocabulary.of(np.bincount(pseudo.buckets(words), minlength=1 << pseudo.BUCKET_BITS))
+    own = pseudo.buckets(words)
+    expected = pseudo.log_class(exact, pseudo.contexts(words, vocabulary.row[own]))[2][np.arange(places), vocabulary.klass[own]]
+    assert np.allclose(pseudo.word_log_probs(words, vocabulary, weights), expected + vocabulary.share[own], rtol=1e-4, atol=1e-3)
+
+
 def test_chosen_places_do_not_depend_on_the_slice():
     text = " ".join(_sentence(2000, 3))
     assert len(pseudo.chosen_places(words_of(text), 0)) in range(30, 110)
