@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def cross_validated(bags: DataFrame, docs: DataFrame, folds: int, sizes: Sequenc
     """
     spark, points = bags.sparkSession, [(k, s) for k in range(len(KINDS)) for s in range(len(sizes))]
     per_class = docs.groupBy("fold", "label").count().collect()  # folds x classes
-    sums = left_out_sums(bags, folds, max(sizes), min_df).toPandas()
+    sums = left_out_sums(bags, folds, max(sizes), min_df).toArrow().to_pandas()
     width, lookup, bases = len({r["label"] for r in per_class}), [], []
     for v in range(folds):
         rest: dict[str, int] = {}
@@ -82,9 +83,11 @@ def cross_validated(bags: DataFrame, docs: DataFrame, folds: int, sizes: Sequenc
         own = sums[sums["fold"] == v]
         labels, base, weights = _fold_model(own, rest, sizes, smoothing, width)
         names = own.drop_duplicates("rank").sort_values("rank")["term"]
-        lookup.append(pd.DataFrame({"fold": v, "term": names.to_numpy(), "w": list(weights.reshape(len(weights), 3 * len(sizes) * width))}))
+        begins = pa.array(np.arange(len(weights) + 1, dtype=np.int32) * (3 * len(sizes) * width))
+        columns = pa.array(np.full(len(weights), v, np.int32)), pa.array(names, pa.string()), pa.ListArray.from_arrays(begins, weights.ravel())
+        lookup.append(pa.table(list(columns), ["fold", "term", "w"]))
         bases.append((v, labels, [float(x) for x in base.ravel()]))
-    model = spark.createDataFrame(pd.concat(lookup), "fold int, term string, w array<double>")
+    model = spark.createDataFrame(pa.concat_tables(lookup))  # an Arrow table, whatever the session says about pandas
     joined = bags.join(F.broadcast(durable(model)), ["fold", "term"], "left")
 
     def weight(part: int, s: int, c: int):

@@ -167,3 +167,21 @@ def test_bayes_grid_equals_the_library_cross_validation(spark):
     found = NB.cross_validated(bags, folded, 3, [2, 4, 100]).collect()
     got = {(("CountVectorizer.vocabSize", str(r["size"])), ("NaiveBayes.modelType", r["kind"])): r["avg_f1"] for r in found}
     assert got == pytest.approx(expected, abs=1e-12) and len(got) == 6
+
+
+def test_bayes_grid_needs_no_arrow_setting_of_the_session(spark, tmp_path):
+    """A driver's session may leave ``spark.sql.execution.arrow.pyspark.enabled`` at its default."""
+    from sparkmine.plans import learning as plans
+
+    words = {"en": "the cat and the dog", "de": "der hund und die katze", "fr": "le chien et le chat"}
+    rows = [(i, lang, f"{text} {text.split()[i % 5]}") for i, (lang, text) in enumerate([*words.items()] * 20)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    told, key = [], "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key)
+    try:
+        for enabled in ("false", "true"):
+            spark.conf.set(key, enabled)
+            told.append(sorted((sorted(r["params"].items()), r["avg_metric"], r["best"]) for r in plans.nb_grid_cv(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert told[0] == told[1] and len(told[0]) == 8 and max(metric for _, metric, _ in told[0]) > 0.9
