@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +32,17 @@ def rarest(counts: DataFrame, k: int, name: str = "word") -> DataFrame:
     return top_k(counts, k, F.asc("n"), F.asc(name))
 
 
-def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = False) -> DataFrame:
+def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = False, packed: bool = False) -> DataFrame:
     """``(doc..., term, tf)``: bag of words of every row, in long form.
 
     A text is one row, so its equal words are counted inside the row (runs of the sorted
     array) and nothing is shuffled. ``outer`` keeps texts without words, with a NULL term.
+    ``packed`` gives the same rows in the form of :func:`packed_terms`, for operators that count them by numpy.
     """
+    if packed:
+        if outer:
+            raise ValueError("a packed bag has no place for texts without words")
+        return _packed_bags(df.select(*doc, items.alias("__words")), doc)
     ordered = df.select(*doc, F.sort_array(items).alias("__words"))
     words, size = F.col("__words"), F.size("__words")
     starts = F.filter(F.sequence(F.lit(0), size), lambda i: (i < size) & ((i == 0) | (F.get(words, i) != F.get(words, i - 1))))
@@ -53,6 +61,89 @@ def doc_terms(df: DataFrame, doc: Sequence[str], items: Column, outer: bool = Fa
     return rows.where("term <> ''")
 
 
+PACKED = 1 << 18  # words or rows in one row of packed terms
+MOST = 255  # a packed count beyond this is listed apart
+
+
+def _packed_layout(df: DataFrame, doc: Sequence[str]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    keys = ", ".join(f"`{c}` array<{kinds[c]}>" for c in doc)
+    return f"{keys}, begins array<int>, terms array<string>, places binary, counts binary, over array<int>, excess array<bigint>"
+
+
+def _packed_row(doc: Sequence[str], keys: Sequence[pa.Array], starts: np.ndarray, terms: pa.Array, places: np.ndarray, tf: np.ndarray) -> pa.RecordBatch:
+    """One row of packed terms; ``starts``: where a document's entries begin."""
+    over = np.flatnonzero(tf > MOST)
+    lists = [*keys, pa.array(np.append(starts, len(tf)).astype(np.int32)), terms, pa.array(over.astype(np.int32)), pa.array(tf[over].astype(np.int64) - MOST)]
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+    columns[-2:-2] = [pa.array([x.tobytes()], pa.binary()) for x in (places.astype("<i4"), np.minimum(tf, MOST).astype("u1"))]
+    return pa.RecordBatch.from_arrays(columns, [*doc, "begins", "terms", "places", "counts", "over", "excess"])
+
+
+def _packed_bags(df: DataFrame, doc: Sequence[str]) -> DataFrame:
+    """Packed terms of the arrays ``__words``."""
+
+    def run(batches):
+        for batch in batches:
+            words = batch.column("__words")
+            row, flat = pc.list_parent_indices(words).to_numpy(), words.flatten()
+            kept = pc.fill_null(pc.greater(pc.binary_length(flat), 0), False)
+            row, flat = row[kept.to_numpy(zero_copy_only=False)], flat.filter(kept)
+            at = 0
+            while at < len(row):
+                end = int(np.searchsorted(row, row[min(len(row), at + PACKED) - 1], "right"))  # whole texts
+                coded = flat.slice(at, end - at).dictionary_encode()
+                width = len(coded.dictionary)
+                place, tf = np.unique(row[at:end].astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
+                text, place = np.divmod(place, width)
+                starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+                own = pa.array(text[starts])
+                yield _packed_row(doc, [batch.column(c).take(own) for c in doc], starts, coded.dictionary, place, tf)
+                at = end
+
+    return df.mapInArrow(run, _packed_layout(df, doc))
+
+
+def packed_terms(terms: DataFrame, doc: Sequence[str]) -> DataFrame:
+    """Rows ``(doc..., term, tf)`` as they come, many in one row, whose terms are listed once.
+
+    ``(doc arrays..., begins, terms, places, counts, over, excess)``: entry i is the term at ``places[i]``, ``counts[i]`` times, and as often
+    again as ``excess`` says if ``over`` lists i. ``begins`` are the edges of the runs of one document; it may have several.
+    """
+    rows = terms.where("term IS NOT NULL").select(*doc, "term", F.col("tf").cast("bigint").alias("tf"))
+
+    def packed(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        *keys, term, tf = (c.combine_chunks() for c in pa.Table.from_batches(waiting).columns)
+        other = np.zeros(len(tf) - 1, bool)
+        for key in keys:
+            other |= pc.fill_null(pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)), True).to_numpy(zero_copy_only=False)
+        starts, coded = np.append(0, np.flatnonzero(other) + 1), term.dictionary_encode()
+        return _packed_row(doc, [key.take(pa.array(starts)) for key in keys], starts, coded.dictionary, coded.indices.to_numpy(), tf.to_numpy())
+
+    def run(batches):
+        waiting, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                n += batch.num_rows
+            if n >= PACKED:
+                yield packed(waiting)
+                waiting, n = [], 0
+        if n:
+            yield packed(waiting)
+
+    return rows.mapInArrow(run, _packed_layout(rows, doc))
+
+
+def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every row of packed terms: the row, its terms, the edges of the runs, and place and count of every entry."""
+    for i in range(batch.num_rows):
+        begins, over, excess = (batch.column(c)[i].values.to_numpy() for c in ("begins", "over", "excess"))
+        places, counts = (np.frombuffer(batch.column(c)[i].as_buffer(), kind).astype(np.int64) for c, kind in (("places", "<i4"), ("counts", "u1")))
+        counts[over] += excess
+        yield batch.slice(i, 1), batch.column("terms")[i].values, begins, places, counts
+
+
 def word_rows(df: DataFrame, doc: Sequence[str], items: Column) -> DataFrame:
     """``(doc..., term, tf)`` with one row per word (tf = 1), in the form of an outer bag:
     cheaper than counting inside the row where sums follow anyway."""

@@ -168,7 +168,7 @@ def _tree(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, R.Tre
     """Stored bags of all documents, their vocabulary and the tree grown on the training documents."""
     rows = _token_rows(spark, sf_dir).where("author IS NOT NULL")
     rows = rows.withColumn("fold", F.when(F.col("split") == "train", 1).otherwise(-1))
-    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"))
+    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"), packed=True)
     bags, vocabulary = R.ranked_bags(terms, rows.select("doc_id", F.col("author").alias("label"), "fold"), 0, VOCABULARY)
     return bags, vocabulary, R.grow(bags, [R.Tree(0, VOCABULARY)], TREE_DEPTH)[0]
 
@@ -269,7 +269,7 @@ def tree_grid_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _token_rows(spark, sf_dir).where("author IS NOT NULL")
     rows = S.hash_split(rows, "doc_id", TREE_PARTS, 11, name="fold")
     rows = rows.withColumn("fold", F.when(F.col("split") == "test", -1).otherwise(F.col("fold").cast("int")))
-    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"))
+    terms = doc_terms(rows, ["doc_id", "fold"], F.col("tokens"), packed=True)
     bags, _ = R.ranked_bags(terms, rows.select("doc_id", F.col("author").alias("label"), "fold"), TREE_FOLDS, max(TREE_SIZES))
     grid, _ = R.tuned_tree(bags, TREE_FOLDS, TREE_SIZES, TREE_DEPTHS)
     return grid.select("size", "depth", "best", *[F.round(c, 9).alias(c) for c in ("avg_f1", "test_f1", "test_accuracy")])

@@ -2,6 +2,7 @@ import re
 import string
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkmine.functions import text as X
@@ -111,3 +112,26 @@ def test_exploded_keeps_columns_by_name(spark):
     df = spark.createDataFrame([(1, "x y")], "id int, body string")
     rows = T.exploded(df, X.words(F.col("body")), "word").collect()
     assert [tuple(r) for r in rows] == [(1, "x y", "x"), (1, "x y", "y")]
+
+
+def test_packed_bags_are_the_long_ones(spark):
+    from sparkmine.operators.text import doc_terms, packed_terms, unpacked
+
+    texts = ["a b a", "", None, " ".join(["x"] * 700 + ["y"] * 255 + ["z"] * 256), "b c é é"] * 3
+    docs = spark.createDataFrame([(i, f"k{i % 2}", t) for i, t in enumerate(texts)], "doc_id long, kind string, text string").repartition(3)
+    long = doc_terms(docs, ["doc_id", "kind"], F.split("text", " "))
+    expected = sorted(map(tuple, long.collect()))
+
+    def rows(packed):
+        found = []
+        for batch in packed.toArrow().to_batches():
+            for row, terms, begins, places, counts in unpacked(batch):
+                ids, kinds, names = row.column("doc_id")[0].as_py(), row.column("kind")[0].as_py(), terms.to_pylist()
+                for i, kind, lo, hi in zip(ids, kinds, begins, begins[1:]):
+                    found += [(i, kind, names[p], int(n)) for p, n in zip(places[lo:hi], counts[lo:hi])]
+        return sorted(found)
+
+    assert rows(doc_terms(docs, ["doc_id", "kind"], F.split("text", " "), packed=True)) == expected and max(r[3] for r in expected) == 700
+    assert rows(packed_terms(long.repartition(5), ["doc_id", "kind"])) == expected
+    with pytest.raises(ValueError):
+        doc_terms(docs, ["doc_id"], F.split("text", " "), outer=True, packed=True)
